@@ -1,0 +1 @@
+"""Empty on purpose: a dump is a full batch per day, and nothing here is a stream."""
