@@ -97,9 +97,8 @@ def _newest_by_window(valid: DataFrame, spec: TableSpec) -> DataFrame:
 def _newest_by_join(valid: DataFrame, spec: TableSpec) -> DataFrame:
     newest = valid.groupBy(*cols(spec.keys)).agg(F.max(col(spec.day)).alias(spec.day))
     images = valid.where(col(spec.op).isin(*UPSERTS))
-    # Joining on key and day exchanges both sides anew (the aggregate is laid out
-    # by key only), which spreads a busy key over its days and lets AQE split the rest.
-    return images.join(newest, [*spec.keys, spec.day], "inner").select(*cols(valid.columns))
+    # On key and day, so a busy key spreads over its days and AQE can split the rest.
+    return join_per_key(images, newest, [*spec.keys, spec.day], "inner").select(*cols(valid.columns))
 
 
 def log_days(log: DataFrame, spec: TableSpec, until: str | date | None = None) -> DataFrame:

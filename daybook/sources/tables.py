@@ -15,8 +15,9 @@ from daybook.spec import TableSpec
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """No rows of a given schema, as a local relation Spark can optimize away."""
-    return spark.createDataFrame([], schema)
+    """No rows of a given schema, known to be empty when the query is planned."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(*columns).where(F.lit(False))
 
 
 def read_parquet_if_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:

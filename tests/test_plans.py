@@ -1,0 +1,137 @@
+"""The shape of the physical plans: what is read, what is shuffled, what can be split."""
+
+import re
+from datetime import date
+
+import pytest
+from helpers import final_plan_of, plan_of
+from pyspark.sql import functions as F
+
+from daybook import TableSpec
+from daybook import operators as ops
+from daybook import sources
+
+ID = TableSpec("id")
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("plans")
+    rows = spark.range(2000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), (F.col("id") % 7).alias("w"))
+    sources.write_snapshot(rows, str(root / "old"))
+    sources.write_snapshot(rows.withColumn("w", F.col("w") + 1), str(root / "new"))
+    log = rows.select("id", "v", F.lit("I").alias("op"), F.date_add(F.lit(date(2025, 1, 1)), (F.col("w")).cast("int")).alias("day"))
+    sources.write_change_log(log, str(root / "log"), ID)
+    return root
+
+
+@pytest.fixture
+def pair(spark, tables, conf):
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    return [sources.read_snapshot(spark, str(tables / n)) for n in ("old", "new")]
+
+
+@pytest.fixture
+def log(spark, tables, conf):
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    return sources.read_change_log(spark, str(tables / "log"), ID)
+
+
+def _exchanges(plan):
+    return len(re.findall(r"\bExchange \w", plan))
+
+
+def test_unique_change_set_shuffles_each_side_once(pair):
+    plan = plan_of(ops.change_set(*pair, ID, keys_unique=True))
+    assert plan.count("FullOuter") == 1 and _exchanges(plan) == 2 and plan.count("FileScan") == 2
+
+
+def test_no_nested_loops_anywhere(pair, log):
+    for df in (
+        ops.change_set(*pair, ID),
+        ops.updated(*pair, ID),
+        ops.apply_changes(pair[0], log.drop("day"), ID),
+        ops.snapshot_as_of(log, "2025-01-03", ID),
+    ):
+        assert not re.search("NestedLoop|Cartesian", plan_of(df))
+
+
+def test_as_of_reads_only_the_days_up_to_the_target(log):
+    for unique in (False, True):
+        scans = [l for l in plan_of(ops.snapshot_as_of(log, "2025-01-03", ID, unique_per_day=unique)).splitlines() if "FileScan" in l]
+        assert scans and all("PartitionFilters: [isnotnull(day" in s and "<= 2025-01-03" in s for s in scans)
+        assert all("In(op, [D,I,U])" in s or "In(op, [I,U])" in s or "PushedFilters: [In(op" in s for s in scans)
+
+
+def test_finding_the_newest_day_reads_key_and_op_only(log):
+    plan = plan_of(ops.snapshot_as_of(log, "2025-01-03", ID))
+    assert "ReadSchema: struct<id:bigint,op:string>" in plan
+
+
+def test_window_form_trims_before_the_shuffle(log):
+    plan = plan_of(ops.snapshot_as_of(log, "2025-01-03", ID, unique_per_day=True))
+    assert plan.count("WindowGroupLimit") == 2 and _exchanges(plan) == 1
+
+
+def test_dedupe_trims_before_the_shuffle(pair):
+    plan = plan_of(ops.clean_dump(pair[0], ID))
+    assert plan.count("WindowGroupLimit") == 2 and _exchanges(plan) == 1
+
+
+def test_report_reads_one_column_and_keeps_the_top(pair):
+    plan = plan_of(ops.group_count(pair[0], "w"))
+    assert "TakeOrderedAndProject" in plan and "partial_count" in plan and "ReadSchema: struct<w:bigint>" in plan
+
+
+def test_key_quality_reads_only_the_key(pair):
+    plan = plan_of(ops.key_quality(pair[0], ID))
+    assert "ReadSchema: struct<id:bigint>" in plan and plan.count("FileScan") == 1
+
+
+def test_first_day_needs_no_join(spark, pair):
+    empty = sources.empty_frame(spark, pair[1].schema)
+    final = final_plan_of(ops.change_set(empty, pair[1], ID, keys_unique=True))
+    assert "Join" not in final and "Exchange" not in final
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "16",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10KB",
+}
+
+
+def _hot(spark, hot_key, tag="v"):
+    """A third of the rows share one key."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(hot_key)).otherwise(F.col("id"))
+    return spark.range(0, 60_000, 1, 8).select(key.cast("long").alias("id"), F.sha2(F.concat(F.lit(tag), F.col("id")), 256).alias("v"))
+
+
+@pytest.mark.parametrize("hot_key", [7, None])
+def test_a_hot_key_is_split_over_several_tasks(spark, conf, hot_key):
+    conf(SKEW)
+    rows = _hot(spark, hot_key)
+    few = spark.range(0, 1000, 1, 2).select("id", F.lit("x").alias("v"))
+    assert "skew=true" in final_plan_of(ops.inserted(few, rows, ID))
+    assert "skew=true" in final_plan_of(ops.deleted(rows, few, ID))
+    assert "skew=true" in final_plan_of(ops.change_set(few, rows, ID))
+    changes = few.withColumn("op", F.lit("U"))
+    assert "skew=true" in final_plan_of(ops.apply_changes(rows, changes, ID))
+
+
+def test_a_hot_key_and_day_is_split_over_several_tasks(spark, conf):
+    conf(SKEW)
+    log = _hot(spark, 7).withColumn("op", F.lit("I")).withColumn("day", F.lit(date(2025, 1, 1)))
+    as_of = ops.snapshot_as_of(log, "2025-01-02", ID)
+    assert "skew=true" in final_plan_of(as_of)
+    assert as_of.count() == 60_000
+
+
+def test_null_keys_skip_the_shuffle_when_replaying(log):
+    for unique in (False, True):
+        as_of = ops.snapshot_as_of(log, "2025-01-03", ID, unique_per_day=unique)
+        branches = plan_of(as_of).split("\n+- ")[-1].split("\n   +- ")
+        assert "IsNull(id)" in branches[-1] and "Exchange" not in branches[-1]
