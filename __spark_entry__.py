@@ -360,10 +360,10 @@ def change_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 DAYS = (date(2025, 1, 1), date(2025, 1, 2), date(2025, 1, 3))
 
 
-def _integrated(spark: SparkSession, sf_dir: str) -> sources.DumpStore:
+def _integrated(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> sources.DumpStore:
     """Three days of dumps through the daily job: the old, the new, the old again."""
     root = _scratch(spark)
-    store = sources.DumpStore(f"{root}/store", LINE)
+    store = sources.DumpStore(f"{root}/store", LINE, buckets)
     old, new = _line_dumps(spark, sf_dir)
     for name, dump in (("old", old), ("new", new)):
         dump.write.option("header", True).csv(f"{root}/{name}")
@@ -385,9 +385,14 @@ def integrate_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _integrated(spark, sf_dir).change_log(spark)
 
 
+def integrate_bucketed_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _integrated(spark, sf_dir, buckets=width).change_log(spark)
+
+
 def integrate_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     commits = _integrated(spark, sf_dir).commits(spark)
-    return commits.drop("snapshot_schema", "log_columns")
+    return commits.drop("snapshot_schema", "log_columns", "buckets")
 
 
 def recompute_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -443,6 +448,7 @@ _QUERIES: tuple[Query, ...] = (
     integrate_then_as_of,
     integrate_latest_snapshot,
     integrate_change_log,
+    integrate_bucketed_change_log,
     integrate_figures,
     recompute_snapshot,
     report_latest,
@@ -554,6 +560,7 @@ UNION ALL SELECT doc_id, CAST(NULL AS VARCHAR), quality FROM labels""",
         "integrate_then_as_of": f"{clean_days} SELECT * FROM second",
         "integrate_latest_snapshot": f"{clean_days} SELECT * FROM first",
         "integrate_change_log": f"{clean_days} {three_days}",
+        "integrate_bucketed_change_log": f"{clean_days} {three_days}",
         "integrate_figures": f"""{clean_days},
 log AS ({three_days}),
 dumps AS (SELECT *, DATE '2025-01-01' AS day FROM old UNION ALL SELECT *, DATE '2025-01-02' FROM new

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.functions.names import col, same_name
 
@@ -29,11 +30,12 @@ def align_snapshots(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFram
 
     # Analysis only: asks Spark for the common types, reads nothing.
     both = new.unionByName(old, allowMissingColumns=True).schema
-    return _cast(old, both), _cast(new, both)
+    return cast_to(old, both), cast_to(new, both)
 
 
-def _cast(df: DataFrame, target) -> DataFrame:
-    wrong = {c for c in df.columns if df.schema[c].dataType != target[c].dataType}
+def cast_to(df: DataFrame, target: T.StructType) -> DataFrame:
+    """The frame with the columns ``target`` names cast to its types."""
+    wrong = {c for c in target.names if c in df.columns and df.schema[c].dataType != target[c].dataType}
     if not wrong:
         return df
     return df.select(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from daybook.functions.days import parse_day
 from daybook.functions.names import col, cols, find_column, require_columns, spec_for
 from daybook.functions.predicates import any_null, none_null
-from daybook.operators.align import align_union
+from daybook.operators.align import align_union, cast_to
 from daybook.operators.joins import join_per_key
 from daybook.spec import OPS, UPSERTS, TableSpec
 
@@ -43,9 +43,11 @@ def apply_changes(snapshot: DataFrame, changes: DataFrame, spec: TableSpec) -> D
 
 def _replace(base: DataFrame, touched: DataFrame, fresh: DataFrame, spec: TableSpec) -> DataFrame:
     keys = require_columns(base, spec.keys, "the snapshot")
-    types = [base.schema[k].dataType for k in keys]
-    renamed = touched.select(*[col(t).cast(ty).alias(k) for t, ty, k in zip(spec.keys, types, keys)])
-    return align_union(join_per_key(base, renamed, keys, "left_anti"), fresh)
+    touched = touched.toDF(*keys)
+    # Analysis only: the key types both sides can be compared in.
+    types = base.select(*cols(keys)).union(touched).schema
+    kept = join_per_key(cast_to(base, types), cast_to(touched, types), keys, "left_anti")
+    return align_union(kept, fresh)
 
 
 def snapshot_as_of(

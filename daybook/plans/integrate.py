@@ -14,7 +14,7 @@ from daybook.functions.names import find_column, require_columns
 from daybook.operators.diff import change_counts, change_set
 from daybook.operators.quality import clean_dump, key_quality
 from daybook.sources.csv_dump import read_csv_dump
-from daybook.sources.store import DumpStore, log_columns_of
+from daybook.sources.store import DumpStore, log_columns_of, schema_of
 from daybook.sources.tables import empty_frame, read_snapshot, write_snapshot
 from daybook.spec import DELETE, INSERT, UPDATE
 
@@ -72,26 +72,28 @@ def integrate_day(
     if taken:
         raise ValueError(f"the dump may not hold the log's own columns {taken}")
 
-    done = store.commit_of(spark, day)
-    if done is not None:
-        return Integration(day, True, _counts_of(done))
     last = store.newest_commit(spark)
-    if last is not None and last["day"] > day:
-        raise DayOrderError(f"{day} comes before {last['day']}, which is already integrated")
+    if last is not None and last["day"] >= day:
+        done = last if last["day"] == day else store.commit_of(spark, day)
+        if done is None:
+            raise DayOrderError(f"{day} comes before {last['day']}, which is already integrated")
+        return Integration(day, True, _counts_of(done))
 
     files = {"num_files": num_files, "max_rows_per_file": max_rows_per_file}
-    write_snapshot(clean_dump(dump, spec), store.snapshot_path(day), **files)
-    current = read_snapshot(spark, store.snapshot_path(day), _nullable(dump.schema))
+    store.write_snapshot(clean_dump(dump, spec), day, **files)
+    current = store.snapshot_by_key(spark, day, _nullable(dump.schema), store.buckets)
 
     if last is None:
         previous = empty_frame(spark, current.schema)
     else:
-        previous = store.read_committed_snapshot(spark, last)
+        previous = store.snapshot_by_key(spark, last["day"], schema_of(last), last["buckets"])
     changes = change_set(previous, current, spec, keys_unique=True)
     log_columns = _log_columns(None if last is None else log_columns_of(last), changes.drop(spec.op).schema)
     # Written as the day's directory, so that a day without changes replaces, too,
-    # whatever a failed run may have left there.
-    write_snapshot(changes, store.log_path(day), **files)
+    # whatever a failed run may have left there. The comparison runs on partitions
+    # sized for two dumps; the few changes among them are gathered into full files.
+    gathered = changes if last is None or num_files is not None else changes.hint("rebalance")
+    write_snapshot(gathered, store.log_path(day), **files)
 
     counts = _count(spark, store, day, dump, current, changes.schema, check_quality)
     store.write_commit(spark, day, current.schema, log_columns, counts)
@@ -135,4 +137,4 @@ def _count(spark, store, day, dump, current, change_schema, check_quality) -> di
 
 def _counts_of(commit) -> dict[str, int | None]:
     given = commit.asDict()
-    return {k: v for k, v in given.items() if k not in ("day", "snapshot_schema", "log_columns")}
+    return {k: v for k, v in given.items() if k not in ("day", "snapshot_schema", "log_columns", "buckets")}

@@ -23,7 +23,7 @@ def read_csv_dump(
     column of that name. Further Spark CSV options pass through.
     """
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
+        schema = T.StructType.fromDDL(schema)
     if malformed_column:
         schema = T.StructType([*schema.fields, T.StructField(malformed_column, T.StringType())])
         options["columnNameOfCorruptRecord"] = malformed_column

@@ -20,8 +20,15 @@ from pyspark.sql import types as T
 
 from daybook.errors import NoSnapshotError
 from daybook.functions.days import parse_day
-from daybook.functions.names import col
-from daybook.sources.tables import empty_frame, log_schema, read_parquet_if_any, read_snapshot
+from daybook.functions.names import col, require_columns
+from daybook.sources.buckets import read_bucketed, write_bucketed
+from daybook.sources.tables import (
+    empty_frame,
+    log_schema,
+    read_parquet_if_any,
+    read_snapshot,
+    write_snapshot,
+)
 from daybook.spec import TableSpec
 
 _COUNTS = (
@@ -35,6 +42,7 @@ _COUNTS = (
 )
 _COMMIT_FIELDS = T.StructType(
     [T.StructField("snapshot_schema", T.StringType()), T.StructField("log_columns", T.StringType())]
+    + [T.StructField("buckets", T.IntegerType())]
     + [T.StructField(c, T.LongType()) for c in _COUNTS]
 )
 COMMIT_SCHEMA = T.StructType([*_COMMIT_FIELDS.fields, T.StructField("day", T.DateType())])
@@ -42,10 +50,17 @@ COMMIT_SCHEMA = T.StructType([*_COMMIT_FIELDS.fields, T.StructField("day", T.Dat
 
 @dataclass(frozen=True)
 class DumpStore:
-    """A root directory on any file system Spark can reach, and the table's spec."""
+    """A root directory on any file system Spark can reach, and the table's spec.
+
+    ``buckets`` lays snapshots out by key in that many buckets, which saves the
+    daily comparison its shuffles. Choose it so that a bucket is a task's worth of
+    data, and ``spark.sql.shuffle.partitions`` as a multiple of it. It may change
+    from one day to the next; that day's comparison shuffles one side.
+    """
 
     root: str
     spec: TableSpec
+    buckets: int | None = None
 
     def _path(self, kind: str, day: date | None = None) -> str:
         base = f"{self.root.rstrip('/')}/{kind}"
@@ -81,7 +96,12 @@ class DumpStore:
         log_columns: T.StructType,
         counts: dict[str, int | None],
     ) -> None:
-        values = {"snapshot_schema": snapshot_schema.json(), "log_columns": log_columns.json(), **counts}
+        values = {
+            "snapshot_schema": snapshot_schema.json(),
+            "log_columns": log_columns.json(),
+            "buckets": self.buckets,
+            **counts,
+        }
         one = spark.range(0, 1, 1, 1).select(
             *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in _COMMIT_FIELDS.fields]
         )
@@ -89,6 +109,30 @@ class DumpStore:
 
     # -- data ------------------------------------------------------------
 
+    def write_snapshot(
+        self, df: DataFrame, day: date, *, num_files: int | None, max_rows_per_file: int | None
+    ) -> None:
+        """Store a day's cleaned dump. Only ever called for a day without a commit."""
+        path = self.snapshot_path(day)
+        if self.buckets is None:
+            write_snapshot(df, path, num_files=num_files, max_rows_per_file=max_rows_per_file)
+            return
+        if num_files is not None:
+            raise ValueError("a bucketed store sets the number of files itself")
+        keys = require_columns(df, self.spec.keys, "the dump")
+        self._delete(df.sparkSession, path)
+        write_bucketed(df, path, keys, self.buckets, max_rows_per_file=max_rows_per_file)
+
+    def snapshot_by_key(
+        self, spark: SparkSession, day: date, schema: T.StructType, buckets: int | None
+    ) -> DataFrame:
+        """A stored snapshot for joining on its key, in its buckets if it has any."""
+        plain = read_snapshot(spark, self.snapshot_path(day), schema)
+        if buckets is None:
+            return plain
+        keys = require_columns(plain, self.spec.keys, "the snapshot")
+        return read_bucketed(spark, self.snapshot_path(day), schema, keys, buckets)
+
     def read_committed_snapshot(self, spark: SparkSession, commit: Row) -> DataFrame:
         return read_snapshot(spark, self.snapshot_path(commit["day"]), schema_of(commit))
 
@@ -134,10 +178,13 @@ class DumpStore:
         committed = self.commits(spark).where(F.col("day").isin(stored)).select("day")
         days = sorted(r["day"] for r in committed.collect())
         for day in days[:-keep]:
-            fs, path = self._file_system(spark, self.snapshot_path(day))
-            fs.delete(path, True)
+            self._delete(spark, self.snapshot_path(day))
         return days[:-keep]
 
+    def _delete(self, spark: SparkSession, path: str) -> None:
+        fs, target = self._file_system(spark, path)
+        fs.delete(target, True)
+
     @staticmethod
     def _file_system(spark: SparkSession, path: str):
         # The same resolver Spark's readers use, so any scheme works alike.

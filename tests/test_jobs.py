@@ -2,12 +2,13 @@ from collections import Counter
 from datetime import date
 
 import pytest
-from helpers import bag
+from helpers import bag, plan_of
 
 from daybook import DayOrderError, KeyQualityError, MissingColumnError, NoSnapshotError, TableSpec
 from daybook import operators as ops
 from daybook import plans, sources
 from daybook.plans import integrate as integrate_module
+from daybook.sources.store import schema_of
 
 ID = TableSpec("id")
 SCHEMA = "id string, name string, city string"
@@ -212,3 +213,54 @@ def test_diff_of_stored_snapshots(spark, tmp_path):
     with pytest.raises(KeyQualityError, match="newer"):
         plans.diff_snapshots(spark, paths[0], paths[2], ID, strict=True)
     assert bag(ops.change_counts(plans.diff_snapshots(spark, *paths[:2], ID), ID)) == Counter([("I", 1), ("U", 1), ("D", 1)])
+
+
+@pytest.fixture
+def bucketed(tmp_path):
+    return sources.DumpStore(str(tmp_path / "bucketed"), ID, buckets=4)
+
+
+def test_bucketed_store_gives_the_same_days(spark, bucketed):
+    _all_days(spark, bucketed)
+    assert bag(bucketed.change_log(spark)) == LOG
+    for day, rows in DUMPS.items():
+        for log_only in (False, True):
+            assert bag(plans.stored_snapshot_as_of(spark, bucketed, day, from_log_only=log_only)) == Counter(rows)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("daybook_")]
+    with pytest.raises(ValueError):
+        plans.integrate_day(spark, bucketed, "2025-02-01", _frame(spark, []), num_files=1)
+
+
+def test_bucketed_snapshots_are_compared_without_a_shuffle(spark, bucketed, conf, tmp_path):
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    for day, shift in ((date(2025, 1, 1), 0), (date(2025, 1, 2), 500)):
+        dump = spark.range(shift, 5000 + shift).selectExpr("cast(id as string) as id", "id % 7 as v")
+        done = plans.integrate_day(spark, bucketed, day, dump)
+        assert len(list((tmp_path / "bucketed/snapshots" / f"day={day}").glob("*.parquet"))) == 4
+    assert (done.counts["inserted"], done.counts["updated"], done.counts["deleted"]) == (500, 0, 500)
+    old, new = (
+        bucketed.snapshot_by_key(spark, c["day"], schema_of(c), c["buckets"])
+        for c in bucketed.commits(spark).orderBy("day").collect()
+    )
+    plan = plan_of(ops.change_set(old, new, ID, keys_unique=True))
+    assert "FullOuter" in plan and "Exchange" not in plan
+
+
+def test_bucket_count_may_change_and_need_not_divide_the_shuffle_width(spark, tmp_path):
+    days = list(DUMPS)
+    for day, buckets in zip(days, (4, 3, None, 2)):
+        store = sources.DumpStore(str(tmp_path / "s"), ID, buckets=buckets)
+        plans.integrate_day(spark, store, day, _frame(spark, DUMPS[day]))
+    assert bag(store.change_log(spark)) == LOG
+
+
+def test_a_bucketed_run_that_dies_can_be_repeated(spark, bucketed, monkeypatch):
+    days = list(DUMPS)
+    plans.integrate_day(spark, bucketed, days[0], _frame(spark, DUMPS[days[0]]))
+    with monkeypatch.context() as m:
+        m.setattr(sources.DumpStore, "write_commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError()))
+        with pytest.raises(RuntimeError):
+            plans.integrate_day(spark, bucketed, days[1], _frame(spark, [(str(i), "wrong", "dump") for i in range(50)]))
+    for day in days[1:]:
+        plans.integrate_day(spark, bucketed, day, _frame(spark, DUMPS[day]))
+    assert bag(bucketed.change_log(spark)) == LOG

@@ -46,6 +46,11 @@ def test_unique_change_set_shuffles_each_side_once(pair):
     assert plan.count("FullOuter") == 1 and _exchanges(plan) == 2 and plan.count("FileScan") == 2
 
 
+def test_log_rows_are_rebalanced_by_day(log):
+    plan = plan_of(log.hint("rebalance", F.col("day")))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
 def test_no_nested_loops_anywhere(pair, log):
     for df in (
         ops.change_set(*pair, ID),

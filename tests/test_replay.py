@@ -92,6 +92,12 @@ def test_apply_changes_null_fills_and_follows_spelling(spark):
     assert bag(got) == Counter([(1, "a", 9), (2, "c", None), (3, "d", None)])
 
 
+def test_apply_changes_compares_keys_in_the_wider_type(spark):
+    snapshot = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    changes = spark.createDataFrame([(2**32 + 1, "far", "I"), (2, "c", "U")], "id long, v string, op string")
+    assert bag(ops.apply_changes(snapshot, changes, ID)) == Counter([(1, "a"), (2**32 + 1, "far"), (2, "c")])
+
+
 def test_log_days_and_slices(spark):
     log = spark.createDataFrame([(1, "a", "I", D2), (2, "b", "D", D2), (3, "c", "U", D1)], LOG)
     assert [r["day"] for r in ops.log_days(log, ID).collect()] == [D1, D2]
