@@ -7,11 +7,13 @@ is reported once per older row of its key that it differs from.
 
 from __future__ import annotations
 
+import copy
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.names import col, cols, require_columns, require_comparable
-from daybook.functions.predicates import none_null, rows_differ
+from daybook.functions.predicates import any_null, none_null, rows_differ
 from daybook.operators.align import align_snapshots, align_union
 from daybook.operators.joins import join_per_key, repeat_rows
 from daybook.spec import DELETE, INSERT, UPDATE, TableSpec
@@ -34,6 +36,12 @@ class _Pair:
             if spec.op in side.columns:
                 raise ValueError(f"a snapshot may not hold a column named {spec.op!r}")
 
+    def part(self, old: DataFrame, new: DataFrame) -> _Pair:
+        """The same comparison on some of the rows."""
+        other = copy.copy(self)
+        other.old, other.new = old, new
+        return other
+
     def old_counts(self) -> DataFrame:
         """Older rows per key; combined before the shuffle."""
         keyed = self.old.where(none_null(cols(self.keys)))
@@ -89,18 +97,52 @@ def updated(old: DataFrame, new: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def change_set(
-    old: DataFrame, new: DataFrame, spec: TableSpec, *, keys_unique: bool = False
+    old: DataFrame,
+    new: DataFrame,
+    spec: TableSpec,
+    *,
+    keys_unique: bool = False,
+    repeated_keys: DataFrame | None = None,
 ) -> DataFrame:
     """All rows inserted, updated or deleted between two snapshots, with ``op``.
 
-    Both settings give the same rows for any input. ``keys_unique=True`` is for
-    snapshots known to hold one row per non-null key, such as cleaned dumps: one
-    full outer join, each side exchanged once. The default holds up when a key or
-    the null key has any number of rows: counts replace row pairs, and every join
-    has a left side that AQE may split.
+    The rows are the same whichever way is taken. By default the result holds up
+    when a key or the null key has any number of rows: counts replace row pairs,
+    and every join has a left side that AQE may split.
+
+    ``keys_unique=True`` is for snapshots known to hold one row per non-null key,
+    such as cleaned dumps: one full outer join, each side exchanged once.
+
+    ``repeated_keys`` is for snapshots with few repeated keys: a frame that holds
+    all of them, checked by the caller to be small, and is broadcast to keep those
+    rows out of the full outer join. Rows with a null key then skip every join.
     """
     pair = _Pair(old, new, spec)
-    return _by_full_join(pair, spec) if keys_unique else _by_counts(pair, spec)
+    if keys_unique:
+        return _by_full_join(pair, spec)
+    if repeated_keys is None:
+        return _by_counts(pair, spec)
+    return _by_full_join_but_for(pair, spec, repeated_keys)
+
+
+def _by_full_join_but_for(pair: _Pair, spec: TableSpec, repeated: DataFrame) -> DataFrame:
+    keys = pair.keys
+    few = F.broadcast(repeated.select(*cols(require_columns(repeated, keys, "the repeated keys"))).toDF(*keys))
+
+    def split(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        keyed = rows.where(none_null(cols(keys)))
+        kinds = [keyed.join(few, keys, how).select(*cols(rows.columns)) for how in ("left_anti", "left_semi")]
+        return kinds[0], kinds[1], rows.where(any_null(cols(keys)))
+
+    old_once, old_often, old_keyless = split(pair.old)
+    new_once, new_often, new_keyless = split(pair.new)
+    changes = align_union(
+        _by_full_join(pair.part(old_once, new_once), spec),
+        _by_counts(pair.part(old_often, new_often), spec),
+        _tag(new_keyless, spec, INSERT),
+        _tag(old_keyless, spec, DELETE),
+    )
+    return changes.select(*cols([*pair.columns, spec.op]))
 
 
 def _by_counts(pair: _Pair, spec: TableSpec) -> DataFrame:

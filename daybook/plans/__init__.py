@@ -1,11 +1,12 @@
 """Jobs: operators put together with storage. These run Spark actions."""
 
-from daybook.plans.compare import diff_snapshots
+from daybook.plans.compare import FEW_KEYS, diff_snapshots
 from daybook.plans.integrate import Integration, integrate_csv, integrate_day
 from daybook.plans.latest import report_latest
 from daybook.plans.recompute import recompute_snapshot, stored_snapshot_as_of
 
 __all__ = [
+    "FEW_KEYS",
     "Integration",
     "diff_snapshots",
     "integrate_csv",

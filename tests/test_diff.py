@@ -91,6 +91,18 @@ def test_random_bags_against_all_pairs(spark, unique):
     assert bag(got) == expected
 
 
+@pytest.mark.parametrize("extra", [0, 2])
+def test_setting_repeated_keys_apart_changes_nothing(spark, extra):
+    pairs = _random_bags(13, 150)
+    schema, spec = "c int, id int, v double, s string", TableSpec(("c", "id"))
+    old, new = (spark.createDataFrame(sum((p[i] for p in pairs), []), schema) for i in (0, 1))
+    repeated = ops.align_union(*[ops.duplicate_keys(side, spec).drop("count") for side in (old, new)]).distinct()
+    # Keys that do not repeat, or do not occur, may be among them.
+    repeated = repeated.union(spark.createDataFrame([(c, 1) for c in range(extra * 100)], "c int, id int")).distinct()
+    got = ops.change_set(old, new, spec, repeated_keys=repeated)
+    assert bag(got) == sum((brute_change_set(o, n, 2) for o, n in pairs), Counter())
+
+
 def test_parts_add_up_to_the_change_set(spark):
     pairs = _random_bags(11, 60)
     schema, spec = "c int, id int, v double, s string", TableSpec(("c", "id"))
