@@ -41,12 +41,19 @@ def apply_changes(snapshot: DataFrame, changes: DataFrame, spec: TableSpec) -> D
     return _replace(snapshot, _touched_keys(changes, spec), fresh, spec)
 
 
-def _replace(base: DataFrame, touched: DataFrame, fresh: DataFrame, spec: TableSpec) -> DataFrame:
+def _replace(
+    base: DataFrame, touched: DataFrame, fresh: DataFrame, spec: TableSpec, *, unique: bool = False
+) -> DataFrame:
     keys = require_columns(base, spec.keys, "the snapshot")
     touched = touched.toDF(*keys)
     # Analysis only: the key types both sides can be compared in.
     types = base.select(*cols(keys)).union(touched).schema
-    kept = join_per_key(cast_to(base, types), cast_to(touched, types), keys, "left_anti")
+    base, touched = cast_to(base, types), cast_to(touched, types)
+    if unique:
+        # No key is hot, and a bucketed base keeps its layout.
+        kept = base.join(touched, keys, "left_anti").select(*cols(base.columns))
+    else:
+        kept = join_per_key(base, touched, keys, "left_anti")
     return align_union(kept, fresh)
 
 
@@ -56,6 +63,7 @@ def snapshot_as_of(
     spec: TableSpec,
     *,
     unique_per_day: bool = False,
+    null_keys: bool = True,
     base: DataFrame | None = None,
     base_day: str | date | None = None,
 ) -> DataFrame:
@@ -68,6 +76,7 @@ def snapshot_as_of(
     a (key, day) group with many rows has to fit one task.
 
     ``base`` is the table at the end of ``base_day``: only later days are replayed.
+    ``null_keys=False`` says the log has none, which saves looking for them.
     """
     target = parse_day(day)
     spec = spec_for(log, spec, "the change log", log=True)
@@ -82,11 +91,13 @@ def snapshot_as_of(
     valid = log.where(in_reach & col(spec.op).isin(*OPS))
 
     newest = _newest_by_window if unique_per_day else _newest_by_join
-    keyless = valid.where(any_null(cols(spec.keys)) & col(spec.op).isin(*UPSERTS))
-    rows = _images(newest(valid.where(none_null(cols(spec.keys))), spec).unionByName(keyless), spec)
+    rows = newest(valid.where(none_null(cols(spec.keys))), spec)
+    if null_keys:
+        rows = rows.unionByName(valid.where(any_null(cols(spec.keys)) & col(spec.op).isin(*UPSERTS)))
+    rows = _images(rows, spec)
     if base is None:
         return rows
-    return _replace(base, _touched_keys(valid, spec), rows, spec)
+    return _replace(base, _touched_keys(valid, spec), rows, spec, unique=unique_per_day)
 
 
 def _newest_by_window(valid: DataFrame, spec: TableSpec) -> DataFrame:

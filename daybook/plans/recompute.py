@@ -30,9 +30,12 @@ def stored_snapshot_as_of(
     base_commit = None if from_log_only else _newest_kept(spark, store, commit["day"])
     base, base_day = None, None
     if base_commit is not None:
-        base, base_day = store.read_committed_snapshot(spark, base_commit), base_commit["day"]
-    # The daily job logs one row per key and day at most.
-    rows = snapshot_as_of(log, target, store.spec, unique_per_day=True, base=base, base_day=base_day)
+        base_day = base_commit["day"]
+        base = store.snapshot_by_key(spark, base_day, schema_of(base_commit), base_commit["buckets"])
+    # The daily job logs one row per key and day at most, and no null keys.
+    rows = snapshot_as_of(
+        log, target, store.spec, unique_per_day=True, null_keys=False, base=base, base_day=base_day
+    )
     return rows.select(*cols(schema_of(commit).names))
 
 
