@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from daybook import TableSpec
 from daybook import operators as ops
 from daybook import sources
+from daybook.settings import SETTINGS
 
 ID = TableSpec("id")
 
@@ -140,3 +141,11 @@ def test_null_keys_skip_the_shuffle_when_replaying(log):
         as_of = ops.snapshot_as_of(log, "2025-01-03", ID, unique_per_day=unique)
         branches = plan_of(as_of).split("\n+- ")[-1].split("\n   +- ")
         assert "IsNull(id)" in branches[-1] and "Exchange" not in branches[-1]
+
+
+def test_settings_hash_small_partitions_and_sort_large_ones(pair, conf):
+    conf({**SETTINGS, "spark.sql.autoBroadcastJoinThreshold": "-1"})
+    change_set = lambda: ops.change_set(*pair, ID, keys_unique=True)
+    assert "ShuffledHashJoin" in final_plan_of(change_set())
+    conf({"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "1KB"})
+    assert "SortMergeJoin" in final_plan_of(change_set())
