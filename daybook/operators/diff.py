@@ -60,6 +60,8 @@ class _Pair:
         )
         matches = [col(k, "n") == col(k, "s") for k in self.keys]
         matches += [col(c, "n").eqNullSafe(col(c, "s")) for c in self.compared]
+        # As in join_per_key: keeps Spark from reusing the aggregate's layout.
+        matches.append(F.xxhash64(*cols(self.keys, "n")) == F.xxhash64(*cols(self.keys, "s")))
         return rows.alias("n").join(same.alias("s"), matches, "left").select("n.*", "s._n_same")
 
 

@@ -29,12 +29,17 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str)
 
 
 def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
-    """Each row ``times`` times, in blocks so that no large array is ever built."""
+    """Each row ``times`` times.
+
+    A row wanted very often becomes blocks first, and the blocks are dealt out
+    over all tasks before they unfold, so no task and no array gets it whole.
+    """
     kept = df.columns
-    return (
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = (
         df.withColumn("_times", times.cast("long"))
         .withColumn("_block", F.explode(F.expr(f"sequence(0L, (_times - 1) div {_BLOCK})")))
-        .withColumn("_nth", F.explode(F.expr(f"sequence(1L, least({_BLOCK}L, _times - _block * {_BLOCK}))")))
-        .select(*cols(kept))
+        .select(*cols(kept), F.expr(f"least({_BLOCK}L, _times - _block * {_BLOCK})").alias("_size"))
     )
-
+    unfolded = blocks.repartition(width).withColumn("_nth", F.explode(F.expr("sequence(1L, _size)")))
+    return unfolded.select(*cols(kept))

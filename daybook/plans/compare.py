@@ -47,5 +47,5 @@ def diff_snapshots(
         changes = change_set(old, new, spec)
     if output is None:
         return changes
-    write_snapshot(changes, output)
+    write_snapshot(changes.hint("rebalance"), output)
     return read_snapshot(spark, output, changes.schema)

@@ -128,6 +128,17 @@ def test_a_hot_key_is_split_over_several_tasks(spark, conf, hot_key):
     assert "skew=true" in final_plan_of(ops.apply_changes(rows, changes, ID))
 
 
+def test_join_inputs_come_straight_from_a_shuffle(spark, conf):
+    conf(SKEW)
+    rows = _hot(spark, 7)
+    # Without nulls, Spark would compare by = and could reuse the aggregates' layout.
+    never_null = rows.select("id", F.coalesce("v", F.lit("")).alias("v"))
+    for side in (rows, never_null):
+        plan = plan_of(ops.updated(side, side, ID))
+        # Two joins of two inputs each, the two aggregates, and the dealing out.
+        assert plan.count("SortMergeJoin") == 2 and _exchanges(plan) == 2 * 2 + 2 + 1
+
+
 def test_a_hot_key_and_day_is_split_over_several_tasks(spark, conf):
     conf(SKEW)
     log = _hot(spark, 7).withColumn("op", F.lit("I")).withColumn("day", F.lit(date(2025, 1, 1)))
@@ -136,6 +147,15 @@ def test_a_hot_key_and_day_is_split_over_several_tasks(spark, conf):
     assert as_of.count() == 60_000
 
 
+def test_one_row_wanted_very_often_is_spread_over_tasks(spark, conf):
+    conf({"spark.sql.shuffle.partitions": "8"})
+    old = spark.range(2_000_000).selectExpr("7 as id", "'old' as v")
+    new = spark.createDataFrame([(7, "new")], "id int, v string")
+    per_task = ops.updated(old, new, ID).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 2_000_000
+    assert len(per_task) == 8 and max(r["count"] for r in per_task) <= 5 * 65_536
+
+
 def test_null_keys_skip_the_shuffle_when_replaying(log):
     for unique in (False, True):
         as_of = ops.snapshot_as_of(log, "2025-01-03", ID, unique_per_day=unique)
