@@ -7,10 +7,7 @@ are the operators' own parameters (the day to rebuild, the day to slice).
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
+import importlib.util
 from collections.abc import Callable
 from datetime import date
 
@@ -20,9 +17,22 @@ from pyspark.sql import functions as F
 from daybook import TableSpec
 from daybook import operators as ops
 from daybook import plans, sources
+from daybook.sources.scratch import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The subpackage for training data and its pipeline may have been left out.
+_LLM_QUERIES: dict[str, Query] = {}
+_LLM_SQL: dict[str, str] = {}
+if importlib.util.find_spec("daybook.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline
+    from daybook.llm import queries as llm_queries
+
+    _LLM_QUERIES = llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    _LLM_SQL = dict(llm_queries.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _LLM_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 
 # -- inputs ----------------------------------------------------------------
 
@@ -31,20 +41,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A fresh directory under the cluster's shared folder.
-
-    Without that setting only a local session may go on, in a folder of its own.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="daybook-")
-        atexit.register(shutil.rmtree, shared, ignore_errors=True)
-    return f"{shared.rstrip('/')}/daybook-{uuid.uuid4().hex}"
-
-
 ORDER = TableSpec("o_orderkey")
 LINE = TableSpec(("l_orderkey", "l_linenumber"))
 CUSTOMER_LOG = TableSpec("o_custkey")
@@ -242,7 +238,7 @@ def preview_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def diff_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _scratch(spark)
+    root = scratch_folder(spark)
     old, new = _line_dumps(spark, sf_dir)
     sources.write_snapshot(old, f"{root}/old")
     sources.write_snapshot(new, f"{root}/new")
@@ -349,19 +345,19 @@ def align_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_dump_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = _table(spark, sf_dir, "customer")
-    path = f"{_scratch(spark)}/dump"
+    path = f"{scratch_folder(spark)}/dump"
     customers.write.option("header", True).csv(path)
     return sources.read_csv_dump(spark, path, customers.schema)
 
 
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{_scratch(spark)}/snapshot"
+    path = f"{scratch_folder(spark)}/snapshot"
     sources.write_snapshot(_table(spark, sf_dir, "part"), path, num_files=2)
     return sources.read_snapshot(spark, path)
 
 
 def change_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{_scratch(spark)}/log"
+    path = f"{scratch_folder(spark)}/log"
     log = _monthly_log(spark, sf_dir)
     sources.write_change_log(log, path, CUSTOMER_LOG)
     return sources.read_change_log(spark, path, CUSTOMER_LOG, schema=log.schema)
@@ -372,7 +368,7 @@ DAYS = (date(2025, 1, 1), date(2025, 1, 2), date(2025, 1, 3))
 
 def _integrated(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> sources.DumpStore:
     """Three days of dumps through the daily job: the old, the new, the old again."""
-    root = _scratch(spark)
+    root = scratch_folder(spark)
     store = sources.DumpStore(f"{root}/store", LINE, buckets)
     old, new = _line_dumps(spark, sf_dir)
     for name, dump in (("old", old), ("new", new)):
@@ -407,7 +403,7 @@ def integrate_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def recompute_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _integrated(spark, sf_dir)
-    output = f"{_scratch(spark)}/rebuilt"
+    output = f"{scratch_folder(spark)}/rebuilt"
     plans.recompute_snapshot(spark, store, DAYS[1], output)
     return sources.read_snapshot(spark, output)
 
@@ -468,11 +464,15 @@ _QUERIES: tuple[Query, ...] = (
 
 def queries() -> dict[str, Query]:
     """Every registered query by name."""
-    return {q.__name__: q for q in _QUERIES}
+    return {q.__name__: q for q in _QUERIES} | _LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results in DuckDB SQL over the same tables."""
+    return _own_sql() | _LLM_SQL
+
+
+def _own_sql() -> dict[str, str]:
     null_key_as_of = f"""WITH {NULL_KEY_LOG}
 {SNAPSHOT_AS_OF} AND o_custkey IS NOT NULL
 UNION ALL SELECT o_custkey, o_orderkey, o_totalprice FROM log
