@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (
@@ -19,7 +19,9 @@ from daybook.llm import (
     packing,
     sharding,
     simhash,
+    substrings,
     toxicity,
+    url_lists,
 )
 from daybook.llm.common import utf8
 from daybook.sources.scratch import scratch_folder
@@ -59,12 +61,63 @@ def op1_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CRAWL_START = "2023-01-01"
+CRAWL_DAYS = 730
+
+
+def _digit(text: Column, i: int) -> Column:
+    """The i-th hex digit of the text's md5, as a number."""
+    return F.instr(F.lit("0123456789abcdef"), F.substring(F.md5(text), i, 1)) - 1
+
+
+def _dated_entries(hosts: DataFrame) -> DataFrame:
+    """Dated list entries of the hosts that occur: some added, some removed, some added again.
+
+    Every domain of two labels is on a list of its own for a month.
+    """
+    day = _digit(F.col("host"), 1) * 16 + _digit(F.col("host"), 2)
+    kind = _digit(F.col("host"), 3)
+    start = F.lit(CRAWL_START).cast("date")
+
+    def entry(name: str, rule: str, action: str, days: Column) -> Column:
+        at = F.date_add(start, days.cast("int"))
+        return F.struct(
+            F.lit(name).alias("list"), F.col(rule).alias("rule"), F.lit(action).alias("action"), at.alias("at")
+        )
+
+    by_host = F.array(
+        entry("hosts", "host", url_lists.ADD, day),
+        entry("hosts", "host", url_lists.REMOVE, day + 90 + kind),
+        entry("hosts", "host", url_lists.ADD, day + 300),
+        entry("spam", "host", url_lists.ADD, day * 2),
+    )
+    taken = F.when(kind < 4, F.slice(by_host, 1, 3)).when(kind < 6, F.slice(by_host, 4, 1))
+    of_hosts = hosts.select(F.explode(taken).alias("e")).select("e.*")
+    domains = hosts.select(F.substring_index("host", ".", -2).alias("host")).distinct()
+    by_domain = F.array(
+        entry("domains", "host", url_lists.ADD, day * 2), entry("domains", "host", url_lists.REMOVE, day * 2 + 30)
+    )
+    return of_hosts.unionAll(domains.select(F.explode(by_domain).alias("e")).select("e.*"))
+
+
+def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages against lists dated over the two years in which they were fetched."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    fetched = F.date_add(F.lit(CRAWL_START).cast("date"), (F.col("page_id") % CRAWL_DAYS).cast("int"))
+    hosts = pages.select(url_lists.host_of(F.col("url")).alias("host")).where("host IS NOT NULL").distinct()
+    return url_lists.judge_captures(pages.withColumn("fetched_at", fetched), _dated_entries(hosts))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_documents(spark, sf_dir))
     taken = (F.col("size") * F.col("repetitions")).alias("taken")
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op4_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_documents(spark, sf_dir))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_documents(spark, sf_dir))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
@@ -93,6 +146,42 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir))
 
 
+OP2_SQL = r"""
+WITH captures AS (
+  SELECT page_id, url, CAST(DATE '2023-01-01' + CAST(page_id % 730 AS INTEGER) AS DATE) AS fetched_at,
+         nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '') AS host
+  FROM pages),
+hosts AS (SELECT DISTINCT host FROM captures WHERE host IS NOT NULL),
+named AS (
+  SELECT host, list_reduce(string_split(host, '.')[-2:], lambda a, b: a || '.' || b) AS domain FROM hosts),
+numbered AS (
+  SELECT name, kind_of,
+         (instr('0123456789abcdef', md5(name)[1]) - 1) * 16 + instr('0123456789abcdef', md5(name)[2]) - 1 AS day,
+         instr('0123456789abcdef', md5(name)[3]) - 1 AS kind
+  FROM (SELECT host AS name, 'host' AS kind_of FROM named
+        UNION ALL SELECT DISTINCT domain, 'domain' FROM named) AS names),
+entries AS (
+  SELECT 'hosts' AS list, name AS rule, unnest(['add', 'remove', 'add']) AS action,
+         unnest([day, day + 90 + kind, day + 300]) AS days
+  FROM numbered WHERE kind_of = 'host' AND kind < 4
+  UNION ALL SELECT 'spam', name, 'add', day * 2 FROM numbered WHERE kind_of = 'host' AND kind IN (4, 5)
+  UNION ALL SELECT 'domains', name, unnest(['add', 'remove']), unnest([day * 2, day * 2 + 30])
+  FROM numbered WHERE kind_of = 'domain'),
+dated AS (
+  SELECT list, rule, action, DATE '2023-01-01' + CAST(days AS INTEGER) AS since,
+         lead(DATE '2023-01-01' + CAST(days AS INTEGER)) OVER (PARTITION BY list, rule ORDER BY days) AS until
+  FROM entries),
+found AS (
+  SELECT page_id, count(*) AS n_active, string_agg(DISTINCT list, ',' ORDER BY list) AS lists
+  FROM captures JOIN dated
+    ON (host = rule OR (ends_with(host, '.' || rule) AND contains(rule, '.')))
+   AND action = 'add' AND since <= fetched_at AND (until IS NULL OR fetched_at < until)
+  GROUP BY page_id)
+SELECT page_id, url, fetched_at, host, coalesce(n_active, 0) AS n_active, coalesce(lists, '') AS lists,
+       n_active IS NOT NULL AS listed
+FROM captures LEFT JOIN found USING (page_id)
+"""
+
 OP9_SQL = r"""
 WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
 split AS (
@@ -150,7 +239,9 @@ FROM texts WINDOW same AS (PARTITION BY t)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_reshard": op1_reshard,
+    "op2_url_lists": op2_url_lists,
     "op3_mix": op3_mix,
+    "op4_remove_repeats": op4_remove_repeats,
     "op5_simhash": op5_simhash,
     "op6_toxicity": op6_toxicity,
     "op7_pack": op7_pack,
@@ -160,6 +251,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_url_lists": OP2_SQL,
     "op9_host_rules": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
 }
