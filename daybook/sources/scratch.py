@@ -9,6 +9,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder through Hadoop, so any file system Spark can write to will do."""
@@ -47,7 +49,13 @@ def saved(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` and read it back: what follows neither repeats nor varies its work.
 
     Values that differ between runs of a task, such as running numbers, are fixed
-    by the write.
+    by the write. Its shuffle files go at once: nothing reads them again.
     """
-    df.write.mode("overwrite").parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
