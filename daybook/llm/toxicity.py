@@ -25,7 +25,7 @@ from daybook.llm.fitting import labelled_sample, sigmoid
 #: The bound on what is learnt from: so many labelled documents, none longer than this.
 MAX_DOCS = 10000
 MAX_DOC_BYTES = 32 << 10
-MAX_FEATURES = 20000
+MAX_FEATURES = 4000
 MIN_DOCS = 3
 PREFIXES = (4, 5, 6)
 PENALTY = 2.0
