@@ -45,7 +45,7 @@ def scratch_folder(spark: SparkSession) -> str:
     return path
 
 
-def saved(df: DataFrame, path: str) -> DataFrame:
+def saved(df: DataFrame, path: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` and read it back: what follows neither repeats nor varies its work.
 
     Values that differ between runs of a task, such as running numbers, are fixed
@@ -55,7 +55,7 @@ def saved(df: DataFrame, path: str) -> DataFrame:
     before = conf.get(_CLEANUP, None)
     conf.set(_CLEANUP, "true")
     try:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression=compression)
     finally:
         conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
