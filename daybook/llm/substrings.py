@@ -15,11 +15,13 @@ anchor of a string is the place of the smallest hash among its ``k``-byte grams.
 Equal strings have equal anchors, wherever they stand, so strings can only be equal if
 their anchors' hashes are; a piece is a run of consecutive strings with one anchor, at
 most ``2 * LENGTH - k`` bytes. Pieces whose anchor hash occurs once have nothing to
-compare with and stay where they are; the others meet by hash, equal pieces are
-folded into their first occurrence before the shuffle, and collections of a bounded
-number of pieces are ordered as above. Where too many different pieces share an
-anchor, they are cut again by the anchors of longer grams, in the end of whole
-strings, where equal hash means equal piece.
+compare with and stay where they are. Of the others, equal ones fold into their first
+occurrence (by the anchor's hash and a hash of the whole piece, 128 bits together), in
+their block and again before the shuffle; bytes travel only for what then still shares
+an anchor with a different piece, and collections of a bounded number of such pieces
+are ordered as above. Where too many share an anchor, they are cut again by the
+anchors of longer grams, in the end of whole strings, where equal hash means equal
+piece.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +41,7 @@ from daybook.llm.common import picked
 from daybook.sources.scratch import saved, scratch_folder
 
 LENGTH = 100
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Anchor hashes per task that looks for repeated ones.
 HASHES = 1 << 19
 #: Different pieces of one anchor that are compared at once, and pieces per collection.
@@ -278,24 +281,30 @@ def _repeated_hashes(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_table(["block", "hashes"], [pa.int64(), pa.binary()], out)])
 
 
-_PIECE_NAMES = ["hash", "piece", *_OWNER]
-_PIECE_TYPES = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-_PIECES = "hash long, piece binary, no_id int, doc_id long, block long, idx int, start long"
+_KEY = ["hash", "digest", "size"]
+_PLACE_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+_PLACES = "no_id int, doc_id long, block long, idx int, start long"
+_FOUND = f"hash long, digest long, size int, {_PLACES}, copy boolean"
+_PIECES = f"hash long, digest long, size int, {_PLACES}, piece binary"
+_BYTES = f"hash long, n long, {_PLACES}, piece binary"
 _SPANS = "block long, idx int, start long, stop long"
 
 
-def _pieces(runs: Runs, data: bytes, first: np.ndarray, length: int) -> list[bytes]:
+def _cut(runs: Runs, data: bytes, first: np.ndarray, length: int) -> list[bytes]:
     lo = first[runs.member] + runs.start
     hi = lo + runs.n + length - 1
     return [data[a:b] for a, b in zip(lo.tolist(), hi.tolist())]
 
 
-def _chosen(runs: Runs, which: np.ndarray) -> Runs:
-    return Runs(runs.member[which], runs.start[which], runs.n[which], runs.hash[which])
+def _digests(pieces: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, pieces), dtype=np.uint64, count=len(pieces)).view(np.int64)
 
 
 def _piece_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Pieces of a block whose anchor hash is repeated, in another block or in this one."""
+    """Pieces of a block whose anchor hash is repeated, in another block or in this one.
+
+    Of equal pieces of the block all but the first are marked as copies.
+    """
     for batch in batches:
         for row in _rows(batch):
             data, sizes = _members(row)
@@ -304,20 +313,34 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
                 continue
             elsewhere = np.frombuffer(b"".join(row["answers"] or []), dtype=np.uint64)
             _, where, counts = np.unique(runs.hash, return_inverse=True, return_counts=True)
-            runs = _chosen(runs, (counts[where] > 1) | np.isin(runs.hash, elsewhere))
-            ids = row["ids"]
-            pieces = _pieces(runs, row["data"], np.cumsum(sizes) - sizes, length)
-            members = runs.member.tolist()
-            columns = [
-                pa.array(runs.hash.view(np.int64)),
-                pa.array(pieces, pa.binary()),
-                pa.array([int(ids[i] is None) for i in members], pa.int32()),
-                pa.array([ids[i] for i in members], pa.int64()),
-                pa.array([row["block"]] * len(members), pa.int64()),
-                pa.array(members, pa.int32()),
-                pa.array(runs.start, pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, _PIECE_NAMES)
+            which = (counts[where] > 1) | np.isin(runs.hash, elsewhere)
+            runs = Runs(runs.member[which], runs.start[which], runs.n[which], runs.hash[which])
+            digest = _digests(_cut(runs, row["data"], np.cumsum(sizes) - sizes, length))
+            no_id = np.array([i is None for i in row["ids"]], dtype=np.int32)[runs.member]
+            doc_id = np.array([i or 0 for i in row["ids"]], dtype=np.int64)[runs.member]
+            order = np.lexsort((runs.start, runs.member, doc_id, no_id, digest, runs.hash))
+            again = (np.diff(runs.hash[order].view(np.int64)) == 0) & (np.diff(digest[order]) == 0)
+            copy = np.zeros(len(order), dtype=bool)
+            copy[order[1:]] = again & (np.diff(runs.n[order]) == 0)
+            columns = [runs.hash.view(np.int64), digest, runs.n + length - 1, no_id, doc_id]
+            columns += [np.full(len(order), row["block"]), runs.member, runs.start, copy]
+            types = [pa.int64(), pa.int64(), pa.int32(), *_PLACE_TYPES, pa.bool_()]
+            names = [*_KEY, *_OWNER, "copy"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+
+def _bytes_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the pieces asked of each block."""
+    for batch in batches:
+        for row in _rows(batch):
+            first = (np.cumsum(row["sizes"]) - np.array(row["sizes"])).tolist()
+            rows = []
+            for w in row["wanted"]:
+                at = first[w["idx"]] + w["start"]
+                place = (w["no_id"], w["doc_id"], row["block"], w["idx"], w["start"])
+                rows.append((w["hash"], w["n"], *place, row["data"][at : at + w["size"]]))
+            names = ["hash", "n", *_OWNER, "piece"]
+            yield _table(names, [pa.int64(), pa.int64(), *_PLACE_TYPES, pa.binary()], rows)
 
 
 def _recut_batches(batches: Iterator[pa.RecordBatch], k: int, length: int) -> Iterator[pa.RecordBatch]:
@@ -327,12 +350,12 @@ def _recut_batches(batches: Iterator[pa.RecordBatch], k: int, length: int) -> It
         sizes = np.array([len(p) for p in held], dtype=np.int64)
         whole = b"".join(held)
         runs = anchor_runs(np.frombuffer(whole, dtype=np.uint8), sizes, k, length)
-        pieces = _pieces(runs, whole, np.cumsum(sizes) - sizes, length)
+        pieces = _cut(runs, whole, np.cumsum(sizes) - sizes, length)
         owner = {n: batch.column(n).take(pa.array(runs.member)) for n in _OWNER}
-        start = owner["start"].to_numpy() + runs.start
-        columns = [pa.array(runs.hash.view(np.int64)), pa.array(pieces, pa.binary())]
-        columns += [owner[n] for n in _OWNER[:-1]] + [pa.array(start, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, _PIECE_NAMES)
+        owner["start"] = pa.array(owner["start"].to_numpy() + runs.start, pa.int64())
+        columns = [pa.array(runs.hash.view(np.int64)), pa.array(_digests(pieces), pa.int64())]
+        columns += [pa.array(runs.n + length - 1, pa.int32()), *owner.values(), pa.array(pieces, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, [*_KEY, *_OWNER, "piece"])
 
 
 def _span_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -356,7 +379,7 @@ def _span_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
     for batch in batches:
         hashes = np.concatenate((hashes, batch.column("hash").to_numpy()))
         pieces = pieces + batch.column("piece").to_pylist()
-        new = [batch.column(n).fill_null(0).to_numpy().astype(np.int64) for n in _OWNER]
+        new = [batch.column(n).to_numpy().astype(np.int64) for n in _OWNER]
         owners = np.concatenate((owners, np.stack(new, axis=1)))
         if not len(hashes):
             continue
@@ -402,36 +425,38 @@ def _cut_batches(batches: Iterator[pa.RecordBatch], keep_bytes: bool) -> Iterato
 # -- the operator -------------------------------------------------------------------------
 
 
-def _compare(pieces: DataFrame, root: str, level: int, length: int) -> list[DataFrame]:
-    """Spans to remove among pieces that may share an anchor hash, this level's and the finer ones'."""
-    spark = pieces.sparkSession
+def _folded(pieces: DataFrame, root: str, level: int) -> tuple[DataFrame, DataFrame]:
+    """The first of each set of equal pieces, with ``n`` different ones of its anchor; the spans of all others."""
+    carried = [F.any_value("piece").alias("piece")] if "piece" in pieces.columns else []
     first = F.min(F.struct(*_OWNER)).alias("first")
-    # Copies fold into their first occurrence before the shuffle.
-    distinct = saved(pieces.groupBy("hash", "piece").agg(first), f"{root}/distinct-{level}")
+    distinct = saved(pieces.groupBy(*_KEY).agg(first, *carried), f"{root}/distinct-{level}")
     other = (F.col("block") != F.col("first.block")) | (F.col("idx") != F.col("first.idx"))
     other |= F.col("start") != F.col("first.start")
-    stop = (F.col("start") + F.octet_length("piece")).alias("stop")
-    copies = pieces.join(distinct, ["hash", "piece"]).where(other).select("block", "idx", "start", stop)
-    spans = [saved(copies, f"{root}/copies-{level}")]
-
-    counts = distinct.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-    counts = saved(counts, f"{root}/counts-{level}")
-    if counts.isEmpty():
-        return spans
-    several = distinct.join(counts, "hash").select("hash", "piece", "first.*", "n")
-    last = level == len(grams(length)) - 1
+    stop = (F.col("start") + F.col("size")).alias("stop")
+    joined = pieces.select(*_KEY, *_OWNER).join(distinct.select(*_KEY, "first"), _KEY)
+    copies = saved(joined.where(other).select("block", "idx", "start", stop), f"{root}/copies-{level}")
+    counts = saved(
+        distinct.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), f"{root}/counts-{level}"
+    )
+    several = distinct.join(counts, "hash").select(*_KEY, "n", "first.*", *["piece"] * len(carried))
+    return several, copies
+
+
+def _ordered(several: DataFrame, root: str, level: int, length: int) -> list[DataFrame]:
+    """Spans to remove among different pieces that share an anchor, this level's and the finer ones'."""
+    n, crowded = several.agg(F.count("*"), F.max("n") > CROWD).first()
+    if not n:
+        return []
+    k = grams(length)
+    last = level == len(k) - 1
     few = several if last else several.where(F.col("n") <= CROWD)
-    n_tasks = max(1, round((counts.agg(F.sum("n")).first()[0] or 0) / PIECES_PER_TASK))
-    ordered = few.drop("n").repartition(n_tasks, "hash").sortWithinPartitions("hash")
-    spans.append(saved(ordered.mapInArrow(partial(_span_batches, length=length), _SPANS), f"{root}/spans-{level}"))
-    if not last and not counts.where(F.col("n") > CROWD).isEmpty():
-        crowded = several.where(F.col("n") > CROWD).select(*_PIECE_NAMES)
-        recut = partial(_recut_batches, k=grams(length)[level + 1], length=length)
-        finer = saved(
-            crowded.repartition(spark.sparkContext.defaultParallelism * 4).mapInArrow(recut, _PIECES),
-            f"{root}/pieces-{level + 1}",
-        )
-        spans += _compare(finer, root, level + 1, length)
+    dealt = few.repartition(max(1, round(n / PIECES_PER_TASK)), "hash").sortWithinPartitions("hash")
+    spans = [saved(dealt.mapInArrow(partial(_span_batches, length=length), _SPANS), f"{root}/spans-{level}")]
+    if crowded and not last:
+        recut = partial(_recut_batches, k=k[level + 1], length=length)
+        finer = several.where(F.col("n") > CROWD).select(*_OWNER, "piece").mapInArrow(recut, _PIECES)
+        finer, copies = _folded(saved(finer, f"{root}/pieces-{level + 1}"), root, level + 1)
+        spans += [copies, *_ordered(saved(finer, f"{root}/several-{level + 1}"), root, level + 1, length)]
     return spans
 
 
@@ -448,7 +473,7 @@ def remove_repeats(
     root = scratch_folder(spark)
     source = picked(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text")
     blocks = source.mapInArrow(_block_batches, "ids array<long>, sizes array<long>, data binary")
-    blocks = saved(blocks.select(F.monotonically_increasing_id().alias("block"), "*"), f"{root}/blocks")
+    blocks = saved(blocks.select(F.monotonically_increasing_id().alias("block"), "*"), f"{root}/blocks", "zstd")
 
     total = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     # An anchor for about every third of a string's length.
@@ -457,8 +482,15 @@ def remove_repeats(
     answers = hashed.groupBy("bucket").applyInArrow(_repeated_hashes, "block long, hashes binary")
     answers = answers.groupBy("block").agg(F.collect_list("hashes").alias("answers"))
     answers = saved(answers, f"{root}/answers")
-    pieces = blocks.join(answers, "block", "left").mapInArrow(partial(_piece_batches, length=length), _PIECES)
-    spans = _compare(saved(pieces, f"{root}/pieces-0"), root, 0, length)
+    found = blocks.join(answers, "block", "left").mapInArrow(partial(_piece_batches, length=length), _FOUND)
+    found = saved(found, f"{root}/pieces-0")
+    several, copies = _folded(found.where("NOT copy").drop("copy"), root, 0)
+    wanted = several.groupBy("block").agg(
+        F.collect_list(F.struct("hash", "n", "no_id", "doc_id", "idx", "start", "size")).alias("wanted")
+    )
+    pieces = blocks.join(saved(wanted, f"{root}/wanted"), "block").mapInArrow(_bytes_batches, _BYTES)
+    near = found.where("copy").select("block", "idx", "start", (F.col("start") + F.col("size")).alias("stop"))
+    spans = [near, copies, *_ordered(saved(pieces, f"{root}/several-0"), root, 0, length)]
 
     joined = spans[0]
     for more in spans[1:]:
