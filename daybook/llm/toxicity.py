@@ -9,7 +9,7 @@ neutral mention of a group does not make a text look toxic.
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,9 +23,11 @@ from daybook.llm.common import batch_with, held_out, picked, schema_with
 from daybook.llm.fitting import labelled_sample, sigmoid
 
 #: The bound on what is learnt from: so many labelled documents, none longer than this.
-MAX_DOCS = 10000
+MAX_DOCS = 8000
 MAX_DOC_BYTES = 32 << 10
 MAX_FEATURES = 4000
+#: Features are counted and weighted by a hash of this many values.
+BUCKETS = 1 << 22
 MIN_DOCS = 3
 PREFIXES = (4, 5, 6)
 PENALTY = 2.0
@@ -62,9 +64,14 @@ def words_of(text: str | None) -> set[str]:
     return set(_WORD.findall((text or "").lower()))
 
 
-def features_of(word: str) -> list[str]:
-    """The word itself and its beginnings, which are marked apart from words."""
-    return [word, *(f"{word[:n]}-" for n in PREFIXES if len(word) > n)]
+def features_of(word: str) -> tuple[int, ...]:
+    """The word itself and its beginnings, which are marked apart from words, as hashes."""
+    names = [word, *(f"{word[:n]}-" for n in PREFIXES if len(word) > n)]
+    return tuple(zlib.crc32(name.encode("utf-8", "surrogatepass")) % BUCKETS for name in names)
+
+
+def _features(words: set[str]) -> np.ndarray:
+    return np.unique(np.fromiter((f for w in words for f in features_of(w)), dtype=np.int64))
 
 
 def swap_identities(words: set[str], rng: np.random.Generator) -> set[str] | None:
@@ -81,17 +88,18 @@ def swap_identities(words: set[str], rng: np.random.Generator) -> set[str] | Non
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    weights: dict[str, float]
+    weights: dict[int, float]
     constant: float
 
 
 class _Rows:
-    """Sparse rows of zeros and ones."""
+    """Sparse rows of zeros and ones over the chosen features (sorted)."""
 
-    def __init__(self, rows: list[list[int]], width: int) -> None:
-        self.at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        self.col = np.array([i for r in rows for i in r], dtype=np.int64)
-        self.n, self.width = len(rows), width
+    def __init__(self, rows: list[np.ndarray], chosen: np.ndarray) -> None:
+        kept = [r[np.isin(r, chosen, assume_unique=True)] for r in rows]
+        self.at = np.repeat(np.arange(len(rows)), [len(r) for r in kept])
+        self.col = np.searchsorted(chosen, np.concatenate([*kept, np.empty(0, dtype=np.int64)]))
+        self.n, self.width = len(rows), len(chosen)
 
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.at, weights=w[self.col], minlength=self.n)
@@ -100,21 +108,18 @@ class _Rows:
         return np.bincount(self.col, weights=v[self.at], minlength=self.width)
 
 
-def _vocabulary(found: list[set[str]], y: np.ndarray) -> list[str]:
-    """The features that tell toxic from other texts most surely, and all identity terms."""
-    toxic, other = Counter(), Counter()
+def _vocabulary(found: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """The features that tell toxic from other texts most surely, and all identity terms, sorted."""
+    counts = np.zeros((2, BUCKETS), dtype=np.int32)
     for features, label in zip(found, y):
-        (toxic if label else other).update(features)
-    n1, n0 = max(1, int(y.sum())), max(1, int(len(y) - y.sum()))
-    scored = []
-    for f in toxic.keys() | other.keys():
-        a, b = toxic[f], other[f]
-        if a + b >= MIN_DOCS:
-            share = (a + b) / (n1 + n0)
-            scored.append((-abs(a / n1 - b / n0) / np.sqrt(share * (1 - share) + 1e-9), f))
-    chosen = [f for _, f in sorted(scored)[:MAX_FEATURES]]
-    terms = [t for line in IDENTITY_TERMS for t in line]
-    return list(dict.fromkeys(chosen + terms))
+        counts[int(label), features] += 1
+    n1, n0 = y.sum(), len(y) - y.sum()
+    often = np.nonzero(counts.sum(axis=0) >= MIN_DOCS)[0]
+    other, toxic = counts[:, often]
+    share = (toxic + other) / len(y)
+    sure = np.abs(toxic / n1 - other / n0) / np.sqrt(share * (1 - share) + 1e-9)
+    chosen = often[np.argsort(-sure, kind="stable")[:MAX_FEATURES]]
+    return np.union1d(chosen, _features({t for line in IDENTITY_TERMS for t in line}))
 
 
 def fit_toxicity(
@@ -125,21 +130,19 @@ def fit_toxicity(
     if len(set(y)) < 2:
         mean = float(y.mean()) if len(y) else 0.0
         return ToxicityModel({}, float(np.log((mean + 1e-3) / (1 - mean + 1e-3))))
-    texts = [words_of(text) for text, _ in sample]
-    found = [{f for w in words for f in features_of(w)} for words in texts]
-    names = _vocabulary(found, y)
-    index = {f: i for i, f in enumerate(names)}
-    x = _Rows([[index[f] for f in sorted(fs) if f in index] for fs in found], len(names))
+    found, before, after = [], [], []
     rng = np.random.default_rng(seed)
-    before, after = [], []
-    for words in texts:
+    for text, _ in sample:
+        words = words_of(text)
+        found.append(_features(words))
         swapped = swap_identities(words, rng)
         if swapped is not None:
-            for rows, these in ((before, words), (after, swapped)):
-                rows.append(sorted({index[f] for w in these for f in features_of(w) if f in index}))
-    a, b = _Rows(before, len(names)), _Rows(after, len(names))
+            before.append(found[-1])
+            after.append(_features(swapped))
+    chosen = _vocabulary(found, y)
+    x, a, b = (_Rows(rows, chosen) for rows in (found, before, after))
 
-    w, c = np.zeros(len(names)), float(np.log(y.mean() / (1 - y.mean())))
+    w, c = np.zeros(len(chosen)), float(np.log(y.mean() / (1 - y.mean())))
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))  # both labels count alike
     m, v, mc, vc = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, rounds + 1):  # Adam on the whole sample
@@ -156,7 +159,7 @@ def fit_toxicity(
         up, down = 1 - 0.9**step, 1 - 0.999**step
         w -= 0.02 * (m / up) / (np.sqrt(v / down) + 1e-8)
         c -= 0.02 * (mc / up) / (np.sqrt(vc / down) + 1e-8)
-    return ToxicityModel({f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-4}, float(c))
+    return ToxicityModel({int(f): float(v) for f, v in zip(chosen, w) if abs(v) > 1e-4}, float(c))
 
 
 class _Scorer(dict):
@@ -168,7 +171,7 @@ class _Scorer(dict):
         super().__init__()
         self.model = model
 
-    def __missing__(self, word: str) -> tuple[str, ...]:
+    def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= self.LIMIT:
             self.clear()
         known = tuple(f for f in features_of(word) if f in self.model.weights)
