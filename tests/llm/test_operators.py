@@ -1,0 +1,420 @@
+"""Each operator against a plain version of itself, over odd rows and over none."""
+
+import hashlib
+import re
+import zlib
+from array import array
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from odd_documents import DOCS, rows
+from tokenizers import Tokenizer
+
+from daybook.llm import (
+    compression_quality,
+    exact_dedup,
+    host_rules,
+    mixing,
+    packing,
+    sharding,
+    simhash,
+    substrings,
+    toxicity,
+)
+from daybook.llm.common import rows_of
+from daybook.llm.cuts import find_cuts
+from daybook.llm.tokens import TokenIds
+
+SPACES = re.compile(r"[\x20\x09-\x0D]+")
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def last_if_null(i):
+    return (i is None, i or 0)
+
+
+# -- exact dedup ----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("first_bytes", [4, 128])
+def test_exact_duplicates(odd, odd_docs, first_bytes):
+    groups = defaultdict(list)
+    for i, text, _ in odd:
+        groups[SPACES.sub(" ", text or "")].append(i)
+    expected = Counter()
+    for text, ids in groups.items():
+        ids.sort(key=last_if_null)
+        for n, i in enumerate(ids):
+            sha = hashlib.sha256(text.encode()).hexdigest()
+            expected[(i, ids[0], len(ids), n == 0, sha)] += 1
+    found = exact_dedup.exact_duplicates(odd_docs, first_bytes=first_bytes).collect()
+    assert Counter(tuple(r) for r in found) == expected
+
+
+def test_exact_duplicates_keep_rows(odd_docs):
+    kept = exact_dedup.exact_duplicates(odd_docs, keep_rows=True).where("kept")
+    back = rows_of(kept, odd_docs.columns)
+    assert back.schema == odd_docs.schema
+    assert back.where("size = '9' AND h = 'h' AND kept = 'no'").count() == kept.count()
+
+
+# -- mixing ----------------------------------------------------------------------------
+
+
+def test_water_fill():
+    assert mixing.water_fill([10, 100, 100], [5, 2, 1], 150, 2) == pytest.approx([20, 2 / 3 * 130, 130 / 3])
+    assert mixing.water_fill([10, 10], [1, 1], 1000, 2) == [20, 20]
+    assert mixing.water_fill([0, 10], [5, 1], 12, 2) == [0, 12]
+    assert mixing.water_fill([], [], 0, 2) == []
+
+
+def test_mix(odd, odd_docs):
+    found = mixing.mix(odd_docs).collect()
+    assert sorted((last_if_null(r.doc_id), r.size) for r in found) == sorted(
+        (last_if_null(i), len(WORDS.findall(t or ""))) for i, t, _ in odd
+    )
+    source = {(i, len(WORDS.findall(t or ""))): s for i, t, s in odd}
+    totals, taken, targets = Counter(), Counter(), {}
+    for r in found:
+        s = source[(r.doc_id, r.size)]
+        totals[s] += r.size
+        taken[s] += r.size * r.repetitions
+        targets[s] = r.target
+        assert 0 <= r.repetitions <= 2
+    largest = Counter()
+    for r in found:
+        s = source[(r.doc_id, r.size)]
+        largest[s] = max(largest[s], r.size)
+    ordered = sorted(totals, key=lambda s: (s is None, s or ""))
+    weights = [(5, 2, 1)[i % 3] for i in range(len(ordered))]
+    expected = mixing.water_fill([totals[s] for s in ordered], weights, 1.5 * sum(totals.values()), 2)
+    assert [targets[s] for s in ordered] == pytest.approx(expected)
+    assert all(abs(taken[s] - targets[s]) <= largest[s] for s in ordered)
+    assert sorted(map(str, mixing.mix(odd_docs).collect())) == sorted(map(str, found))
+    unfolded = mixing.repeated(mixing.mix(odd_docs, keep_rows=True))
+    assert rows_of(unfolded, odd_docs.columns).count() == sum(r.repetitions for r in found)
+
+
+def test_cuts_agree_with_running_sums(spark, monkeypatch):
+    monkeypatch.setattr("daybook.llm.cuts.READ", 16)  # several passes
+    rng = np.random.default_rng(3)
+    data = [(int(k), int(h), int(s)) for k, h, s in zip(rng.integers(0, 3, 900), rng.integers(0, 1 << 62, 900), rng.integers(0, 50, 900))]
+    data += [(0, 77, 5), (0, 77, 6)]
+    frame = spark.createDataFrame(data, "key int, h long, size long")
+    goals = {0: [0, 500, 5000], 1: [1000], 2: [10**9]}
+    for key, cuts in find_cuts(frame, goals, "int").items():
+        mine = sorted((h, s) for k, h, s in data if k == key)
+        for goal, cut in zip(goals[key], cuts):
+            by_hash = Counter()
+            for h, s in mine:
+                by_hash[h] += s
+            total, at = 0, None
+            for h in sorted(by_hash):
+                if total + by_hash[h] > goal:
+                    at = h
+                    break
+                total += by_hash[h]
+            assert (cut.at, cut.below) == (at, total)
+
+
+# -- resharding ------------------------------------------------------------------------
+
+
+def test_cheapest_transfers_move_least():
+    moved = sharding.cheapest_transfers({0: 10, 1: 2, 2: 0}, {0: 4, 1: 4, 2: 4})
+    assert {(t.old, t.new): t.size for t in moved} == {(0, 0): 4, (0, 1): 2, (0, 2): 4, (1, 1): 2}
+    # Going the direct way is not the cheapest here: 0 must make room for 1.
+    price = {(0, 0): 0, (0, 1): 1, (1, 0): 1, (1, 1): 9}
+    moved = sharding.cheapest_transfers({0: 1, 1: 1}, {0: 1, 1: 1}, lambda i, j: price[(i, j)])
+    assert {(t.old, t.new) for t in moved} == {(0, 1), (1, 0)}
+    with pytest.raises(ValueError):
+        sharding.cheapest_transfers({0: 5}, {0: 4})
+
+
+def test_reshard(spark, odd, odd_docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCK_BYTES", 1000)
+    docs = odd_docs.selectExpr("*", "CASE WHEN doc_id % 5 < 3 THEN 0 WHEN doc_id < 100 THEN 2 END AS old")
+    placed, transfers = sharding.reshard(docs, "old", 4)
+    sharding.rewrite_shards(placed, str(tmp_path / "shards"))
+    found = spark.read.schema(placed.schema).parquet(str(tmp_path / "shards")).collect()
+    key = lambda i, t: (last_if_null(i), t or "")
+    assert sorted(key(r.doc_id, r.text) for r in found) == sorted(key(i, t) for i, t, _ in odd)
+    shards = defaultdict(list)
+    for r in found:
+        shards[r.shard].append(r)
+    assert all(sorted(r.slot for r in s) == list(range(len(s))) for s in shards.values())
+    sizes = [sum(8 + len((r.text or "").encode()) for r in shards[j]) for j in range(4)]
+    assert max(sizes) - min(sizes) <= max(8 + len((t or "").encode()) for _, t, _ in odd)
+    assert {t.new for t in transfers} <= set(range(4))
+    assert set(sharding.affected_shards(placed)) <= {-1, 0, 1, 2, 3}
+    one = sharding.affected_shards(placed)[-1]
+    sharding.rewrite_shards(placed, str(tmp_path / "shards"), [one])
+    assert spark.read.parquet(str(tmp_path / "shards")).count() == len(odd)
+
+
+# -- repeated strings --------------------------------------------------------------------
+
+
+def without_repeats(docs, length):
+    seen, found = set(), Counter()
+    for i, text in docs:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for s in range(len(data) - length + 1):
+            string = data[s : s + length]
+            if string in seen:
+                gone[s : s + length] = b"\1" * length
+            seen.add(string)
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        runs = sum(1 for s in range(len(gone)) if gone[s] and not (s and gone[s - 1]))
+        found[(i, len(data), sum(gone), runs, hashlib.sha256(kept).hexdigest())] += 1
+    return found
+
+
+@pytest.mark.parametrize(("length", "crowd"), [(100, 2048), (100, 2), (40, 3)])
+def test_remove_repeats(spark, odd, monkeypatch, length, crowd):
+    monkeypatch.setattr(substrings, "CROWD", crowd)
+    monkeypatch.setattr(substrings, "COLLECTION", 4)
+    monkeypatch.setattr(substrings, "BLOCK_BYTES", 3000)
+    # Rows that repeat an id with different texts are ordered by row, so leave those out here.
+    docs = [(i, t, s) for i, t, s in odd if i != 265] + [(i, "x" * 90 + str(i % 3) * 60, "s") for i in range(300, 330)]
+    frame = spark.createDataFrame(rows(docs), DOCS).repartition(3)
+    found = substrings.remove_repeats(frame, length=length).collect()
+    ordered = sorted(((i, t) for i, t, _ in docs), key=lambda d: last_if_null(d[0]))
+    assert Counter(tuple(r) for r in found) == without_repeats(ordered, length)
+
+
+def test_column_wise_order():
+    rng = np.random.default_rng(1)
+    pieces = [bytes(rng.integers(97, 99, rng.integers(1, 40)).astype(np.uint8)) for _ in range(30)]
+    pieces += [b"\0\xff\0", b"a" * 30, pieces[0]]
+    piece, size, common = substrings.column_wise_order(pieces)
+    suffixes = [pieces[p][len(pieces[p]) - n :] for p, n in zip(piece, size)]
+    assert suffixes == sorted(suffixes)
+    assert len(suffixes) == sum(len(p) + 1 for p in pieces)
+
+    def shared(a, b):
+        return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+    assert [int(c) for c in common[1:]] == [shared(a, b) for a, b in zip(suffixes, suffixes[1:])]
+
+
+# -- near-dedup ---------------------------------------------------------------------------
+
+
+def plain_fingerprint(text):
+    words = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(fps, bits):
+    parent = list(range(len(fps)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    array_ = np.array(fps, dtype=np.uint64)
+    for i in range(len(fps)):
+        for j in np.nonzero(np.bitwise_count(array_[i + 1 :] ^ array_[i]) <= bits)[0]:
+            a, b = root(i), root(i + 1 + int(j))
+            parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(len(fps))]
+
+
+def test_near_duplicates(odd, odd_docs):
+    ordered = sorted(odd, key=lambda d: last_if_null(d[0]))
+    fps = [plain_fingerprint(t) for _, t, _ in ordered]
+    expected = Counter(
+        (d[0], fp, ordered[r][0]) for d, fp, r in zip(ordered, fps, plain_components(fps, 4))
+    )
+    found = simhash.near_duplicates(odd_docs).collect()
+    assert Counter((r.doc_id, r.fp % (1 << 64), r.component_id) for r in found) == expected
+    assert sum(r.stays for r in found) == len(set(plain_components(fps, 4)))
+
+
+@pytest.mark.parametrize("cell", [1 << 13, 8])
+def test_crowded_fingerprints(spark, tmp_path, cell):
+    rng = np.random.default_rng(8)
+    centres = rng.integers(0, 1 << 64, 4, dtype=np.uint64)
+    flips = [np.uint64(sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 7), replace=False))) for _ in range(400)]
+    fps = np.unique([centres[i % 4] ^ f for i, f in enumerate(flips)])
+    frame = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    links = simhash.fingerprint_links(frame, len(fps), str(tmp_path), cell=cell).collect()
+    place = {int(f): i for i, f in enumerate(fps.view(np.int64))}
+    parent = list(range(len(fps)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        assert (int(a) ^ int(b)).bit_count() <= 4 or bin((int(a) ^ int(b)) % (1 << 64)).count("1") <= 4
+        x, y = root(place[a]), root(place[b])
+        parent[max(x, y)] = min(x, y)
+    assert [root(i) for i in range(len(fps))] == plain_components(fps.tolist(), 4)
+
+
+# -- classifiers --------------------------------------------------------------------------
+
+
+def test_quality_tells_kinds_apart(spark, odd_docs, no_docs):
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(200)]
+    good = [" ".join(rng.choice(words, 80)) + "." for _ in range(200)]
+    bad = [" | ".join(w.upper() for w in rng.choice(words, 60)) + "!!" for _ in range(200)]
+    sample = [(t, 1) for t in good[:150]] + [(t, 0) for t in bad[:150]]
+    model = compression_quality.fit_quality(sample)
+    docs = spark.createDataFrame(rows((i, t, "s") for i, t in enumerate(good[150:] + bad[150:])), DOCS)
+    found = {r.doc_id: r.score for r in compression_quality.score_quality(docs, model).collect()}
+    assert all((found[i] >= 0.5) == (i < 50) for i in found)
+    everything = compression_quality.score_quality(odd_docs, model).collect()
+    assert len(everything) == odd_docs.count() and all(0 <= r.score <= 1 for r in everything)
+    one_label = compression_quality.fit_quality([("a", 1), ("b", 1)])
+    assert compression_quality.score_quality(docs, one_label).where("score > 0.9").count() == 100
+    assert compression_quality.fit_quality([]).weights[-1] == 0
+
+
+def test_held_out_rows(spark):
+    docs = spark.createDataFrame(rows((i, "x", "s") for i in range(40)), DOCS)
+    model = toxicity.fit_toxicity([])
+    for r in toxicity.score_toxicity(docs, model).collect():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
+def test_counterfactual_penalty_spares_mentions(odd_docs):
+    rng = np.random.default_rng(4)
+    plain = [f"w{i}" for i in range(60)]
+
+    def text(*extra):
+        return " ".join([*rng.choice(plain, 12), *extra])
+
+    # Toxic texts mostly mention one group, so the label rides on the mention too.
+    sample = [(text("muslims", "rotten"), 1) for _ in range(60)] + [(text("rotten"), 1) for _ in range(10)]
+    sample += [(text(), 0) for _ in range(80)] + [(text("muslims"), 0) for _ in range(3)]
+    free = toxicity._Scorer(toxicity.fit_toxicity(sample, penalty=0.0))
+    charged = toxicity._Scorer(toxicity.fit_toxicity(sample, penalty=20.0))
+    neutral = "w1 w2 w3 muslims w4"
+    assert charged.logit(neutral) < free.logit(neutral) - 0.5
+    assert charged.logit("w1 rotten w2") > 0 > charged.logit(neutral)
+    assert toxicity.swap_identities({"women", "x"}, rng) != {"women", "x"}
+    assert toxicity.swap_identities({"x"}, rng) is None
+    scored = toxicity.score_toxicity(odd_docs, toxicity.fit_toxicity(sample)).collect()
+    assert len(scored) == odd_docs.count() and all(0 <= r.score <= 1 for r in scored)
+
+
+# -- packing --------------------------------------------------------------------------------
+
+PATHS = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
+ODD_STRINGS = [
+    "", " ", "  ", "a", " a", "a ", "a  b", "a   b", "a \n b", "a\n b\n\n  c", "\t\ta \t b", "it's we'll 'tis ' s",
+    "x<|endoftext|>y", "a\x85b\xa0c 　 d", "naïve 漢字 кириллица 🙂 🙂", "1 22 333 4.5", "a\r\nb \r\n c", "é é", "end \n ",
+    "﻿bom", "a\x1cb \x1f c", "x  \n\n  y   z ", "  lead",
+]
+
+
+def test_token_ids_are_the_tokenizers():
+    ids_of, whole = TokenIds(*PATHS), Tokenizer.from_file(PATHS[0])
+    rng = np.random.default_rng(6)
+    mixed = ["".join(rng.choice(list(" ab'\n\t.1é"), rng.integers(1, 30))) for _ in range(2000)]
+    for text in ODD_STRINGS + mixed:
+        assert array("I", ids_of(text)).tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_pack_documents(odd, odd_docs):
+    found = packing.pack_documents(odd_docs, *PATHS, capacity=128, keep_ids=True).collect()
+    whole = Tokenizer.from_file(PATHS[0])
+    by_doc = defaultdict(list)
+    for r in found:
+        by_doc[r.doc_id].append(r)
+    for i, text, _ in odd:
+        if i in (264, 265):
+            continue
+        ids, at = whole.encode(text or "", add_special_tokens=False).ids + [0], 0
+        pieces = sorted(by_doc[i], key=lambda r: r.piece)
+        assert [r.piece for r in pieces] == list(range(len(pieces)))
+        for n, r in enumerate(pieces):
+            part = array("I", ids[at : at + r.length]).tobytes()
+            assert (r.start, bytes(r.ids), r.ids_crc32) == (at, part, zlib.crc32(part))
+            assert r.length == 128 or n == 0
+            at += r.length
+        assert at == len(ids)
+    sequences = defaultdict(list)
+    for r in found:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 128
+    total = sum(r.length for r in found)
+    assert len(sequences) <= 1.05 * total / 128 + 1
+
+
+def test_open_sequences_close_the_fullest():
+    open_ = packing.OpenSequences(10, 2)
+    assert [open_.place(n) for n in (6, 7, 8)] == [(0, 0), (1, 0), (2, 0)]  # closes 1, with 3 left
+    assert open_.place(3) == (0, 6) and open_.place(2) == (2, 8)
+    assert open_.place(1) == (0, 9) and open_.n_open == 0
+
+
+# -- host rules --------------------------------------------------------------------------------
+
+
+def plain_measures(text):
+    text = text or ""
+    words = WORDS.findall(text)
+    windows = Counter(zip(words, words[1:], words[2:]))
+    repeated = {i + k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if WORDS.search(x)]
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(repeated)
+
+
+def test_judge_by_host(odd, odd_docs):
+    found = host_rules.judge_by_host(odd_docs).collect()
+    expected = Counter((i, *plain_measures(t)) for i, t, _ in odd)
+    assert Counter((r.doc_id, *(r[n] for n in host_rules.MEASURES)) for r in found) == expected
+    for r in found:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert r.kept == (not r.base_failed and (r.host_rate is None or r.host_rate < 0.5))
+
+
+def test_hosts_fall_whole_and_small_ones_shrink(spark):
+    fine = " ".join(f"w{i}" for i in range(60))
+    docs = [(i, "bad", "low") for i in range(90)] + [(100 + i, fine, "low") for i in range(10)]
+    docs += [(200 + 100 * h + i, fine if i % 10 else "bad", f"good{h}") for h in range(8) for i in range(100)]
+    docs += [(5000, "bad", "tiny"), (5001, fine, "tiny")]
+    judged = {r.doc_id: r for r in host_rules.judge_by_host(spark.createDataFrame(rows(docs), DOCS)).collect()}
+    assert not judged[100].kept and judged[100].host_rate > 0.5
+    assert judged[201].kept and judged[5001].kept
+
+
+# -- none at all ---------------------------------------------------------------------------------
+
+
+def test_empty_tables(no_docs):
+    model = compression_quality.fit_quality([])
+    frames = [
+        exact_dedup.exact_duplicates(no_docs),
+        mixing.mix(no_docs),
+        mixing.repeated(mixing.mix(no_docs)),
+        substrings.remove_repeats(no_docs),
+        simhash.near_duplicates(no_docs),
+        toxicity.score_toxicity(no_docs, toxicity.fit_toxicity([])),
+        compression_quality.score_quality(no_docs, model),
+        packing.pack_documents(no_docs, *PATHS),
+        host_rules.judge_by_host(no_docs),
+    ]
+    frames.append(sharding.reshard(no_docs.selectExpr("*", "0 AS old"), "old", 3)[0])
+    assert all(f.count() == 0 for f in frames)
