@@ -191,11 +191,7 @@ def change_set_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_set_repeated_keys_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = _line_dumps(spark, sf_dir)
     repeated = [ops.duplicate_keys(side, LINE).select(*LINE.keys) for side in (old, new)]
-    # A broadcast needs its size checked first; beyond it, counting takes all rows.
-    found = ops.align_union(*repeated).distinct()
-    if found.count() > plans.FEW_KEYS:
-        return ops.change_set(old, new, LINE)
-    return ops.change_set(old, new, LINE, repeated_keys=found)
+    return ops.change_set(old, new, LINE, repeated_keys=ops.align_union(*repeated).distinct())
 
 
 def change_set_column_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,7 +318,7 @@ def key_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_count_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.group_count(_table(spark, sf_dir, "customer"), "c_mktsegment")
+    return ops.group_count(_table(spark, sf_dir, "customer"), "c_mktsegment", 50)
 
 
 def group_count_top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -408,6 +404,37 @@ def recompute_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_snapshot(spark, output)
 
 
+def report_latest_all_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.report_latest(spark, _integrated(spark, sf_dir), "l_partkey")
+
+
+def integrate_same_day_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day integrated before is skipped: the log stays as it was."""
+    store = _integrated(spark, sf_dir)
+    _, new = _line_dumps(spark, sf_dir)
+    plans.integrate_day(spark, store, DAYS[2], new)
+    return store.change_log(spark)
+
+
+def integrate_other_day_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_folder(spark)
+    store = sources.DumpStore(f"{root}/store", TableSpec(LINE.keys, day="dt"))
+    for day, dump in zip(DAYS, _line_dumps(spark, sf_dir)):
+        plans.integrate_day(spark, store, day, dump)
+    return store.change_log(spark)
+
+
+def stamp_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.stamp_day(change_set(spark, sf_dir), AS_OF, ORDER)
+
+
+def change_set_helper_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two dumps whose columns are named like what operators add inside."""
+    names = ["o_orderkey", "_here", "_n_old", "_key_hash", "_times"]
+    old, new = (d.toDF(*names) for d in _order_dumps(spark, sf_dir))
+    return ops.change_set(old, new, ORDER)
+
+
 def report_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.report_latest(spark, _integrated(spark, sf_dir), "l_returnflag")
 
@@ -458,6 +485,11 @@ _QUERIES: tuple[Query, ...] = (
     integrate_bucketed_change_log,
     integrate_figures,
     recompute_snapshot,
+    report_latest_all_groups,
+    integrate_same_day_again,
+    integrate_other_day_name,
+    stamp_day,
+    change_set_helper_names,
     report_latest,
 )
 
@@ -590,6 +622,17 @@ changes AS (SELECT day, count(*) FILTER (WHERE op = 'I') AS inserted,
                    count(*) FILTER (WHERE op = 'D') AS deleted
             FROM log GROUP BY day)
 SELECT quality.*, inserted, updated, deleted FROM quality JOIN changes ON quality.day = changes.day""",
+        "report_latest_all_groups": f"""{clean_days}
+SELECT l_partkey, count(*) AS count FROM first GROUP BY l_partkey""",
+        "integrate_same_day_again": f"{clean_days} {three_days}",
+        "integrate_other_day_name": f"""{clean_days}
+SELECT *, DATE '2025-01-01' AS dt FROM (SELECT *, 'I' AS op FROM first) AS a
+UNION ALL SELECT *, DATE '2025-01-02' FROM ({_line_changes("first", "second")}) AS b""",
+        "stamp_day": f"WITH {ORDER_DUMPS} SELECT *, DATE '{AS_OF}' AS day FROM ({ORDER_CHANGES}) AS changes",
+        "change_set_helper_names": f"""WITH {ORDER_DUMPS}
+SELECT o_orderkey, o_custkey AS _here, o_totalprice AS _n_old, o_orderstatus AS _key_hash,
+       o_orderpriority AS _times, op
+FROM ({ORDER_CHANGES}) AS changes""",
         "recompute_snapshot": f"{clean_days} SELECT * FROM second",
         "report_latest": f"""{clean_days}
 SELECT l_returnflag, count(*) AS count FROM first GROUP BY l_returnflag""",

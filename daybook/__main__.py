@@ -29,9 +29,12 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     integrate.add_argument("--buckets", type=int)
     report = job("report")
     report.add_argument("--by", action="append", required=True)
+    report.add_argument("--limit", type=int, help="the largest groups only; all by default")
+    report.add_argument("--output", help="write the report there as Parquet")
     job("recompute-dump", "day", "output")
     diff = job("diff", "old", "new", stored=False)
     diff.add_argument("--output")
+    diff.add_argument("--limit", type=int, default=50, help="rows to show; --output gets all")
     diff.add_argument("--strict", action="store_true")
     return parser.parse_args(argv)
 
@@ -42,14 +45,18 @@ def main(argv: list[str] | None = None) -> None:
     spec = TableSpec(args.key or "id")
     if args.job == "diff":
         changes = plans.diff_snapshots(spark, args.old, args.new, spec, strict=args.strict, output=args.output)
-        preview(changes, 50).show(50, truncate=False)
+        preview(changes, args.limit).show(args.limit, truncate=False)
         return
     store = sources.DumpStore(args.root, spec, getattr(args, "buckets", None))
     if args.job == "daily-integration":
         done = plans.integrate_csv(spark, store, args.day, args.csv, args.schema)
         print("skipped, integrated before" if done.skipped else "integrated", done.day, done.counts)
     elif args.job == "report":
-        plans.report_latest(spark, store, args.by).show(50, truncate=False)
+        report = plans.report_latest(spark, store, args.by, args.limit)
+        if args.output:
+            sources.write_snapshot(report, args.output)
+            report = sources.read_snapshot(spark, args.output, report.schema)
+        report.show(report.count(), truncate=False)
     else:
         wrote = plans.recompute_snapshot(spark, store, args.day, args.output)
         print(f"written to {args.output}" if wrote else f"no log rows up to {args.day}, nothing written")

@@ -32,6 +32,14 @@ def same_name(df: DataFrame, a: str, b: str) -> bool:
     return a.lower() == b.lower()
 
 
+def spare_name(wish: str, *frames: DataFrame) -> str:
+    """``wish``, lengthened until no frame has a column of that name, whatever its case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def find_column(df: DataFrame, name: str) -> str | None:
     """The frame's spelling of ``name``, or None if it has no such column."""
     if name in df.columns:

@@ -12,7 +12,7 @@ import copy
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.names import col, cols, require_columns, require_comparable
+from daybook.functions.names import col, cols, require_columns, require_comparable, spare_name
 from daybook.functions.predicates import any_null, none_null, rows_differ
 from daybook.operators.align import align_snapshots, align_union
 from daybook.operators.joins import join_per_key, repeat_rows
@@ -32,6 +32,8 @@ class _Pair:
             self.compared = require_columns(new, spec.compared, "the newer snapshot")
         require_comparable(self.new, [*self.keys, *self.compared], "snapshot comparison")
         self.columns = self.new.columns + [c for c in self.old.columns if c not in self.new.columns]
+        self.n_old = spare_name("_n_old", old, new)
+        self.n_same = spare_name("_n_same", old, new)
         for side in (old, new):
             if spec.op in side.columns:
                 raise ValueError(f"a snapshot may not hold a column named {spec.op!r}")
@@ -45,24 +47,27 @@ class _Pair:
     def old_counts(self) -> DataFrame:
         """Older rows per key; combined before the shuffle."""
         keyed = self.old.where(none_null(cols(self.keys)))
-        return keyed.groupBy(*cols(self.keys)).agg(F.count(F.lit(1)).alias("_n_old"))
+        return keyed.groupBy(*cols(self.keys)).agg(F.count(F.lit(1)).alias(self.n_old))
+
+    def differing(self) -> Column:
+        return col(self.n_old) - F.coalesce(col(self.n_same), F.lit(0))
 
     def with_old_counts(self, how: str) -> DataFrame:
         """Newer rows with the number of older rows of their key and of those equal to them."""
         rows = join_per_key(self.new, self.old_counts(), self.keys, how)
         if not self.compared:
-            return rows.withColumn("_n_same", col("_n_old"))
+            return rows.withColumn(self.n_same, col(self.n_old))
         image = [*self.keys, *self.compared]
         same = (
             self.old.where(none_null(cols(self.keys)))
             .groupBy(*cols(image))
-            .agg(F.count(F.lit(1)).alias("_n_same"))
+            .agg(F.count(F.lit(1)).alias(self.n_same))
         )
         matches = [col(k, "n") == col(k, "s") for k in self.keys]
         matches += [col(c, "n").eqNullSafe(col(c, "s")) for c in self.compared]
         # As in join_per_key: keeps Spark from reusing the aggregate's layout.
         matches.append(F.xxhash64(*cols(self.keys, "n")) == F.xxhash64(*cols(self.keys, "s")))
-        return rows.alias("n").join(same.alias("s"), matches, "left").select("n.*", "s._n_same")
+        return rows.alias("n").join(same.alias("s"), matches, "left").select("n.*", col(self.n_same, "s"))
 
 
 def _tag(df: DataFrame, spec: TableSpec, op: str) -> DataFrame:
@@ -87,15 +92,11 @@ def deleted(old: DataFrame, new: DataFrame, spec: TableSpec) -> DataFrame:
     return _tag(_without(own, pair.new, pair.keys), spec, DELETE)
 
 
-def _differing() -> Column:
-    return col("_n_old") - F.coalesce(col("_n_same"), F.lit(0))
-
-
 def updated(old: DataFrame, new: DataFrame, spec: TableSpec) -> DataFrame:
     """Newer rows that differ from an older row of their key, tagged ``U``."""
     pair = _Pair(old, new, spec)
-    rows = pair.with_old_counts("inner").where(_differing() > 0)
-    return _tag(repeat_rows(rows, _differing()).select(*cols(pair.new.columns)), spec, UPDATE)
+    rows = pair.with_old_counts("inner").where(pair.differing() > 0)
+    return _tag(repeat_rows(rows, pair.differing()).select(*cols(pair.new.columns)), spec, UPDATE)
 
 
 def change_set(
@@ -116,8 +117,8 @@ def change_set(
     such as cleaned dumps: one full outer join, each side exchanged once.
 
     ``repeated_keys`` is for snapshots with few repeated keys: a frame that holds
-    all of them, checked by the caller to be small, and is broadcast to keep those
-    rows out of the full outer join. Rows with a null key then skip every join.
+    all of them, which keeps those rows out of the full outer join (Spark broadcasts
+    it if it is small). Rows with a null key then skip every join.
     """
     pair = _Pair(old, new, spec)
     if keys_unique:
@@ -129,7 +130,7 @@ def change_set(
 
 def _by_full_join_but_for(pair: _Pair, spec: TableSpec, repeated: DataFrame) -> DataFrame:
     keys = pair.keys
-    few = F.broadcast(repeated.select(*cols(require_columns(repeated, keys, "the repeated keys"))).toDF(*keys))
+    few = repeated.select(*cols(require_columns(repeated, keys, "the repeated keys"))).toDF(*keys)
 
     def split(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         keyed = rows.where(none_null(cols(keys)))
@@ -148,8 +149,8 @@ def _by_full_join_but_for(pair: _Pair, spec: TableSpec, repeated: DataFrame) ->
 
 
 def _by_counts(pair: _Pair, spec: TableSpec) -> DataFrame:
-    fresh = col("_n_old").isNull()
-    times = F.when(fresh, 1).otherwise(_differing())
+    fresh = col(pair.n_old).isNull()
+    times = F.when(fresh, 1).otherwise(pair.differing())
     rows = pair.with_old_counts("left").where(times > 0)
     op = F.when(fresh, INSERT).otherwise(UPDATE)
     current = repeat_rows(rows.withColumn(spec.op, op), times)
@@ -160,13 +161,14 @@ def _by_counts(pair: _Pair, spec: TableSpec) -> DataFrame:
 
 def _by_full_join(pair: _Pair, spec: TableSpec) -> DataFrame:
     # Sides are told apart by markers of their own, never by a null key.
-    p = pair.old.withColumn("_here", F.lit(True)).alias("p")
-    c = pair.new.withColumn("_here", F.lit(True)).alias("c")
+    here = spare_name("_here", pair.old, pair.new)
+    p = pair.old.withColumn(here, F.lit(True)).alias("p")
+    c = pair.new.withColumn(here, F.lit(True)).alias("c")
     joined = p.join(c, [col(k, "p") == col(k, "c") for k in pair.keys], "full_outer")
 
     differs = rows_differ(cols(pair.compared, "p"), cols(pair.compared, "c"))
-    gone = col("_here", "c").isNull()
-    op = F.when(col("_here", "p").isNull(), INSERT).when(gone, DELETE).when(differs, UPDATE)
+    gone = col(here, "c").isNull()
+    op = F.when(col(here, "p").isNull(), INSERT).when(gone, DELETE).when(differs, UPDATE)
     images = []
     for name in pair.columns:
         before = col(name, "p") if name in pair.old.columns else F.lit(None)

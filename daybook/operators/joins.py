@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.names import cols
+from daybook.functions.names import col, cols, spare_name
 
-_HASH = "_key_hash"
 _BLOCK = 1 << 16
 
 
@@ -23,9 +22,10 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str)
     kept = rows.columns
     if how not in ("left_semi", "left_anti"):
         kept = kept + [c for c in per_key.columns if c not in keys]
-    left = rows.withColumn(_HASH, F.xxhash64(*cols(keys)))
-    right = per_key.withColumn(_HASH, F.xxhash64(*cols(keys)))
-    return left.join(right, [*keys, _HASH], how).select(*cols(kept))
+    key_hash = spare_name("_key_hash", rows, per_key)
+    left = rows.withColumn(key_hash, F.xxhash64(*cols(keys)))
+    right = per_key.withColumn(key_hash, F.xxhash64(*cols(keys)))
+    return left.join(right, [*keys, key_hash], how).select(*cols(kept))
 
 
 def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
@@ -36,10 +36,14 @@ def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
     """
     kept = df.columns
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted, block, size, nth = (spare_name(n, df) for n in ("_times", "_block", "_size", "_nth"))
+    first, step = F.lit(0).cast("long"), F.lit(_BLOCK).cast("long")
+    last = F.floor((col(wanted) - 1) / step)
     blocks = (
-        df.withColumn("_times", times.cast("long"))
-        .withColumn("_block", F.explode(F.expr(f"sequence(0L, (_times - 1) div {_BLOCK})")))
-        .select(*cols(kept), F.expr(f"least({_BLOCK}L, _times - _block * {_BLOCK})").alias("_size"))
+        df.withColumn(wanted, times.cast("long"))
+        .withColumn(block, F.explode(F.sequence(first, last)))
+        .select(*cols(kept), F.least(step, col(wanted) - col(block) * step).alias(size))
     )
-    unfolded = blocks.repartition(width).withColumn("_nth", F.explode(F.expr("sequence(1L, _size)")))
+    numbers = F.sequence(F.lit(1).cast("long"), col(size))
+    unfolded = blocks.repartition(width).withColumn(nth, F.explode(numbers))
     return unfolded.select(*cols(kept))

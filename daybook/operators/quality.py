@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.functions.names import col, cols, is_comparable, require_columns, require_comparable
+from daybook.functions.names import col, cols, is_comparable, require_columns, require_comparable, spare_name
 from daybook.functions.predicates import any_null, none_null
 from daybook.spec import TableSpec
 
@@ -33,13 +33,15 @@ def dedupe_by_key(df: DataFrame, spec: TableSpec) -> DataFrame:
 
     The order is total, so every run and every re-computation keeps the same row.
     Spark cuts each task's rows to one per key before the shuffle, so a key with
-    very many copies costs no more than any other.
+    very many copies costs no more than any other. Rows whose key is null count as
+    rows of one key; ``clean_dump`` drops them before.
     """
     keys = _keys(df, spec)
     rest = [_sortable(df, c).asc_nulls_first() for c in df.columns if c not in keys]
     smallest_first = Window.partitionBy(*cols(keys)).orderBy(*(rest or cols(keys)))
-    numbered = df.withColumn("_nth", F.row_number().over(smallest_first))
-    return numbered.where("_nth = 1").drop("_nth")
+    nth = spare_name("_nth", df)
+    numbered = df.withColumn(nth, F.row_number().over(smallest_first))
+    return numbered.where(col(nth) == 1).drop(nth)
 
 
 def _sortable(df: DataFrame, name: str) -> Column:
@@ -59,11 +61,12 @@ def key_quality(df: DataFrame, spec: TableSpec) -> DataFrame:
     One pass over the key columns; rows are counted per key before the shuffle.
     """
     keys = _keys(df, spec)
-    per_key = df.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("_n"))
+    n = spare_name("_n", df)
+    per_key = df.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias(n))
     null_key = any_null(cols(keys))
     zero = F.lit(0).cast("long")
     return per_key.agg(
-        F.coalesce(F.sum("_n"), zero).alias("total_rows"),
-        F.coalesce(F.sum(F.when(null_key, col("_n"))), zero).alias("null_keys"),
-        F.count_if(~null_key & (col("_n") > 1)).alias("duplicate_keys"),
+        F.coalesce(F.sum(col(n)), zero).alias("total_rows"),
+        F.coalesce(F.sum(F.when(null_key, col(n))), zero).alias("null_keys"),
+        F.count_if(~null_key & (col(n) > 1)).alias("duplicate_keys"),
     )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.days import parse_day
-from daybook.functions.names import col, cols, find_column, require_columns, spec_for
+from daybook.functions.names import col, cols, find_column, require_columns, spare_name, spec_for
 from daybook.functions.predicates import any_null, none_null
 from daybook.operators.align import align_union, cast_to
 from daybook.operators.joins import join_per_key
@@ -103,8 +103,9 @@ def snapshot_as_of(
 def _newest_by_window(valid: DataFrame, spec: TableSpec) -> DataFrame:
     # rank, not row_number: rows of one key and day belong together.
     newest_first = Window.partitionBy(*cols(spec.keys)).orderBy(col(spec.day).desc())
-    ranked = valid.withColumn("_rank", F.rank().over(newest_first)).where("_rank = 1")
-    return ranked.where(col(spec.op).isin(*UPSERTS)).drop("_rank")
+    rank = spare_name("_rank", valid)
+    ranked = valid.withColumn(rank, F.rank().over(newest_first)).where(col(rank) == 1)
+    return ranked.where(col(spec.op).isin(*UPSERTS)).drop(rank)
 
 
 def _newest_by_join(valid: DataFrame, spec: TableSpec) -> DataFrame:

@@ -7,15 +7,13 @@ from pyspark.sql import functions as F
 
 from daybook.functions.names import col, cols, require_columns
 
-TOP_GROUPS = 50
-
 
 def group_count(
-    df: DataFrame, by: str | Column | list[str | Column], n: int | None = TOP_GROUPS
+    df: DataFrame, by: str | Column | list[str | Column], n: int | None = None
 ) -> DataFrame:
     """Rows per group, largest first, ties by group; null is a group of its own.
 
-    ``by`` takes column names and expressions. ``n=None`` returns every group.
+    ``by`` takes column names and expressions. ``n`` asks for the largest groups only.
     """
     given = by if isinstance(by, list) else [by]
     parts = []

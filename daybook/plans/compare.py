@@ -5,16 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.errors import KeyQualityError
-from daybook.functions.names import cols
-from daybook.operators.align import align_union
 from daybook.operators.diff import change_set
-from daybook.operators.quality import duplicate_keys, key_quality
+from daybook.operators.quality import key_quality
 from daybook.sources.tables import read_snapshot, write_snapshot
 from daybook.spec import TableSpec
 
-# Repeated keys up to this many are broadcast; beyond it nothing is.
-FEW_KEYS = 100_000
-
 
 def diff_snapshots(
     spark: SparkSession,
@@ -28,9 +23,8 @@ def diff_snapshots(
     """The change set between two Parquet snapshots, written to ``output`` if given.
 
     Looks at both sides' keys first (one narrow pass each). Clean keys take the
-    single-join form. With null keys or a few repeated ones, those rows are set
-    apart from it; with many, all rows take the form that counts. ``strict=True``
-    refuses both.
+    single-join form; with null or repeated keys all rows take the form that counts.
+    ``strict=True`` refuses both.
     """
     old, new = read_snapshot(spark, old_path), read_snapshot(spark, new_path)
     sides = {"older": old, "newer": new}
@@ -38,13 +32,7 @@ def diff_snapshots(
     flawed = {n: f for n, f in figures.items() if f["null_keys"] or f["duplicate_keys"]}
     if flawed and strict:
         raise KeyQualityError(f"null or duplicate keys: {flawed}")
-    if not flawed:
-        changes = change_set(old, new, spec, keys_unique=True)
-    elif sum(f["duplicate_keys"] for f in figures.values()) <= FEW_KEYS:
-        repeated = [duplicate_keys(side, spec).select(*cols(spec.keys)) for side in sides.values()]
-        changes = change_set(old, new, spec, repeated_keys=align_union(*repeated).distinct())
-    else:
-        changes = change_set(old, new, spec)
+    changes = change_set(old, new, spec, keys_unique=not flawed)
     if output is None:
         return changes
     write_snapshot(changes.hint("rebalance"), output)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
@@ -79,6 +80,10 @@ def integrate_day(
             raise DayOrderError(f"{day} comes before {last['day']}, which is already integrated")
         return Integration(day, True, _counts_of(done))
 
+    # A type that does not fit is refused before anything is written.
+    fold = str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    before = None if last is None else log_columns_of(last)
+    _log_columns(before, dump.schema, fold)
     files = {"num_files": num_files, "max_rows_per_file": max_rows_per_file}
     store.write_snapshot(clean_dump(dump, spec), day, **files)
     current = store.snapshot_by_key(spark, day, _nullable(dump.schema), store.buckets)
@@ -88,7 +93,7 @@ def integrate_day(
     else:
         previous = store.snapshot_by_key(spark, last["day"], schema_of(last), last["buckets"])
     changes = change_set(previous, current, spec, keys_unique=True)
-    log_columns = _log_columns(None if last is None else log_columns_of(last), changes.drop(spec.op).schema)
+    log_columns = _log_columns(before, changes.drop(spec.op).schema, fold)
     # Written as the day's directory, so that a day without changes replaces, too,
     # whatever a failed run may have left there. The comparison runs on partitions
     # sized for two dumps; the few changes among them are gathered into full files.
@@ -105,16 +110,21 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
 
 
-def _log_columns(before: T.StructType | None, now: T.StructType) -> T.StructType:
-    """The log's columns so far and this day's; a column keeps its type for good."""
-    fields = {f.name: f for f in (before.fields if before else [])}
+def _log_columns(
+    before: T.StructType | None, now: T.StructType, fold: Callable[[str], str]
+) -> T.StructType:
+    """The log's columns so far and this day's; a column keeps its type and first spelling for good.
+
+    ``fold`` says which spellings are one name.
+    """
+    fields = {fold(f.name): f for f in (before.fields if before else [])}
     for f in now.fields:
-        if f.name in fields and fields[f.name].dataType != f.dataType:
+        first = fields.setdefault(fold(f.name), f)
+        if first.dataType != f.dataType:
             raise ValueError(
-                f"column {f.name!r} was {fields[f.name].dataType.simpleString()} in the log "
+                f"column {f.name!r} was {first.dataType.simpleString()} in the log "
                 f"and is {f.dataType.simpleString()} now"
             )
-        fields.setdefault(f.name, f)
     return T.StructType(list(fields.values()))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from daybook.operators.report import TOP_GROUPS, group_count
+from daybook.operators.report import group_count
 from daybook.sources.store import DumpStore
 
 
@@ -12,7 +12,7 @@ def report_latest(
     spark: SparkSession,
     store: DumpStore,
     by: str | Column | list[str | Column],
-    n: int | None = TOP_GROUPS,
+    n: int | None = None,
 ) -> DataFrame:
-    """Rows per group in the newest integrated dump, largest first."""
+    """Rows per group in the newest integrated dump, largest first; all groups unless ``n`` asks for fewer."""
     return group_count(store.latest_snapshot(spark), by, n)

@@ -64,7 +64,9 @@ class DumpStore:
 
     def _path(self, kind: str, day: date | None = None) -> str:
         base = f"{self.root.rstrip('/')}/{kind}"
-        return base if day is None else f"{base}/day={day.isoformat()}"
+        # The log's directories bear the name of the log's own day column.
+        name = self.spec.day if kind == "log" else "day"
+        return base if day is None else f"{base}/{name}={day.isoformat()}"
 
     def log_path(self, day: date) -> str:
         return self._path("log", day)
@@ -170,16 +172,20 @@ class DumpStore:
     def expire_snapshots(self, spark: SparkSession, keep: int) -> list[date]:
         """Delete all but the ``keep`` newest committed snapshots; returns the days deleted.
 
-        The log still rebuilds every day. Snapshots of days without a commit stay.
+        The log still rebuilds every day. What a run left that died before its commit
+        goes too, snapshot and log, once a later day is committed.
         """
         if keep < 1:
             raise ValueError("at least the newest snapshot must be kept")
         stored = self.kept_snapshots(spark)
         committed = self.commits(spark).where(F.col("day").isin(stored)).select("day")
         days = sorted(r["day"] for r in committed.collect())
-        for day in days[:-keep]:
+        dead = [d for d in stored if d not in days and days and d < days[-1]]
+        for day in dead:
+            self._delete(spark, self.log_path(day))
+        for day in days[:-keep] + dead:
             self._delete(spark, self.snapshot_path(day))
-        return days[:-keep]
+        return sorted(days[:-keep] + dead)
 
     def _delete(self, spark: SparkSession, path: str) -> None:
         fs, target = self._file_system(spark, path)
