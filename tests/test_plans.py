@@ -85,7 +85,7 @@ def test_dedupe_trims_before_the_shuffle(pair):
 
 
 def test_report_reads_one_column_and_keeps_the_top(pair):
-    plan = plan_of(ops.group_count(pair[0], "w"))
+    plan = plan_of(ops.group_count(pair[0], "w", 50))
     assert "TakeOrderedAndProject" in plan and "partial_count" in plan and "ReadSchema: struct<w:bigint>" in plan
 
 
