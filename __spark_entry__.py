@@ -424,6 +424,24 @@ def integrate_other_day_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.change_log(spark)
 
 
+def integrate_columns_come_and_go(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quantity is missing on day two and back, in part null, on day three; the log alone rebuilds it."""
+    store = sources.DumpStore(f"{scratch_folder(spark)}/store", LINE)
+    old, new = _line_dumps(spark, sf_dir)
+    for day, dump in zip(DAYS, (old, old.drop("l_quantity"), new)):
+        plans.integrate_day(spark, store, day, dump)
+    return plans.stored_snapshot_as_of(spark, store, DAYS[2], from_log_only=True)
+
+
+def integrate_from_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day whose snapshot has expired, rebuilt from its month's first one."""
+    store = sources.DumpStore(f"{scratch_folder(spark)}/store", LINE, anchors="month")
+    old, new = _line_dumps(spark, sf_dir)
+    for day, dump in ((DAYS[0], old), (DAYS[1], new), (date(2025, 2, 1), old)):
+        plans.integrate_day(spark, store, day, dump, keep_snapshots=1)
+    return plans.stored_snapshot_as_of(spark, store, DAYS[1])
+
+
 def stamp_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.stamp_day(change_set(spark, sf_dir), AS_OF, ORDER)
 
@@ -488,6 +506,8 @@ _QUERIES: tuple[Query, ...] = (
     report_latest_all_groups,
     integrate_same_day_again,
     integrate_other_day_name,
+    integrate_columns_come_and_go,
+    integrate_from_anchor,
     stamp_day,
     change_set_helper_names,
     report_latest,
@@ -621,13 +641,15 @@ changes AS (SELECT day, count(*) FILTER (WHERE op = 'I') AS inserted,
                    count(*) FILTER (WHERE op = 'U') AS updated,
                    count(*) FILTER (WHERE op = 'D') AS deleted
             FROM log GROUP BY day)
-SELECT quality.*, inserted, updated, deleted FROM quality JOIN changes ON quality.day = changes.day""",
+SELECT quality.*, CAST(0 AS BIGINT) AS malformed_rows, inserted, updated, deleted FROM quality JOIN changes ON quality.day = changes.day""",
         "report_latest_all_groups": f"""{clean_days}
 SELECT l_partkey, count(*) AS count FROM first GROUP BY l_partkey""",
         "integrate_same_day_again": f"{clean_days} {three_days}",
         "integrate_other_day_name": f"""{clean_days}
 SELECT *, DATE '2025-01-01' AS dt FROM (SELECT *, 'I' AS op FROM first) AS a
 UNION ALL SELECT *, DATE '2025-01-02' FROM ({_line_changes("first", "second")}) AS b""",
+        "integrate_columns_come_and_go": f"{clean_days} SELECT * FROM second",
+        "integrate_from_anchor": f"{clean_days} SELECT * FROM second",
         "stamp_day": f"WITH {ORDER_DUMPS} SELECT *, DATE '{AS_OF}' AS day FROM ({ORDER_CHANGES}) AS changes",
         "change_set_helper_names": f"""WITH {ORDER_DUMPS}
 SELECT o_orderkey, o_custkey AS _here, o_totalprice AS _n_old, o_orderstatus AS _key_hash,

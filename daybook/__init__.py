@@ -3,6 +3,7 @@
 from daybook.errors import (
     DayOrderError,
     KeyQualityError,
+    MalformedRowsError,
     MissingColumnError,
     NoSnapshotError,
     UncomparableColumnError,
@@ -12,6 +13,7 @@ from daybook.spec import TableSpec
 __all__ = [
     "DayOrderError",
     "KeyQualityError",
+    "MalformedRowsError",
     "MissingColumnError",
     "NoSnapshotError",
     "TableSpec",

@@ -13,6 +13,10 @@ class KeyQualityError(ValueError):
     """Strict mode met null or duplicate keys."""
 
 
+class MalformedRowsError(ValueError):
+    """Strict mode met lines of a dump that do not fit its columns."""
+
+
 class DayOrderError(ValueError):
     """A day earlier than the newest integrated day."""
 

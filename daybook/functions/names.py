@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,10 +26,13 @@ def cols(names: Iterable[str], side: str | None = None) -> list[Column]:
     return [col(n, side) for n in names]
 
 
+def fold(spark: SparkSession, name: str) -> str:
+    """What all spellings of one name have in common."""
+    return name if spark.conf.get("spark.sql.caseSensitive") == "true" else name.lower()
+
+
 def same_name(df: DataFrame, a: str, b: str) -> bool:
-    if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
-        return a == b
-    return a.lower() == b.lower()
+    return fold(df.sparkSession, a) == fold(df.sparkSession, b)
 
 
 def spare_name(wish: str, *frames: DataFrame) -> str:

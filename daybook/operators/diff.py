@@ -105,6 +105,7 @@ def change_set(
     spec: TableSpec,
     *,
     keys_unique: bool = False,
+    null_keys: bool = True,
     repeated_keys: DataFrame | None = None,
 ) -> DataFrame:
     """All rows inserted, updated or deleted between two snapshots, with ``op``.
@@ -114,7 +115,9 @@ def change_set(
     and every join has a left side that AQE may split.
 
     ``keys_unique=True`` is for snapshots known to hold one row per non-null key,
-    such as cleaned dumps: one full outer join, each side exchanged once.
+    such as cleaned dumps: one full outer join, each side exchanged once. Rows with a
+    null key stay out of it, as Spark would put them all into one task;
+    ``null_keys=False`` says there are none, which saves looking for them.
 
     ``repeated_keys`` is for snapshots with few repeated keys: a frame that holds
     all of them, which keeps those rows out of the full outer join (Spark broadcasts
@@ -122,7 +125,7 @@ def change_set(
     """
     pair = _Pair(old, new, spec)
     if keys_unique:
-        return _by_full_join(pair, spec)
+        return _by_full_join_of_keyed(pair, spec) if null_keys else _by_full_join(pair, spec)
     if repeated_keys is None:
         return _by_counts(pair, spec)
     return _by_full_join_but_for(pair, spec, repeated_keys)
@@ -148,6 +151,18 @@ def _by_full_join_but_for(pair: _Pair, spec: TableSpec, repeated: DataFrame) ->
     return changes.select(*cols([*pair.columns, spec.op]))
 
 
+def _by_full_join_of_keyed(pair: _Pair, spec: TableSpec) -> DataFrame:
+    if not any(side.schema[k].nullable for side in (pair.old, pair.new) for k in pair.keys):
+        return _by_full_join(pair, spec)
+    keyed, keyless = none_null(cols(pair.keys)), any_null(cols(pair.keys))
+    changes = align_union(
+        _by_full_join(pair.part(pair.old.where(keyed), pair.new.where(keyed)), spec),
+        _tag(pair.new.where(keyless), spec, INSERT),
+        _tag(pair.old.where(keyless), spec, DELETE),
+    )
+    return changes.select(*cols([*pair.columns, spec.op]))
+
+
 def _by_counts(pair: _Pair, spec: TableSpec) -> DataFrame:
     fresh = col(pair.n_old).isNull()
     times = F.when(fresh, 1).otherwise(pair.differing())

@@ -32,7 +32,7 @@ def diff_snapshots(
     flawed = {n: f for n, f in figures.items() if f["null_keys"] or f["duplicate_keys"]}
     if flawed and strict:
         raise KeyQualityError(f"null or duplicate keys: {flawed}")
-    changes = change_set(old, new, spec, keys_unique=not flawed)
+    changes = change_set(old, new, spec, keys_unique=not flawed, null_keys=bool(flawed))
     if output is None:
         return changes
     write_snapshot(changes.hint("rebalance"), output)

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from daybook.errors import DayOrderError
+from daybook.errors import DayOrderError, MalformedRowsError
 from daybook.functions.days import parse_day
-from daybook.functions.names import find_column, require_columns
+from daybook.functions.names import col, cols, find_column, fold, require_columns, spare_name
 from daybook.operators.diff import change_counts, change_set
 from daybook.operators.quality import clean_dump, key_quality
 from daybook.sources.csv_dump import read_csv_dump
@@ -36,12 +35,30 @@ def integrate_csv(
     path: str | list[str],
     schema: T.StructType | str,
     *,
+    strict: bool = False,
     csv_options: dict | None = None,
     **settings,
 ) -> Integration:
-    """Integrate a day's dump from CSV files; see :func:`integrate_day`."""
+    """Integrate a day's dump from CSV files; see :func:`integrate_day`.
+
+    The files are parsed once, into a Parquet copy that goes when the day is done. A
+    line that does not fit the columns (too few or too many fields, a value of another
+    type) is taken as far as it fits and counted in ``malformed_rows``; ``strict=True``
+    refuses a dump with such lines. With ``check_quality=False`` nothing is counted.
+    """
     day = parse_day(day)
-    return integrate_day(spark, store, day, read_csv_dump(spark, path, schema, **(csv_options or {})), **settings)
+    options = dict(csv_options or {})
+    if strict and not settings.get("check_quality", True):
+        raise ValueError("a strict run has to check the dump")
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    odd = options.pop("malformed_column", None)
+    if odd is None:
+        odd = "_malformed"
+        while odd in {n.lower() for n in schema.names}:
+            odd += "_"
+    dump = read_csv_dump(spark, path, schema, malformed_column=odd, **options)
+    return _integrate(spark, store, day, dump, odd=odd, strict=strict, **settings)
 
 
 def integrate_day(
@@ -66,8 +83,34 @@ def integrate_day(
     ``check_quality=False`` saves the extra pass over the dump's key columns that
     counts null and duplicate keys; the figures are then None.
     """
-    day = parse_day(day)
+    return _integrate(
+        spark,
+        store,
+        parse_day(day),
+        dump,
+        check_quality=check_quality,
+        num_files=num_files,
+        max_rows_per_file=max_rows_per_file,
+        keep_snapshots=keep_snapshots,
+    )
+
+
+def _integrate(
+    spark: SparkSession,
+    store: DumpStore,
+    day: date,
+    parsed: DataFrame,
+    *,
+    odd: str | None = None,
+    strict: bool = False,
+    check_quality: bool = True,
+    num_files: int | None = None,
+    max_rows_per_file: int | None = None,
+    keep_snapshots: int = 2,
+) -> Integration:
+    """``odd`` names the column of ``parsed`` that holds what did not fit; it is not the table's."""
     spec = store.spec
+    dump = parsed.select(*cols([c for c in parsed.columns if c != odd]))
     require_columns(dump, spec.keys, "the dump")
     taken = [c for c in (find_column(dump, spec.op), find_column(dump, spec.day)) if c]
     if taken:
@@ -81,9 +124,14 @@ def integrate_day(
         return Integration(day, True, _counts_of(done))
 
     # A type that does not fit is refused before anything is written.
-    fold = str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
     before = None if last is None else log_columns_of(last)
-    _log_columns(before, dump.schema, fold)
+    _log_columns(spark, before, dump.schema)
+    malformed = None
+    if odd is not None and check_quality:
+        dump, malformed = _staged(spark, store, day, parsed, odd)
+        if strict and malformed:
+            store.drop_staged(spark)
+            raise MalformedRowsError(f"{malformed} lines of the dump of {day} do not fit its columns")
     files = {"num_files": num_files, "max_rows_per_file": max_rows_per_file}
     store.write_snapshot(clean_dump(dump, spec), day, **files)
     current = store.snapshot_by_key(spark, day, _nullable(dump.schema), store.buckets)
@@ -92,8 +140,9 @@ def integrate_day(
         previous = empty_frame(spark, current.schema)
     else:
         previous = store.snapshot_by_key(spark, last["day"], schema_of(last), last["buckets"])
-    changes = change_set(previous, current, spec, keys_unique=True)
-    log_columns = _log_columns(before, changes.drop(spec.op).schema, fold)
+    # A cleaned dump has one row per key and no null keys.
+    changes = change_set(previous, current, spec, keys_unique=True, null_keys=False)
+    log_columns = _log_columns(spark, before, changes.drop(spec.op).schema)
     # Written as the day's directory, so that a day without changes replaces, too,
     # whatever a failed run may have left there. The comparison runs on partitions
     # sized for two dumps; the few changes among them are gathered into full files.
@@ -101,25 +150,34 @@ def integrate_day(
     write_snapshot(gathered, store.log_path(day), **files)
 
     counts = _count(spark, store, day, dump, current, changes.schema, check_quality)
+    counts["malformed_rows"] = malformed
     store.write_commit(spark, day, current.schema, log_columns, counts)
     store.expire_snapshots(spark, keep_snapshots)
+    store.drop_staged(spark)
     return Integration(day, False, counts)
 
 
+def _staged(
+    spark: SparkSession, store: DumpStore, day: date, parsed: DataFrame, odd: str
+) -> tuple[DataFrame, int]:
+    """The dump as parsed, in Parquet, and how many of its lines did not fit."""
+    own = [c for c in parsed.columns if c != odd]
+    fits = spare_name("_fits", parsed)
+    rows = parsed.select(*cols(own), col(odd).isNull().alias(fits))
+    write_snapshot(rows, store.staged_path(day))
+    stored = read_snapshot(spark, store.staged_path(day), rows.schema)
+    return stored.select(*cols(own)), stored.where(~col(fits)).count()
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
 
 
-def _log_columns(
-    before: T.StructType | None, now: T.StructType, fold: Callable[[str], str]
-) -> T.StructType:
-    """The log's columns so far and this day's; a column keeps its type and first spelling for good.
-
-    ``fold`` says which spellings are one name.
-    """
-    fields = {fold(f.name): f for f in (before.fields if before else [])}
+def _log_columns(spark: SparkSession, before: T.StructType | None, now: T.StructType) -> T.StructType:
+    """The log's columns so far and this day's; a column keeps its type and first spelling for good."""
+    fields = {fold(spark, f.name): f for f in (before.fields if before else [])}
     for f in now.fields:
-        first = fields.setdefault(fold(f.name), f)
+        first = fields.setdefault(fold(spark, f.name), f)
         if first.dataType != f.dataType:
             raise ValueError(
                 f"column {f.name!r} was {first.dataType.simpleString()} in the log "

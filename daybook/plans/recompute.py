@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from daybook.errors import NoSnapshotError
 from daybook.functions.days import parse_day
-from daybook.functions.names import cols
+from daybook.functions.names import col, cols, find_column
 from daybook.operators.replay import snapshot_as_of
 from daybook.sources.store import DumpStore, schema_of
 from daybook.sources.tables import write_snapshot
@@ -21,17 +22,23 @@ def stored_snapshot_as_of(
 
     Starts from the newest kept snapshot up to that day and replays the rest of
     the log; without one, or with ``from_log_only=True``, replays the whole log.
+
+    A column that some day's dump lacked starts from null after that day: what the
+    log says of it before then holds no longer.
     """
     target = parse_day(day)
     commit = store.newest_commit(spark, target)
     if commit is None:
         raise NoSnapshotError(f"no day has been integrated under {store.root} up to {target}")
+    gone = store.columns_last_absent(spark, commit)
     log = store.change_log(spark, target)
+    log = _blanked(log, {c: col(store.spec.day) > F.lit(day) for c, day in gone.items()})
     base_commit = None if from_log_only else _newest_kept(spark, store, commit["day"])
     base, base_day = None, None
     if base_commit is not None:
         base_day = base_commit["day"]
         base = store.snapshot_by_key(spark, base_day, schema_of(base_commit), base_commit["buckets"])
+        base = _blanked(base, {c: F.lit(False) for c, day in gone.items() if day > base_day})
     # The daily job logs one row per key and day at most, and no null keys.
     rows = snapshot_as_of(
         log, target, store.spec, unique_per_day=True, null_keys=False, base=base, base_day=base_day
@@ -39,13 +46,17 @@ def stored_snapshot_as_of(
     return rows.select(*cols(schema_of(commit).names))
 
 
-def _newest_kept(spark: SparkSession, store: DumpStore, until: date):
+def _blanked(df: DataFrame, holds: dict[str, Column]) -> DataFrame:
+    """The frame with the given columns null where their condition fails."""
+    own = {find_column(df, c): condition for c, condition in holds.items()}
+    if not own.keys() & set(df.columns):
+        return df
+    return df.select(*[F.when(own[c], col(c)).alias(c) if c in own else col(c) for c in df.columns])
+
+
+def _newest_kept(spark: SparkSession, store: DumpStore, until: date) -> Row | None:
     kept = [d for d in store.kept_snapshots(spark) if d <= until]
-    for day in reversed(kept):
-        commit = store.commit_of(spark, day)
-        if commit is not None:
-            return commit
-    return None
+    return store.newest_commit(spark, until, among=kept)
 
 
 def recompute_snapshot(

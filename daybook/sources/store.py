@@ -3,6 +3,7 @@
     <root>/log/day=YYYY-MM-DD/         that day's I, U and D rows
     <root>/snapshots/day=YYYY-MM-DD/   the cleaned dump of that day
     <root>/commits/day=YYYY-MM-DD/     one row, written last
+    <root>/staged/day=YYYY-MM-DD/      a CSV dump as parsed, while its day is integrated
 
 Readers only see days that have a commit. Whatever a run left behind before it
 failed is invisible and replaced when the day is run again.
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 
 from daybook.errors import NoSnapshotError
 from daybook.functions.days import parse_day
-from daybook.functions.names import col, require_columns
+from daybook.functions.names import col, fold, require_columns
 from daybook.sources.buckets import read_bucketed, write_bucketed
 from daybook.sources.tables import (
     empty_frame,
@@ -33,6 +34,7 @@ from daybook.spec import TableSpec
 
 _COUNTS = (
     "dump_rows",
+    "malformed_rows",
     "null_keys",
     "duplicate_keys",
     "snapshot_rows",
@@ -56,11 +58,20 @@ class DumpStore:
     daily comparison its shuffles. Choose it so that a bucket is a task's worth of
     data, and ``spark.sql.shuffle.partitions`` as a multiple of it. It may change
     from one day to the next; that day's comparison shuffles one side.
+
+    ``anchors`` keeps the first snapshot of each ``"month"`` or ``"year"`` for good, so
+    that rebuilding an old day replays no more of the log than that; by default only
+    the newest snapshots are kept, and an older day replays the log from its start.
     """
 
     root: str
     spec: TableSpec
     buckets: int | None = None
+    anchors: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.anchors not in (None, "month", "year"):
+            raise ValueError(f"anchors are kept by 'month' or 'year', not {self.anchors!r}")
 
     def _path(self, kind: str, day: date | None = None) -> str:
         base = f"{self.root.rstrip('/')}/{kind}"
@@ -74,6 +85,9 @@ class DumpStore:
     def snapshot_path(self, day: date) -> str:
         return self._path("snapshots", day)
 
+    def staged_path(self, day: date) -> str:
+        return self._path("staged", day)
+
     # -- commits ---------------------------------------------------------
 
     def commits(self, spark: SparkSession) -> DataFrame:
@@ -81,15 +95,35 @@ class DumpStore:
         found = read_parquet_if_any(spark, self._path("commits"), COMMIT_SCHEMA)
         return empty_frame(spark, COMMIT_SCHEMA) if found is None else found
 
-    def newest_commit(self, spark: SparkSession, until: date | None = None) -> Row | None:
+    def newest_commit(
+        self, spark: SparkSession, until: date | None = None, among: list[date] | None = None
+    ) -> Row | None:
+        """The newest integrated day's record, if asked up to a day or among given days only."""
         commits = self.commits(spark)
         if until is not None:
             commits = commits.where(F.col("day") <= F.lit(until))
+        if among is not None:
+            commits = commits.where(F.col("day").isin(among))
         return commits.orderBy(F.col("day").desc()).limit(1).first()
 
     def commit_of(self, spark: SparkSession, day: date) -> Row | None:
         return self.commits(spark).where(F.col("day") == F.lit(day)).limit(1).first()
 
+    def columns_last_absent(self, spark: SparkSession, commit: Row) -> dict[str, date]:
+        """Of a commit's columns those that had gone and come back by then, with the last day without them."""
+        past = self.commits(spark).where(F.col("day") <= F.lit(commit["day"]))
+        # One row per set of columns that dumps ever had.
+        spans = past.groupBy("snapshot_schema").agg(F.min("day").alias("first"), F.max("day").alias("last"))
+        seen = [({fold(spark, n) for n in schema_of(r).names}, r["first"], r["last"]) for r in spans.collect()]
+        absent = {}
+        for name in schema_of(commit).names:
+            key = fold(spark, name)
+            without = max((last for names, _, last in seen if key not in names), default=None)
+            since = min(first for names, first, _ in seen if key in names)
+            if without is not None and without > since:
+                absent[name] = without
+        return absent
+
     def write_commit(
         self,
         spark: SparkSession,
@@ -173,7 +207,7 @@ class DumpStore:
         """Delete all but the ``keep`` newest committed snapshots; returns the days deleted.
 
         The log still rebuilds every day. What a run left that died before its commit
-        goes too, snapshot and log, once a later day is committed.
+        goes too, snapshot and log, once a later day is committed. Anchors stay.
         """
         if keep < 1:
             raise ValueError("at least the newest snapshot must be kept")
@@ -181,11 +215,20 @@ class DumpStore:
         committed = self.commits(spark).where(F.col("day").isin(stored)).select("day")
         days = sorted(r["day"] for r in committed.collect())
         dead = [d for d in stored if d not in days and days and d < days[-1]]
+        anchors: dict[tuple[int, ...], date] = {}
+        if self.anchors is not None:
+            for day in days:
+                anchors.setdefault((day.year, day.month) if self.anchors == "month" else (day.year,), day)
+        old = [d for d in days[:-keep] if d not in anchors.values()]
         for day in dead:
             self._delete(spark, self.log_path(day))
-        for day in days[:-keep] + dead:
+        for day in old + dead:
             self._delete(spark, self.snapshot_path(day))
-        return sorted(days[:-keep] + dead)
+        return sorted(old + dead)
+
+    def drop_staged(self, spark: SparkSession) -> None:
+        """Remove parsed dumps that were set down on the way, a dead run's as well."""
+        self._delete(spark, self._path("staged"))
 
     def _delete(self, spark: SparkSession, path: str) -> None:
         fs, target = self._file_system(spark, path)

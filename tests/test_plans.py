@@ -43,10 +43,29 @@ def _exchanges(plan):
 
 
 def test_unique_change_set_shuffles_each_side_once(pair):
-    plan = plan_of(ops.change_set(*pair, ID, keys_unique=True))
+    plan = plan_of(ops.change_set(*pair, ID, keys_unique=True, null_keys=False))
     assert plan.count("FullOuter") == 1 and _exchanges(plan) == 2 and plan.count("FileScan") == 2
 
 
+def test_null_keys_stay_out_of_the_full_outer_join(pair):
+    plan = plan_of(ops.change_set(*pair, ID, keys_unique=True))
+    assert plan.count("FullOuter") == 1 and _exchanges(plan) == 2
+    # The null keys are looked for by filters that reach the files, and never shuffled.
+    assert plan.count("PushedFilters: [IsNull(id)]") == 2 and plan.count("PushedFilters: [IsNotNull(id)]") == 2
+
+
+def test_a_third_of_both_sides_null_is_not_one_task(spark, conf):
+    conf(SKEW)
+    old, new = _hot(spark, None), _hot(spark, None, "w")
+    changes = ops.change_set(old, new, ID, keys_unique=True)
+    per_task = changes.groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count_if(F.col("id").isNull()).alias("n"), F.count("*").alias("rows")
+    )
+    rows = per_task.collect()
+    assert sum(r["n"] for r in rows) == 40_000 and sum(r["rows"] for r in rows) == 80_000
+    assert max(r["n"] for r in rows) <= 5_000
+
+
 def test_log_rows_are_rebalanced_by_day(log):
     plan = plan_of(log.hint("rebalance", F.col("day")))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
