@@ -27,6 +27,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     integrate = job("daily-integration", "day", "csv")
     integrate.add_argument("--schema", required=True, help="columns of the CSV, as DDL")
     integrate.add_argument("--buckets", type=int)
+    integrate.add_argument("--anchors", choices=["month", "year"], help="keep each one's first snapshot")
+    integrate.add_argument("--strict", action="store_true", help="refuse lines that do not fit the columns")
     report = job("report")
     report.add_argument("--by", action="append", required=True)
     report.add_argument("--limit", type=int, help="the largest groups only; all by default")
@@ -47,9 +49,9 @@ def main(argv: list[str] | None = None) -> None:
         changes = plans.diff_snapshots(spark, args.old, args.new, spec, strict=args.strict, output=args.output)
         preview(changes, args.limit).show(args.limit, truncate=False)
         return
-    store = sources.DumpStore(args.root, spec, getattr(args, "buckets", None))
+    store = sources.DumpStore(args.root, spec, getattr(args, "buckets", None), getattr(args, "anchors", None))
     if args.job == "daily-integration":
-        done = plans.integrate_csv(spark, store, args.day, args.csv, args.schema)
+        done = plans.integrate_csv(spark, store, args.day, args.csv, args.schema, strict=args.strict)
         print("skipped, integrated before" if done.skipped else "integrated", done.day, done.counts)
     elif args.job == "report":
         report = plans.report_latest(spark, store, args.by, args.limit)
