@@ -26,8 +26,10 @@ from daybook.sources.scratch import saved, scratch_folder
 
 CAPACITY = 2048
 END_ID = 0
-OPEN = 1 << 17
 PIECES_PER_TASK = 1 << 14
+#: More are open only where most of a task's pieces are longer than half a sequence; the
+#: fullest, which close then, have room for few other pieces.
+OPEN = PIECES_PER_TASK // 2
 
 _ID_BYTES = 4
 

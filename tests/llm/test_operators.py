@@ -368,6 +368,26 @@ def test_open_sequences_close_the_fullest():
     assert open_.place(1) == (0, 9) and open_.n_open == 0
 
 
+@pytest.mark.parametrize("limit", [1, 3, 1000])
+def test_pack_with_few_open_sequences(spark, limit):
+    rng = np.random.default_rng(12)
+    lengths = [int(n) for n in rng.integers(1, 101, 500)]
+    pieces = spark.createDataFrame([(i % 450, 0, n) for i, n in enumerate(lengths)], "doc_id long, piece long, length long")
+    found = packing.pack(pieces, capacity=100, open_sequences=limit).collect()
+    assert sorted(r.length for r in found) == sorted(lengths)
+    sequences = defaultdict(list)
+    for r in found:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for places in sequences.values():
+        ends = [0]
+        for offset, length in sorted(places):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+        assert ends[-1] <= 100
+    if limit == 1000:
+        assert len(sequences) <= 1.02 * sum(lengths) / 100 + 1
+
+
 # -- host rules --------------------------------------------------------------------------------
 
 
