@@ -69,3 +69,46 @@ def test_pipeline(spark, monkeypatch):
 def test_run_gives_the_last_stage(spark):
     assert corpus_pipeline.run(spark, str(SF)).columns[0] == "doc_id"
 
+
+
+LABELS = "doc_id long, quality int, toxic int, text string, label string"
+ODD_LABELS = [(i, i % 2, i % 3 % 2, "t", "l") for i in range(60)]
+ODD_LABELS += [(60, None, None, None, None), (None, 1, 1, "t", "l"), (3, 0, 1, "t", "l"), (3, 1, 0, "t", "l"), (4, 0, 1, "t", "l")]
+
+
+@pytest.mark.parametrize(("docs", "labels"), [("odd_docs", ODD_LABELS), ("odd_docs", []), ("no_docs", [])])
+def test_stages_take_odd_and_empty_tables(spark, request, tmp_path, docs, labels):
+    spark.createDataFrame(labels, LABELS).write.parquet(str(tmp_path / "labels.parquet"))
+    given = request.getfixturevalue(docs)
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, given, str(tmp_path))
+        if name != "packing":
+            assert found.schema == given.schema
+        assert docs == "odd_docs" or found.count() == 0
+        found.collect()
+
+
+CASES = [(n, *case) for n in QUERIES if n != "op2_url_lists" for case in (("odd_docs", ODD_LABELS), ("no_docs", []))]
+CASES += [(n, "odd_docs", []) for n in ("op6_toxicity", "op8_quality")]
+
+
+@pytest.mark.parametrize(("name", "docs", "labels"), CASES)
+def test_queries_take_odd_and_empty_tables(spark, request, tmp_path, name, docs, labels):
+    given = request.getfixturevalue(docs)
+    spark.createDataFrame(labels, LABELS).write.parquet(str(tmp_path / "labels.parquet"))
+    given.write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES[name](spark, str(tmp_path))
+    ids = Counter(r.doc_id for r in found.select("doc_id").collect())
+    expected = Counter(r.doc_id for r in given.select("doc_id").collect())
+    assert ids == expected if name != "op7_pack" else ids.keys() == expected.keys()
+
+
+def test_url_lists_take_odd_and_no_pages(spark, tmp_path):
+    schema = "page_id long, url string, html string, host string, rule string, month string"
+    odd = [(None, "http://a.b.c/x", None, "h", "r", "m"), (1, None, "", "h", "r", "m"), (2, "", "", "h", "r", "m")]
+    odd += [(3, "no url", "", "h", "r", "m"), (4, "http://x/", "", "h", "r", "m"), (4, "http://x/", "", "h", "r", "m")]
+    for n, rows in enumerate((odd, [])):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{n}/pages.parquet"))
+        found = QUERIES["op2_url_lists"](spark, str(tmp_path / str(n))).collect()
+        assert Counter(r.page_id for r in found) == Counter(r[0] for r in rows)
+        assert all(r.listed == (r.n_active > 0) for r in found)
