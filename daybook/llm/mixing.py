@@ -105,7 +105,9 @@ def mix(
 
     A null text has no words, a null source is a source of its own, the last one.
     Rows that repeat an id and its text are taken alike. An empty table, or one
-    without words, gives no repetitions. ``repeated`` unfolds them.
+    without words, gives no repetitions. ``repeated`` unfolds them. More than
+    ``MAX_SOURCES`` sources, such as a column of hosts may hold, are refused with a
+    ``ValueError``: totals, targets and cuts of all sources pass through the driver.
     """
     spark = docs.sparkSession
     source = picked(docs, keep_rows, doc_id=id_col, text=text_col, source=source_col)
