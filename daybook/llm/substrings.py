@@ -253,12 +253,21 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield batch.slice(i, 1).to_pylist()[0]
 
 
+def _buckets(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Even buckets: an anchor's hash is the least of many, so its own leading bits are mostly zeros."""
+    mixed = (hashes ^ (hashes >> np.uint64(29))) * _ODD
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * _ODD
+    return ((mixed >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
+
+
 def _hash_batches(batches: Iterator[pa.RecordBatch], n_buckets: int, length: int) -> Iterator[pa.RecordBatch]:
     """Each block's different anchor hashes, by bucket."""
     for batch in batches:
         for row in _rows(batch):
             hashes = np.unique(anchor_runs(*_members(row), grams(length)[0], length).hash)
-            bucket = ((hashes >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
+            bucket = _buckets(hashes, n_buckets)
+            order = np.argsort(bucket, kind="stable")
+            hashes, bucket = hashes[order], bucket[order]
             ends = np.searchsorted(bucket, np.arange(n_buckets + 1, dtype=np.uint64))
             out = [
                 (b, row["block"], hashes[lo:hi].tobytes()) for b, (lo, hi) in enumerate(zip(ends, ends[1:])) if hi > lo
