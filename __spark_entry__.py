@@ -7,7 +7,6 @@ are the operators' own parameters (the day to rebuild, the day to slice).
 
 from __future__ import annotations
 
-import importlib.util
 from collections.abc import Callable
 from datetime import date
 
@@ -24,10 +23,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The subpackage for training data and its pipeline may have been left out.
 _LLM_QUERIES: dict[str, Query] = {}
 _LLM_SQL: dict[str, str] = {}
-if importlib.util.find_spec("daybook.llm") and importlib.util.find_spec("corpus_pipeline"):
+try:
     import corpus_pipeline
     from daybook.llm import queries as llm_queries
-
+except ImportError:  # theirs, or a package that only they need
+    pass
+else:
     _LLM_QUERIES = llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
     _LLM_SQL = dict(llm_queries.ORACLE_SQL)
     if corpus_pipeline.ORACLE_SQL is not None:

@@ -5,11 +5,15 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_given_out: ContextVar[list[str] | None] = ContextVar("_given_out", default=None)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
@@ -42,9 +46,28 @@ def scratch_folder(spark: SparkSession) -> str:
         shared = _own_folder(spark)
     path = f"{shared.rstrip('/')}/daybook-{uuid.uuid4().hex}"
     atexit.register(_remove_at_exit, spark, path)
+    within = _given_out.get()
+    if within is not None:
+        within.append(path)
     return path
 
 
+@contextmanager
+def passing_scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders given out inside are removed at the end, not when the program ends.
+
+    For a step whose result is a table written before the end, in a folder from outside.
+    """
+    paths: list[str] = []
+    token = _given_out.set(paths)
+    try:
+        yield
+    finally:
+        _given_out.reset(token)
+        for path in paths:
+            remove_folder(spark, path)
+
+
 def saved(df: DataFrame, path: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` and read it back: what follows neither repeats nor varies its work.
 
