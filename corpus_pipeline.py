@@ -7,13 +7,15 @@ stage takes what the one before kept; all but the last return the columns of
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import compression_quality, exact_dedup, mixing, packing, shared_shingles
+from daybook.llm import compression_quality, exact_dedup, mixing, packing, simhash
 from daybook.llm.common import rows_of
 from daybook.llm.queries import VOCABULARY
-from daybook.sources.scratch import saved, scratch_folder
+from daybook.sources.scratch import passing_scratch, remove_folder, saved, scratch_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,17 +25,33 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows_of(judged.where("predicted = 1"), docs.columns)
 
 
+def _settled(spark: SparkSession, step: Callable[[], DataFrame]) -> DataFrame:
+    """The step's result as a written table; what it set down on the way is gone."""
+    path = scratch_folder(spark)
+    with passing_scratch(spark):
+        return saved(step(), path)
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each set of equal texts, the one with the smallest id."""
-    return rows_of(exact_dedup.exact_duplicates(docs, keep_rows=True).where("kept"), docs.columns)
+
+    def kept() -> DataFrame:
+        return rows_of(exact_dedup.exact_duplicates(docs, keep_rows=True).where("kept"), docs.columns)
+
+    return _settled(spark, kept)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id.
+    """One document of each group that SimHash links, the one with the smallest id.
 
-    Near is a Jaccard similarity of five-word shingles of 0.8 or more, not op5's bits.
+    Four-word shingles and at most four differing bits, as in op5.
     """
-    return rows_of(shared_shingles.near_duplicates(docs, keep_rows=True).where("stays"), docs.columns)
+
+    def kept() -> DataFrame:
+        found = simhash.near_duplicates(docs, max_bits=simhash.MAX_BITS, keep_rows=True)
+        return rows_of(found.where("stays"), docs.columns)
+
+    return _settled(spark, kept)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,11 +78,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's result is a written table."""
+    """All stages over ``documents``; each one's result is a written table, the one before goes."""
     root = scratch_folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for n, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if n < len(STAGES) - 1:
-            docs = saved(docs, f"{root}/stage-{n}")
+        with passing_scratch(spark):
+            docs = saved(stage(spark, docs, sf_dir), f"{root}/stage-{n}")
+        if n:
+            remove_folder(spark, f"{root}/stage-{n - 1}")
     return docs
