@@ -12,11 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (
+    bin_slack,
     compression_quality,
     exact_dedup,
     host_rules,
+    merkle,
     mixing,
     packing,
+    periodic_runs,
     sharding,
     simhash,
     substrings,
@@ -28,6 +31,8 @@ from daybook.sources.scratch import scratch_folder
 
 #: Files of the public vocabulary that the packing query reads.
 VOCABULARY = "byte_bpe_50k"
+#: The one that the query of minimum bin slack reads.
+WORD_VOCABULARY = "word_bpe_49k"
 
 N_SHARDS = 24
 OLD_SHARDS = 16
@@ -146,6 +151,60 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir))
 
 
+def op11_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(f"{WORD_VOCABULARY}.json")
+    return bin_slack.pack_documents(_documents(spark, sf_dir), path)
+
+
+def _crc(doc_id: Column) -> Column:
+    """The unsigned crc32 of the decimal id."""
+    return F.crc32(doc_id.cast("string"))
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """In a tenth of the documents the words from some place on repeat the first few of them."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    g = F.floor(_crc(F.col("doc_id")) / 10)
+    n = F.size(words)
+    a = (g % n).cast("int")
+    rest = n - a
+    period = (1 + F.floor(rest / (3 + g % 8))).cast("int")
+    block = F.slice(words, a + 1, period)
+    repeated = F.flatten(F.array_repeat(block, F.ceil(rest / period).cast("int")))
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(repeated, F.lit(1), rest)), " ")
+    chosen = (_crc(F.col("doc_id")) % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return docs.select("doc_id", F.when(chosen, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(_with_planted_runs(_documents(spark, sf_dir)))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.start",
+        "strongest.length",
+        "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+TAMPERED = 7
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all rows; of every seventh its number of characters was changed before it is held against them."""
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).alias("n_chars")
+    changed = merkle.row_digest(*[more if f == "n_chars" else F.col(f) for f in merkle.FIELDS])
+    presented = F.when(_crc(F.col("doc_id")) % TAMPERED == 0, changed)
+    proved = merkle.merkle_manifest(_documents(spark, sf_dir), presented=presented)
+    beside = F.filter("proof", lambda p: p["digest"].isNotNull())
+    digests = F.array_join(F.transform(beside, lambda p: F.lower(F.hex(p["digest"]))), "")
+    return proved.withColumn("proof", F.sha2(digests, 256)).withColumnRenamed("proof", "proof_sha256")
+
+
 OP2_SQL = r"""
 WITH captures AS (
   SELECT page_id, url, CAST(DATE '2023-01-01' + CAST(page_id % 730 AS INTEGER) AS DATE) AS fetched_at,
@@ -237,6 +296,111 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM texts WINDOW same AS (PARTITION BY t)
 """
 
+# The unsigned crc32 of the decimal id, bit by bit.
+_CRC_SQL = """xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT),
+                 list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(
+      [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, bit: xor(x >> 1, CAST(3988292384 AS BIGINT) * (x & 1)))))"""
+
+OP12_SQL = rf"""
+WITH given AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_CRC_SQL} AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sized AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM given),
+planted AS (
+  SELECT rid, doc_id, n,
+         CASE WHEN h % 10 = 0 AND n > 0
+              THEN list_transform(range(n), lambda i:
+                     w[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1])
+              ELSE w END AS w
+  FROM sized),
+words AS (SELECT rid, n, unnest(w) AS w, generate_subscripts(w, 1) - 1 AS i FROM planted),
+grams AS (
+  SELECT rid, n, i, concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS gram
+  FROM words WINDOW o AS (PARTITION BY rid ORDER BY i)),
+equal AS (
+  SELECT x.rid, x.i, y.i - x.i AS d
+  FROM grams x JOIN grams y ON x.rid = y.rid AND x.gram = y.gram AND x.i < y.i AND 4 * (y.i - x.i) <= x.n
+  WHERE y.i <= y.n - 5),
+numbered AS (SELECT *, i - row_number() OVER (PARTITION BY rid, d ORDER BY i) AS stretch FROM equal),
+spans AS (
+  SELECT rid, d, min(i) AS start, count(*) + 4 + d AS length FROM numbered GROUP BY rid, d, stretch),
+runs AS (
+  SELECT rid, start, length, min(d) AS period FROM spans WHERE length >= greatest(6, 4 * d)
+  GROUP BY rid, start, length),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY length / period DESC, start, period) AS nth FROM runs),
+listed AS (
+  SELECT rid, count(*) AS n_runs,
+         sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)) AS runs_sha256
+  FROM runs GROUP BY rid),
+dropped AS (
+  SELECT DISTINCT words.rid, i FROM words JOIN runs
+    ON words.rid = runs.rid AND i >= start + period AND i < start + length),
+left_over AS (
+  SELECT rid, sha256(string_agg(w, ' ' ORDER BY i)) AS collapsed_sha256
+  FROM words ANTI JOIN dropped USING (rid, i) GROUP BY rid)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       coalesce(runs_sha256, sha256('')) AS runs_sha256, coalesce(collapsed_sha256, sha256('')) AS collapsed_sha256
+FROM planted LEFT JOIN listed USING (rid) LEFT JOIN left_over USING (rid)
+LEFT JOIN (SELECT * FROM best WHERE nth = 1) AS b USING (rid)
+"""
+
+
+def _fields_sql(n_chars: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text"]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+OP13_SQL = f"""
+WITH RECURSIVE hashed AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, {_fields_sql("n_chars")} AS leaf,
+         CASE WHEN {_CRC_SQL} % 7 = 0 THEN {_fields_sql("(CAST(n_chars AS HUGEINT) + 1)")}
+              ELSE {_fields_sql("n_chars")} END AS presented
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM hashed),
+tree AS (
+  SELECT 0 AS level, lang, i, n, leaf AS d FROM leaves
+  UNION ALL
+  SELECT level + 1, lang, i // 2, any_value((n + 1) // 2), sha256(string_agg(d, '' ORDER BY i))
+  FROM tree WHERE n > 1 GROUP BY level, lang, i // 2),
+subroots AS (
+  SELECT lang, d AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n
+  FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS level, i, n, subroot AS d FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 2, any_value((n + 1) // 2), sha256(string_agg(d, '' ORDER BY i))
+  FROM top WHERE n > 1 GROUP BY level, i // 2),
+climb AS (
+  SELECT rid, 0 AS level, lang, i, n, presented AS now, '' AS proof FROM leaves
+  UNION ALL
+  SELECT rid, c.level + 1, c.lang, c.i // 2, (c.n + 1) // 2,
+         sha256(CASE WHEN d IS NULL THEN now WHEN c.i % 2 = 1 THEN d || now ELSE now || d END),
+         proof || coalesce(d, '')
+  FROM climb c LEFT JOIN tree t
+    ON t.level = c.level AND t.lang IS NOT DISTINCT FROM c.lang AND t.i = xor(c.i, 1)
+  WHERE c.n > 1),
+climb_top AS (
+  SELECT rid, 0 AS level, s.i, s.n, now, proof, subroot
+  FROM climb c JOIN subroots s ON c.lang IS NOT DISTINCT FROM s.lang WHERE c.n = 1
+  UNION ALL
+  SELECT rid, c.level + 1, c.i // 2, (c.n + 1) // 2,
+         sha256(CASE WHEN d IS NULL THEN now WHEN c.i % 2 = 1 THEN d || now ELSE now || d END),
+         proof || coalesce(d, ''), subroot
+  FROM climb_top c LEFT JOIN top t ON t.level = c.level AND t.i = xor(c.i, 1)
+  WHERE c.n > 1)
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, now AS folded_root, now = d AS verified
+FROM hashed JOIN climb_top USING (rid) JOIN top ON top.n = 1
+WHERE climb_top.n = 1
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_reshard": op1_reshard,
     "op2_url_lists": op2_url_lists,
@@ -248,10 +412,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_host_rules": op9_host_rules,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_bin_slack": op11_bin_slack,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_url_lists": OP2_SQL,
     "op9_host_rules": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op12_periodic_runs": OP12_SQL,
+    "op13_merkle": OP13_SQL,
 }

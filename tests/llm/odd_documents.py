@@ -9,6 +9,8 @@ DOCS = T.StructType(
         T.StructField("doc_id", T.LongType()),
         T.StructField("text", T.StringType()),
         T.StructField("source", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("n_chars", T.IntegerType()),
         # Names that the operators use inside.
         T.StructField("h", T.StringType()),
         T.StructField("row", T.StringType()),
@@ -23,7 +25,8 @@ DOCS = T.StructType(
 
 def rows(pairs):
     """Documents with odd further columns; ``pairs`` holds ids, texts and sources."""
-    return [(i, t, s, "h", None, "9", "x", "no", None, "b") for i, t, s in pairs]
+    langs = {"s0": "en", "s1": None, "s2": "de"}
+    return [(i, t, s, langs.get(s, s), None if t is None else len(t), "h", None, "9", "x", "no", None, "b") for i, t, s in pairs]
 
 
 def odd_texts(seed=5, n=120):

@@ -100,7 +100,7 @@ def test_queries_take_odd_and_empty_tables(spark, request, tmp_path, name, docs,
     found = QUERIES[name](spark, str(tmp_path))
     ids = Counter(r.doc_id for r in found.select("doc_id").collect())
     expected = Counter(r.doc_id for r in given.select("doc_id").collect())
-    assert ids == expected if name != "op7_pack" else ids.keys() == expected.keys()
+    assert ids == expected if name not in ("op7_pack", "op11_bin_slack") else ids.keys() == expected.keys()
 
 
 def test_url_lists_take_odd_and_no_pages(spark, tmp_path):
