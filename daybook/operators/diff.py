@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import copy
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.names import col, cols, require_columns, require_comparable, spare_name
@@ -18,6 +18,13 @@ from daybook.operators.align import align_snapshots, align_union
 from daybook.operators.joins import join_per_key, repeat_rows
 from daybook.spec import DELETE, INSERT, UPDATE, TableSpec
 
+#: A key with more pairs of an older and a newer row than this counts as hot.
+HOT_PAIRS = 1 << 20
+#: The hottest keys that are set apart; the others go the ordinary way, which holds up, too.
+HOT_KEYS = 1 << 16
+#: Inputs that Spark takes for this much smaller than a skewed partition hold no hot key.
+_SURELY_SMALL = 8
+
 
 class _Pair:
     """Two aligned snapshots with their key and compared columns, checked."""
@@ -95,8 +102,8 @@ def deleted(old: DataFrame, new: DataFrame, spec: TableSpec) -> DataFrame:
 def updated(old: DataFrame, new: DataFrame, spec: TableSpec) -> DataFrame:
     """Newer rows that differ from an older row of their key, tagged ``U``."""
     pair = _Pair(old, new, spec)
-    rows = pair.with_old_counts("inner").where(pair.differing() > 0)
-    return _tag(repeat_rows(rows, pair.differing()).select(*cols(pair.new.columns)), spec, UPDATE)
+    changes = _with_hot_keys_apart(pair, spec).where(col(spec.op) == UPDATE)
+    return changes.select(*cols([*pair.new.columns, spec.op]))
 
 
 def change_set(
@@ -111,8 +118,11 @@ def change_set(
     """All rows inserted, updated or deleted between two snapshots, with ``op``.
 
     The rows are the same whichever way is taken. By default the result holds up
-    when a key or the null key has any number of rows: counts replace row pairs,
-    and every join has a left side that AQE may split.
+    when a key or the null key has any number of rows. Both sides are exchanged once,
+    by key, and windows count per key and per image what would else be row pairs. Hot
+    keys, found by a count over the key columns, are set apart: theirs is the form that
+    joins with counts, in which every join has a left side that AQE may split. Rows with
+    a null key are not exchanged at all.
 
     ``keys_unique=True`` is for snapshots known to hold one row per non-null key,
     such as cleaned dumps: one full outer join, each side exchanged once. Rows with a
@@ -127,10 +137,79 @@ def change_set(
     if keys_unique:
         return _by_full_join_of_keyed(pair, spec) if null_keys else _by_full_join(pair, spec)
     if repeated_keys is None:
-        return _by_counts(pair, spec)
+        return _with_hot_keys_apart(pair, spec)
     return _by_full_join_but_for(pair, spec, repeated_keys)
 
 
+def _hot_keys(pair: _Pair) -> DataFrame | None:
+    """The hottest keys, ``HOT_KEYS`` at most; None where the inputs are too small to hold any.
+
+    Hot are keys whose rows exceed what AQE takes for a skewed partition, and keys with
+    very many pairs. Sizes are estimates: a wrong one costs time, never rows. The choice
+    depends on the rows alone, as two branches of the plan have to agree on it.
+    """
+    spark = pair.new.sparkSession
+    given = spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+    skewed = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(given)
+    sizes = [side._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() for side in (pair.old, pair.new)]
+    if sum(int(str(n)) for n in sizes) < skewed // _SURELY_SMALL:
+        return None
+    most = skewed // pair.new._jdf.schema().defaultSize()
+    keys, is_old = cols(pair.keys), spare_name("_is_old", pair.old, pair.new)
+    both = [side.select(*keys, F.lit(n).cast("long").alias(is_old)) for n, side in enumerate((pair.new, pair.old))]
+    n_old, n_all = F.sum(col(is_old)), F.count(F.lit(1))
+    rows, pairs = spare_name("_rows", pair.old, pair.new), spare_name("_pairs", pair.old, pair.new)
+    counts = (
+        both[0].unionByName(both[1]).where(none_null(keys)).groupBy(*keys)
+        .agg(n_all.alias(rows), (n_old.cast("double") * (n_all - n_old)).alias(pairs))
+        .where((col(rows) > most) | (col(pairs) > HOT_PAIRS))
+    )
+    hottest = counts.orderBy(col(pairs).desc(), col(rows).desc(), *keys).limit(HOT_KEYS)
+    return hottest.select(*keys)
+
+
+def _with_hot_keys_apart(pair: _Pair, spec: TableSpec) -> DataFrame:
+    keyed, keyless = none_null(cols(pair.keys)), any_null(cols(pair.keys))
+    old, new, hot = pair.old.where(keyed), pair.new.where(keyed), _hot_keys(pair)
+    parts = [_tag(pair.new.where(keyless), spec, INSERT), _tag(pair.old.where(keyless), spec, DELETE)]
+    if hot is None:
+        parts.append(_by_window(pair.part(old, new), spec))
+    else:
+        # At most HOT_KEYS keys.
+        apart = F.broadcast(hot)
+
+        def side(rows: DataFrame, how: str) -> DataFrame:
+            return rows.join(apart, pair.keys, how).select(*cols(rows.columns))
+
+        parts.append(_by_window(pair.part(side(old, "left_anti"), side(new, "left_anti")), spec))
+        parts.append(_by_counts(pair.part(side(old, "left_semi"), side(new, "left_semi")), spec))
+    return align_union(*parts).select(*cols([*pair.columns, spec.op]))
+
+
+def _by_window(pair: _Pair, spec: TableSpec) -> DataFrame:
+    """Both sides exchanged once by key; a key's rows are counted where they meet."""
+    names = [spare_name(n, pair.old, pair.new) for n in ("_is_old", "_n_old", "_n_all", "_n_same", "_times", "_nth")]
+    is_old, n_old, n_all, n_same, times, nth = names
+    both = align_union(
+        pair.new.withColumn(is_old, F.lit(0).cast("long")), pair.old.withColumn(is_old, F.lit(1).cast("long"))
+    )
+    per_key = Window.partitionBy(*cols(pair.keys))
+    per_image = Window.partitionBy(*cols([*pair.keys, *pair.compared]))
+    counted = (
+        both.withColumn(n_same, F.sum(col(is_old)).over(per_image))
+        .withColumn(n_old, F.sum(col(is_old)).over(per_key))
+        .withColumn(n_all, F.count(F.lit(1)).over(per_key))
+    )
+    gone, fresh = col(n_old) == col(n_all), col(n_old) == 0
+    of_old = F.when(gone, 1).otherwise(0)
+    of_new = F.when(fresh, 1).otherwise(col(n_old) - col(n_same))
+    op = F.when(col(is_old) == 1, DELETE).when(fresh, INSERT).otherwise(UPDATE)
+    changed = counted.withColumn(times, F.when(col(is_old) == 1, of_old).otherwise(of_new).cast("long"))
+    changed = changed.where(col(times) > 0).withColumn(spec.op, op)
+    unfolded = changed.withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), col(times))))
+    return unfolded.select(*cols([*pair.columns, spec.op]))
+
+
 def _by_full_join_but_for(pair: _Pair, spec: TableSpec, repeated: DataFrame) -> DataFrame:
     keys = pair.keys
     few = repeated.select(*cols(require_columns(repeated, keys, "the repeated keys"))).toDF(*keys)

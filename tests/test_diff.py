@@ -6,6 +6,7 @@ from helpers import bag, brute_change_set
 
 from daybook import MissingColumnError, TableSpec, UncomparableColumnError
 from daybook import operators as ops
+from daybook.operators import diff
 
 ID = TableSpec("id")
 TOY = "id string, name string, city string"
@@ -205,3 +206,22 @@ def test_applying_a_change_set_gives_the_newer_snapshot(spark):
         ops_of = Counter(r["op"] for r in changes.collect())
         assert b.count() == a.count() + ops_of["I"] - ops_of["D"]
         assert ops.change_set(a, a, ID, keys_unique=True).isEmpty()
+
+
+@pytest.mark.parametrize(("skewed", "hot_keys"), [("1b", 1 << 16), ("300b", 1 << 16), ("300b", 1), ("1b", 2)])
+def test_hot_keys_set_apart_change_no_row(spark, conf, monkeypatch, skewed, hot_keys):
+    """All keys hot, some of them, and more of them than are set apart."""
+    conf({"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": skewed})
+    monkeypatch.setattr(diff, "HOT_KEYS", hot_keys)
+    rng = random.Random(11)
+
+    def rows(n):
+        keys = [None, 1, 1, 1, 1, 2, 2, 3, *range(4, 20)]
+        return [(rng.choice(keys), rng.choice("xy"), rng.choice([None, 0.0, -0.0, float("nan")])) for _ in range(n)]
+
+    for n_old, n_new in ((60, 60), (0, 30), (30, 0), (90, 5)):
+        old, new = rows(n_old), rows(n_new)
+        frames = [spark.createDataFrame(r, "id int, v string, w double") for r in (old, new)]
+        expected = brute_change_set(old, new, 1)
+        assert bag(ops.change_set(*frames, ID)) == expected
+        assert bag(ops.updated(*frames, ID)) == Counter({r: n for r, n in expected.items() if r[-1] == "U"})
