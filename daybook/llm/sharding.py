@@ -14,8 +14,10 @@ blocks of bounded size, so no task holds a shard.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ from daybook.sources.scratch import saved, scratch_folder
 SEED = 7
 CHANGE = 64
 BLOCK_BYTES = 32 << 20
+_FAR = 1 << 62
 
 
 @dataclass(frozen=True)
@@ -36,47 +39,77 @@ class Transfer:
 
 
 def cheapest_transfers(
-    old: dict[int, int], capacity: dict[int, int], cost=lambda i, j: int(i != j)
+    old: dict[int, int], capacity: dict[int, int], cost: Callable[[int, int], int] | None = None
 ) -> list[Transfer]:
     """Who gives how many bytes to whom, at the least total cost.
 
-    Successive shortest paths over the two sides; by default a byte costs 1 if it
-    changes its shard. Capacities must hold all bytes.
+    ``cost`` is what a byte from an old to a new shard costs, 0 or more; by default 1 if
+    it changes its shard. Capacities must hold all bytes. What may stay for nothing is
+    settled first. The rest follows shortest augmenting paths, found over costs that are
+    reduced by node potentials, so that a search ends at the nearest shard with room.
     """
     if sum(old.values()) > sum(capacity.values()):
         raise ValueError("the new shards cannot hold the old ones")
-    flow: dict[tuple[int, int], int] = {}
-    room = dict(capacity)
-    for start in sorted(old):
-        left = old[start]
-        while left:
-            # Bellman-Ford from this old shard: forward to a new shard, back along flow.
-            far: dict[tuple[str, int], int] = {("old", start): 0}
-            via: dict[tuple[str, int], tuple[str, int]] = {}
-            queue = [("old", start)]
-            while queue:
-                side, i = queue.pop(0)
-                if side == "old":
-                    steps = [(("new", j), cost(i, j)) for j in capacity]
-                else:
-                    steps = [(("old", k), -cost(k, i)) for (k, j), f in flow.items() if j == i and f]
-                for to, price in steps:
-                    if far[(side, i)] + price < far.get(to, 1 << 62):
-                        far[to], via[to] = far[(side, i)] + price, (side, i)
-                        if to not in queue:
-                            queue.append(to)
-            end = min((j for j in room if room[j]), key=lambda j: (far[("new", j)], j))
-            path, node = [], ("new", end)
-            while node in via:
-                path.append((via[node], node))
-                node = via[node]
-            amount = min([left, room[end], *(flow[(b[1], a[1])] for a, b in path if a[0] == "new")])
-            for a, b in path:
-                edge, sign = ((a[1], b[1]), 1) if a[0] == "old" else ((b[1], a[1]), -1)
-                flow[edge] = flow.get(edge, 0) + sign * amount
+    givers, takers = sorted(old), sorted(capacity)
+    if cost is None:
+        price = (np.array(givers)[:, None] != np.array(takers)[None, :]).astype(np.int64)
+    else:
+        price = np.array([[cost(i, j) for j in takers] for i in givers], dtype=np.int64).reshape(len(givers), len(takers))
+    if price.size and price.min() < 0:
+        raise ValueError("costs may not be negative")
+    left, room = [old[i] for i in givers], np.array([capacity[j] for j in takers], dtype=object)
+    flow: list[dict[int, int]] = [{} for _ in takers]  # by new shard: old shard and bytes
+    at = {j: n for n, j in enumerate(takers)}
+    for i, shard in enumerate(givers):
+        j = at.get(shard)
+        if j is not None and price[i, j] == 0 and min(left[i], room[j]):
+            flow[j][i] = stays = min(left[i], room[j])
+            left[i] -= stays
+            room[j] -= stays
+    high_old, high_new = np.zeros(len(givers), dtype=np.int64), np.zeros(len(takers), dtype=np.int64)
+    for source in range(len(givers)):
+        while left[source]:
+            has_room = room > 0
+            far = price[source] + high_old[source] - high_new
+            via = np.full(len(takers), source)
+            far_old, back, seen = {source: 0}, {}, np.zeros(len(takers), dtype=bool)
+            while True:
+                open_far = np.where(seen, _FAR, far)
+                least = open_far.min()
+                ends = np.flatnonzero((open_far == least) & has_room)
+                if len(ends):
+                    end = int(ends[0])
+                    break
+                j = int(open_far.argmin())
+                seen[j] = True
+                for i in flow[j]:
+                    if i not in far_old:
+                        far_old[i], back[i] = int(least), j
+                        onward = least + price[i] + high_old[i] - high_new
+                        nearer = onward < far
+                        far, via = np.where(nearer, onward, far), np.where(nearer, i, via)
+            high_new += np.minimum(far, least)
+            reached = np.full(len(givers), least)
+            reached[list(far_old)] = list(far_old.values())
+            high_old += reached
+            path, j = [], end
+            while True:
+                i = int(via[j])
+                path.append((i, j))
+                if i == source:
+                    break
+                j = back[i]
+            amount = min([left[source], room[end], *(flow[back[i]][i] for i, _ in path[:-1])])
+            for i, j in path:
+                flow[j][i] = flow[j].get(i, 0) + amount
+                if i != source:
+                    flow[back[i]][i] -= amount
+                    if not flow[back[i]][i]:
+                        del flow[back[i]][i]
             room[end] -= amount
-            left -= amount
-    return [Transfer(i, j, f) for (i, j), f in sorted(flow.items()) if f]
+            left[source] -= amount
+    moved = [(givers[i], takers[j], n) for j, given in enumerate(flow) for i, n in given.items()]
+    return [Transfer(*m) for m in sorted(moved)]
 
 
 def _singles(sized: DataFrame) -> dict[tuple[int, int], int]:
@@ -139,21 +172,24 @@ def reshard(
     """Every document's new ``shard`` and ``slot`` beside ``doc_id, text, old_shard``, and the flow.
 
     ``old_shard`` names an integer column: where the document is now, counted from 0.
-    A document's size is its UTF-8 bytes plus 8; a null text has none. Rows that
-    repeat an id stay together. An old shard of null counts as -1, whose rows all
-    move. An empty table gives no rows and no transfers.
+    A document's size is its UTF-8 bytes plus 8; a null text has none. Rows go one by
+    one, also those that repeat an id or have none. An old shard of null counts as -1,
+    whose rows all move. An empty table gives no rows and no transfers.
     """
     spark = docs.sparkSession
     root = scratch_folder(spark)
     source = picked(docs, doc_id=id_col, text=text_col, old_shard=old_shard)
-    source = source.withColumn("old_shard", F.coalesce("old_shard", F.lit(-1)).cast("int"))
-    keyed = source.withColumn("h", order_hash("doc_id", seed=seed))
-    sized = saved(
-        keyed.select(
-            F.col("old_shard").alias("key"), "h", (F.octet_length(utf8(F.col("text"))) + 8).cast("long").alias("size")
-        ),
-        f"{root}/sized",
+    size = (F.octet_length(utf8(F.col("text"))) + 8).cast("long").alias("size")
+    # The running number tells equal rows apart; the written table keeps it.
+    numbered = source.select(
+        "doc_id",
+        "text",
+        F.coalesce("old_shard", F.lit(-1)).cast("int").alias("old_shard"),
+        size,
+        order_hash(F.col("doc_id"), F.monotonically_increasing_id(), seed=seed).alias("h"),
     )
+    rows = saved(numbered, f"{root}/rows", compression="zstd")
+    sized = rows.select(F.col("old_shard").alias("key"), "h", "size")
     blocks, singles, transfers = _plan(sized, n_shards)
 
     # A block per transfer and a row per single row: bounded by the numbers of shards.
@@ -174,8 +210,8 @@ def reshard(
     counts = saved(placed(sized, "key").groupBy("shard", "block").agg(F.count("*").alias("n")), f"{root}/counts")
     earlier = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("shard", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
-    within = Window.partitionBy("shard", "block").orderBy("doc_id", "text")
-    numbered = placed(keyed, "old_shard").withColumn("nth", F.row_number().over(within))
+    within = Window.partitionBy("shard", "block").orderBy("h", "doc_id")
+    numbered = placed(rows, "old_shard").withColumn("nth", F.row_number().over(within))
     slot = (F.col("first") + F.col("nth") - 1).cast("long").alias("slot")
     return (
         numbered.join(first, ["shard", "block"]).select("doc_id", "text", "old_shard", "shard", slot),
