@@ -6,13 +6,15 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.errors import DayOrderError, MalformedRowsError
 from daybook.functions.days import parse_day
 from daybook.functions.names import col, cols, find_column, fold, require_columns, spare_name
+from daybook.functions.predicates import any_null
 from daybook.operators.diff import change_counts, change_set
-from daybook.operators.quality import clean_dump, key_quality
+from daybook.operators.quality import clean_dump, duplicate_keys, key_quality
 from daybook.sources.csv_dump import read_csv_dump
 from daybook.sources.store import DumpStore, log_columns_of, schema_of
 from daybook.sources.tables import empty_frame, read_snapshot, write_snapshot
@@ -126,12 +128,12 @@ def _integrate(
     # A type that does not fit is refused before anything is written.
     before = None if last is None else log_columns_of(last)
     _log_columns(spark, before, dump.schema)
-    malformed = None
+    seen = None
     if odd is not None and check_quality:
-        dump, malformed = _staged(spark, store, day, parsed, odd)
-        if strict and malformed:
+        dump, seen = _staged(spark, store, day, parsed, odd)
+        if strict and seen["malformed_rows"]:
             store.drop_staged(spark)
-            raise MalformedRowsError(f"{malformed} lines of the dump of {day} do not fit its columns")
+            raise MalformedRowsError(f"{seen['malformed_rows']} lines of the dump of {day} do not fit its columns")
     files = {"num_files": num_files, "max_rows_per_file": max_rows_per_file}
     store.write_snapshot(clean_dump(dump, spec), day, **files)
     current = store.snapshot_by_key(spark, day, _nullable(dump.schema), store.buckets)
@@ -149,8 +151,8 @@ def _integrate(
     gathered = changes if last is None or num_files is not None else changes.hint("rebalance")
     write_snapshot(gathered, store.log_path(day), **files)
 
-    counts = _count(spark, store, day, dump, current, changes.schema, check_quality)
-    counts["malformed_rows"] = malformed
+    counts = _count(spark, store, day, dump, current, changes.schema, last)
+    counts |= _quality(store, dump, counts["snapshot_rows"], seen) if check_quality else {}
     store.write_commit(spark, day, current.schema, log_columns, counts)
     store.expire_snapshots(spark, keep_snapshots)
     store.drop_staged(spark)
@@ -159,14 +161,20 @@ def _integrate(
 
 def _staged(
     spark: SparkSession, store: DumpStore, day: date, parsed: DataFrame, odd: str
-) -> tuple[DataFrame, int]:
-    """The dump as parsed, in Parquet, and how many of its lines did not fit."""
+) -> tuple[DataFrame, dict[str, int]]:
+    """The dump as parsed, in Parquet, and its rows, those that did not fit, those without a key."""
     own = [c for c in parsed.columns if c != odd]
     fits = spare_name("_fits", parsed)
     rows = parsed.select(*cols(own), col(odd).isNull().alias(fits))
     write_snapshot(rows, store.staged_path(day))
     stored = read_snapshot(spark, store.staged_path(day), rows.schema)
-    return stored.select(*cols(own)), stored.where(~col(fits)).count()
+    keys = require_columns(stored, store.spec.keys, "the dump")
+    seen = stored.agg(
+        F.count(F.lit(1)).alias("dump_rows"),
+        F.count_if(~col(fits)).alias("malformed_rows"),
+        F.count_if(any_null(cols(keys))).alias("null_keys"),
+    )
+    return stored.select(*cols(own)), seen.first().asDict()
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -186,23 +194,35 @@ def _log_columns(spark: SparkSession, before: T.StructType | None, now: T.Struct
     return T.StructType(list(fields.values()))
 
 
-def _count(spark, store, day, dump, current, change_schema, check_quality) -> dict[str, int | None]:
-    # Read back from what was written: one narrow column each, and exact even if
-    # tasks were run twice, which counters kept during the write are not.
+def _count(spark, store, day, dump, current, change_schema, last) -> dict[str, int | None]:
+    # Read back from what was written: one narrow column, and exact even if tasks were
+    # run twice, which counters kept during the write are not.
     written = read_snapshot(spark, store.log_path(day), change_schema)
     ops = {r[store.spec.op]: r["count"] for r in change_counts(written, store.spec).collect()}
-    quality = key_quality(dump, store.spec).first().asDict() if check_quality else {}
+    # A snapshot has one row per key, so what came and went tells how many there are now.
+    before = 0 if last is None else last["snapshot_rows"]
+    came = ops.get(INSERT, 0) - ops.get(DELETE, 0)
     return {
-        "dump_rows": quality.get("total_rows"),
-        "null_keys": quality.get("null_keys"),
-        "duplicate_keys": quality.get("duplicate_keys"),
-        "snapshot_rows": current.count(),
+        "dump_rows": None,
+        "malformed_rows": None,
+        "null_keys": None,
+        "duplicate_keys": None,
+        "snapshot_rows": current.count() if before is None else before + came,
         "inserted": ops.get(INSERT, 0),
         "updated": ops.get(UPDATE, 0),
         "deleted": ops.get(DELETE, 0),
     }
 
 
+def _quality(store: DumpStore, dump: DataFrame, kept: int, seen: dict[str, int] | None) -> dict[str, int]:
+    """Figures of the dump as given. A staged one's keys are counted only if some were dropped as repeated."""
+    if seen is None:
+        found = key_quality(dump, store.spec).first().asDict()
+        return {"dump_rows": found["total_rows"]} | {k: found[k] for k in ("null_keys", "duplicate_keys")}
+    repeated = seen["dump_rows"] - seen["null_keys"] > kept
+    return seen | {"duplicate_keys": duplicate_keys(dump, store.spec).count() if repeated else 0}
+
+
 def _counts_of(commit) -> dict[str, int | None]:
     given = commit.asDict()
     return {k: v for k, v in given.items() if k not in ("day", "snapshot_schema", "log_columns", "buckets")}

@@ -99,6 +99,8 @@ class DumpStore:
         self, spark: SparkSession, until: date | None = None, among: list[date] | None = None
     ) -> Row | None:
         """The newest integrated day's record, if asked up to a day or among given days only."""
+        if until is None and among is None:
+            return self._last_commit(spark)
         commits = self.commits(spark)
         if until is not None:
             commits = commits.where(F.col("day") <= F.lit(until))
@@ -106,8 +108,22 @@ class DumpStore:
             commits = commits.where(F.col("day").isin(among))
         return commits.orderBy(F.col("day").desc()).limit(1).first()
 
+    def _last_commit(self, spark: SparkSession) -> Row | None:
+        """The newest record by the names of their directories; opens as few of them as it can."""
+        fs, root = self._file_system(spark, self._path("commits"))
+        if not fs.exists(root):
+            return None
+        names = [s.getPath().getName() for s in fs.listStatus(root)]
+        for day in sorted((parse_day(n.removeprefix("day=")) for n in names if n.startswith("day=")), reverse=True):
+            # A run that died while it wrote its record leaves a directory without one.
+            found = self.commit_of(spark, day)
+            if found is not None:
+                return found
+        return None
+
     def commit_of(self, spark: SparkSession, day: date) -> Row | None:
-        return self.commits(spark).where(F.col("day") == F.lit(day)).limit(1).first()
+        found = read_parquet_if_any(spark, self._path("commits", day), _COMMIT_FIELDS)
+        return None if found is None else found.withColumn("day", F.lit(day)).limit(1).first()
 
     def columns_last_absent(self, spark: SparkSession, commit: Row) -> dict[str, date]:
         """Of a commit's columns those that had gone and come back by then, with the last day without them."""
