@@ -17,13 +17,17 @@ Only lengths and checksums are shuffled; a task holds about ``ITEMS_PER_TASK`` o
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
+import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,22 +50,51 @@ _ITEM = T.StructType(
 )
 
 
+def _byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for.
+
+    Printable bytes stand for themselves; the others, in order, are the characters from 256 on.
+    """
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(0x100) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(others)}
+
+
 class WordIds(dict):
     """Ids of texts as little-endian unsigned 32-bit numbers; the dict keeps words met before.
 
     For vocabularies that drop white space: no token reaches over it, so the ids of a
-    text are those of its words, one after the other.
+    text are those of its words, one after the other. Words of plain Latin letters are
+    split and merged by tiktoken, with a space for the vocabulary's end of a word; all
+    others go to the tokenizer itself.
     """
 
-    LIMIT = 1 << 18
+    LIMIT = 1 << 19
     LONGEST = 64
+    #: Characters whose lower case, kind and normal form no library sees differently.
+    PLAIN = re.compile("[!-~\xa1-\xac\xae-\u012f\u0131-\u017e]+")
+    #: What the vocabulary takes for a word, as its file says; a fixed value of it.
+    PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    END = "</w>"
 
     def __init__(self, json_path: str) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_file(json_path)
+        byte_of = _byte_of()
+        ranks = {}
+        with open(json_path, encoding="utf-8") as f:
+            for token, rank in json.load(f)["model"]["vocab"].items():
+                body = bytes(byte_of[c] for c in token.removesuffix(self.END))
+                ranks[body + b" " if token.endswith(self.END) else body] = rank
+        self.quick = tiktoken.Encoding("words", pat_str=r"[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+
+    def _ids(self, word: str) -> list[int]:
+        if self.PLAIN.fullmatch(word) and "<|" not in word:
+            return self.quick.encode_ordinary(" ".join(self.PATTERN.findall(word.lower())) + " ")
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def __missing__(self, word: str) -> bytes:
-        found = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        found = array("I", self._ids(word)).tobytes()
         if len(word) <= self.LONGEST:
             if len(self) >= self.LIMIT:
                 self.clear()
@@ -72,6 +105,12 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, _WORDS.findall(text)))
 
 
+@lru_cache(maxsize=2)
+def _word_ids(json_path: str) -> WordIds:
+    """One for all tasks of a worker."""
+    return WordIds(json_path)
+
+
 def powers(length: int) -> list[int]:
     """The powers of two that add up to a length, the greatest first."""
     return [1 << k for k in range(length.bit_length() - 1, -1, -1) if length >> k & 1]
@@ -226,7 +265,7 @@ def tokenized(
     )
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds(json_path)
+        ids_of = _word_ids(json_path)
         for batch in batches:
             found = [items(ids_of(t or "") + end) for t in batch.column("text").to_pylist()]
             yield batch_with(batch, "text", items=pa.array(found, kind))

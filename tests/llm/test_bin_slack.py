@@ -66,6 +66,12 @@ def test_words_give_the_ids_of_the_text():
     for _ in range(3000):
         text = "".join(rng.choice(marks) for _ in range(rng.randint(0, 12)))
         assert list(array("I", ids_of(text))) == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    plain = [chr(c) for c in range(0x21, 0x180)]
+    letters = [c for c in plain if c.isalpha()]
+    for n in range(20000):
+        pool = (plain, letters, letters[:52], letters[26:52])[n % 4]
+        word = "".join(rng.choice(pool) for _ in range(rng.randint(1, 25)))
+        assert list(array("I", ids_of(word))) == tokenizer.encode(word, add_special_tokens=False).ids, repr(word)
 
 
 @pytest.mark.parametrize("capacity", [4096, 64])
