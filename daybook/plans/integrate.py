@@ -16,7 +16,7 @@ from daybook.functions.predicates import any_null
 from daybook.operators.diff import change_counts, change_set
 from daybook.operators.quality import clean_dump, duplicate_keys, key_quality
 from daybook.sources.csv_dump import read_csv_dump
-from daybook.sources.store import DumpStore, log_columns_of, schema_of
+from daybook.sources.store import COUNTS, DumpStore, log_columns_of
 from daybook.sources.tables import empty_frame, read_snapshot, write_snapshot
 from daybook.spec import DELETE, INSERT, UPDATE
 
@@ -138,12 +138,13 @@ def _integrate(
     store.write_snapshot(clean_dump(dump, spec), day, **files)
     current = store.snapshot_by_key(spark, day, _nullable(dump.schema), store.buckets)
 
+    digests = store.digests_of(spark, day, current.schema)
     if last is None:
-        previous = empty_frame(spark, current.schema)
+        older, newer = empty_frame(spark, current.schema), current
     else:
-        previous = store.snapshot_by_key(spark, last["day"], schema_of(last), last["buckets"])
+        older, newer = store.pair_of_snapshots(spark, last, day, current.schema, digests)
     # A cleaned dump has one row per key and no null keys.
-    changes = change_set(previous, current, spec, keys_unique=True, null_keys=False)
+    changes = change_set(older, newer, spec, keys_unique=True, null_keys=False)
     log_columns = _log_columns(spark, before, changes.drop(spec.op).schema)
     # Written as the day's directory, so that a day without changes replaces, too,
     # whatever a failed run may have left there. The comparison runs on partitions
@@ -153,7 +154,7 @@ def _integrate(
 
     counts = _count(spark, store, day, dump, current, changes.schema, last)
     counts |= _quality(store, dump, counts["snapshot_rows"], seen) if check_quality else {}
-    store.write_commit(spark, day, current.schema, log_columns, counts)
+    store.write_commit(spark, day, current.schema, log_columns, counts, digests)
     store.expire_snapshots(spark, keep_snapshots)
     store.drop_staged(spark)
     return Integration(day, False, counts)
@@ -225,4 +226,4 @@ def _quality(store: DumpStore, dump: DataFrame, kept: int, seen: dict[str, int]
 
 def _counts_of(commit) -> dict[str, int | None]:
     given = commit.asDict()
-    return {k: v for k, v in given.items() if k not in ("day", "snapshot_schema", "log_columns", "buckets")}
+    return {k: v for k, v in given.items() if k in COUNTS}

@@ -7,14 +7,19 @@ to write or read them; it is dropped at once and the files stay.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.functions.names import cols, quoted
+from daybook.functions.names import cols, is_comparable, quoted, spare_name
+
+#: Spark ends the name of a bucket's file with the bucket's number.
+_BUCKET = r"_(\d{5,})(?:\.c\d+)?\.[^/]*parquet$"
 
 
 @contextmanager
@@ -70,3 +75,31 @@ def read_bucketed(
 
 def _literal(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def bucket_of(path: str) -> int | None:
+    """The bucket a file belongs to; None for files that are not of one."""
+    found = re.search(_BUCKET, path)
+    return found and int(found[1])
+
+
+def digests_by_bucket(rows: DataFrame) -> dict[int, str] | None:
+    """Per bucket its number of rows and two sums of 64-bit hashes over them, whatever their order.
+
+    ``rows`` is read straight from a bucketed directory. Nulls enter by their place, as
+    hashes alone pass over them. None if a column is nested, where they could not, or of
+    a type without equality.
+    """
+    nested = (T.ArrayType, T.StructType)
+    if any(isinstance(f.dataType, nested) or not is_comparable(f.dataType) for f in rows.schema.fields):
+        return None
+    image = cols(rows.columns)
+    nulls = [c.isNull() for c in image]
+    names = [spare_name(n, rows) for n in ("_bucket", "_first", "_second")]
+    bucket = F.regexp_extract(F.input_file_name(), _BUCKET, 1).cast("int").alias(names[0])
+    hashes = [F.xxhash64(F.lit(k), *image, *nulls).cast("decimal(20,0)").alias(n) for k, n in enumerate(names[1:])]
+    sums = rows.select(bucket, *hashes).groupBy(names[0]).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(names[1]).alias("first"), F.sum(names[2]).alias("second")
+    )
+    # A row per bucket.
+    return {r[names[0]]: f"{r['n']} {r['first']} {r['second']}" for r in sums.collect()}

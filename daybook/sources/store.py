@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from daybook.errors import NoSnapshotError
 from daybook.functions.days import parse_day
 from daybook.functions.names import col, fold, require_columns
-from daybook.sources.buckets import read_bucketed, write_bucketed
+from daybook.sources.buckets import bucket_of, digests_by_bucket, read_bucketed, write_bucketed
 from daybook.sources.tables import (
     empty_frame,
     log_schema,
@@ -32,7 +32,7 @@ from daybook.sources.tables import (
 )
 from daybook.spec import TableSpec
 
-_COUNTS = (
+COUNTS = (
     "dump_rows",
     "malformed_rows",
     "null_keys",
@@ -44,8 +44,8 @@ _COUNTS = (
 )
 _COMMIT_FIELDS = T.StructType(
     [T.StructField("snapshot_schema", T.StringType()), T.StructField("log_columns", T.StringType())]
-    + [T.StructField("buckets", T.IntegerType())]
-    + [T.StructField(c, T.LongType()) for c in _COUNTS]
+    + [T.StructField("buckets", T.IntegerType()), T.StructField("bucket_digests", T.StringType())]
+    + [T.StructField(c, T.LongType()) for c in COUNTS]
 )
 COMMIT_SCHEMA = T.StructType([*_COMMIT_FIELDS.fields, T.StructField("day", T.DateType())])
 
@@ -59,6 +59,11 @@ class DumpStore:
     data, and ``spark.sql.shuffle.partitions`` as a multiple of it. It may change
     from one day to the next; that day's comparison shuffles one side.
 
+    ``bucket_digests`` keeps each bucket's row count and a digest of its rows with the
+    day's record; buckets that are the same on both days are not read to compare them.
+    The digests take a pass over each new snapshot, so they are for tables of which most
+    buckets stay as they are from day to day.
+
     ``anchors`` keeps the first snapshot of each ``"month"`` or ``"year"`` for good, so
     that rebuilding an old day replays no more of the log than that; by default only
     the newest snapshots are kept, and an older day replays the log from its start.
@@ -68,8 +73,11 @@ class DumpStore:
     spec: TableSpec
     buckets: int | None = None
     anchors: str | None = None
+    bucket_digests: bool = False
 
     def __post_init__(self) -> None:
+        if self.bucket_digests and self.buckets is None:
+            raise ValueError("only a bucketed store has bucket digests")
         if self.anchors not in (None, "month", "year"):
             raise ValueError(f"anchors are kept by 'month' or 'year', not {self.anchors!r}")
 
@@ -147,11 +155,13 @@ class DumpStore:
         snapshot_schema: T.StructType,
         log_columns: T.StructType,
         counts: dict[str, int | None],
+        digests: dict[int, str] | None = None,
     ) -> None:
         values = {
             "snapshot_schema": snapshot_schema.json(),
             "log_columns": log_columns.json(),
             "buckets": self.buckets,
+            "bucket_digests": None if digests is None else json.dumps(digests),
             **counts,
         }
         one = spark.range(0, 1, 1, 1).select(
@@ -185,6 +195,37 @@ class DumpStore:
         keys = require_columns(plain, self.spec.keys, "the snapshot")
         return read_bucketed(spark, self.snapshot_path(day), schema, keys, buckets)
 
+    def digests_of(self, spark: SparkSession, day: date, schema: T.StructType) -> dict[int, str] | None:
+        """Each bucket's rows and order-free digest; None if the store keeps none or the types allow none."""
+        if not self.bucket_digests:
+            return None
+        return digests_by_bucket(read_snapshot(spark, self.snapshot_path(day), schema))
+
+    def pair_of_snapshots(
+        self, spark: SparkSession, last: Row, day: date, schema: T.StructType, digests: dict[int, str] | None
+    ) -> tuple[DataFrame, DataFrame]:
+        """The last committed snapshot and the one of ``day``, without buckets that are surely the same.
+
+        Few buckets are read by their files and shuffled; if most differ, both snapshots
+        are read whole, in their buckets.
+        """
+        known = last["bucket_digests"]
+        if digests is not None and known is not None and last["buckets"] == self.buckets and schema_of(last) == schema:
+            before = {int(b): d for b, d in json.loads(known).items()}
+            differ = {b for b in before.keys() | digests.keys() if before.get(b) != digests.get(b)}
+            if 2 * len(differ) <= self.buckets:
+                return tuple(self._some_buckets(spark, d, schema, differ) for d in (last["day"], day))
+        return (
+            self.snapshot_by_key(spark, last["day"], schema_of(last), last["buckets"]),
+            self.snapshot_by_key(spark, day, schema, self.buckets),
+        )
+
+    def _some_buckets(self, spark: SparkSession, day: date, schema: T.StructType, buckets: set[int]) -> DataFrame:
+        fs, root = self._file_system(spark, self.snapshot_path(day))
+        paths = [s.getPath().toString() for s in fs.listStatus(root)]
+        wanted = [p for p in paths if bucket_of(p) in buckets]
+        return spark.read.schema(schema).parquet(*wanted) if wanted else empty_frame(spark, schema)
+
     def read_committed_snapshot(self, spark: SparkSession, commit: Row) -> DataFrame:
         return read_snapshot(spark, self.snapshot_path(commit["day"]), schema_of(commit))
 
