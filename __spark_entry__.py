@@ -398,6 +398,21 @@ def integrate_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return commits.drop("snapshot_schema", "log_columns", "buckets", "bucket_digests")
 
 
+def change_set_by_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only keys and digests of all orders are moved, and the rows of those that changed."""
+    old, new = _order_dumps(spark, sf_dir)
+    return ops.change_set_by_digests(old, new, ORDER, ops.row_digests(old, ORDER), ops.row_digests(new, ORDER))
+
+
+def integrate_row_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days of which the last two are compared by kept digests."""
+    store = sources.DumpStore(f"{scratch_folder(spark)}/store", LINE, row_digests=True)
+    old, new = _line_dumps(spark, sf_dir)
+    for day, dump in zip(DAYS, (old, new, old)):
+        plans.integrate_day(spark, store, day, dump)
+    return store.change_log(spark)
+
+
 def integrate_quiet_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two dumps that differ in the lines of one order: the other buckets are not read to compare them."""
     store = sources.DumpStore(f"{scratch_folder(spark)}/store", LINE, buckets=32, bucket_digests=True)
@@ -515,6 +530,8 @@ _QUERIES: tuple[Query, ...] = (
     integrate_bucketed_change_log,
     integrate_figures,
     integrate_quiet_buckets,
+    integrate_row_digests,
+    change_set_by_digests,
     recompute_snapshot,
     report_latest_all_groups,
     integrate_same_day_again,
@@ -655,6 +672,8 @@ changes AS (SELECT day, count(*) FILTER (WHERE op = 'I') AS inserted,
                    count(*) FILTER (WHERE op = 'D') AS deleted
             FROM log GROUP BY day)
 SELECT quality.*, CAST(0 AS BIGINT) AS malformed_rows, inserted, updated, deleted FROM quality JOIN changes ON quality.day = changes.day""",
+        "integrate_row_digests": f"{clean_days} {three_days}",
+        "change_set_by_digests": f"WITH {ORDER_DUMPS} {ORDER_CHANGES}",
         "integrate_quiet_buckets": f"""WITH {LINE_DUMPS},
 edited AS (SELECT * REPLACE (CASE WHEN l_orderkey <> (SELECT min(l_orderkey) FROM lineitem) THEN l_quantity END
                              AS l_quantity) FROM old),

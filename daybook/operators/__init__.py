@@ -1,7 +1,15 @@
 """DataFrame in, DataFrame out. Nothing here runs a job."""
 
 from daybook.operators.align import align_union
-from daybook.operators.diff import change_counts, change_set, deleted, inserted, updated
+from daybook.operators.diff import (
+    change_counts,
+    change_set,
+    change_set_by_digests,
+    deleted,
+    inserted,
+    row_digests,
+    updated,
+)
 from daybook.operators.quality import (
     clean_dump,
     dedupe_by_key,
@@ -17,6 +25,7 @@ __all__ = [
     "apply_changes",
     "change_counts",
     "change_set",
+    "change_set_by_digests",
     "clean_dump",
     "dedupe_by_key",
     "deleted",
@@ -28,6 +37,7 @@ __all__ = [
     "log_day",
     "log_days",
     "preview",
+    "row_digests",
     "snapshot_as_of",
     "stamp_day",
     "updated",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,10 +13,10 @@ from daybook.errors import DayOrderError, MalformedRowsError
 from daybook.functions.days import parse_day
 from daybook.functions.names import col, cols, find_column, fold, require_columns, spare_name
 from daybook.functions.predicates import any_null
-from daybook.operators.diff import change_counts, change_set
+from daybook.operators.diff import change_counts, change_set, change_set_by_digests, row_digests
 from daybook.operators.quality import clean_dump, duplicate_keys, key_quality
 from daybook.sources.csv_dump import read_csv_dump
-from daybook.sources.store import COUNTS, DumpStore, log_columns_of
+from daybook.sources.store import COUNTS, DumpStore, log_columns_of, schema_of
 from daybook.sources.tables import empty_frame, read_snapshot, write_snapshot
 from daybook.spec import DELETE, INSERT, UPDATE
 
@@ -143,8 +143,7 @@ def _integrate(
         older, newer = empty_frame(spark, current.schema), current
     else:
         older, newer = store.pair_of_snapshots(spark, last, day, current.schema, digests)
-    # A cleaned dump has one row per key and no null keys.
-    changes = change_set(older, newer, spec, keys_unique=True, null_keys=False)
+    changes = _changes(spark, store, last, day, older, newer)
     log_columns = _log_columns(spark, before, changes.drop(spec.op).schema)
     # Written as the day's directory, so that a day without changes replaces, too,
     # whatever a failed run may have left there. The comparison runs on partitions
@@ -160,6 +159,19 @@ def _integrate(
     return Integration(day, False, counts)
 
 
+def _changes(
+    spark: SparkSession, store: DumpStore, last: Row | None, day: date, older: DataFrame, newer: DataFrame
+) -> DataFrame:
+    """What changed since the last day. A cleaned dump has one row per key and no null keys."""
+    own = row_digests(newer, store.spec) if store.row_digests else None
+    own = store.write_row_digests(day, own, spark)
+    if own is not None and last is not None and schema_of(last) == newer.schema:
+        before = store.read_row_digests(spark, last["day"], own.schema)
+        if before is not None:
+            return change_set_by_digests(older, newer, store.spec, before, own)
+    return change_set(older, newer, store.spec, keys_unique=True, null_keys=False)
+
+
 def _staged(
     spark: SparkSession, store: DumpStore, day: date, parsed: DataFrame, odd: str
 ) -> tuple[DataFrame, dict[str, int]]:
@@ -187,7 +199,8 @@ def _log_columns(spark: SparkSession, before: T.StructType | None, now: T.Struct
     fields = {fold(spark, f.name): f for f in (before.fields if before else [])}
     for f in now.fields:
         first = fields.setdefault(fold(spark, f.name), f)
-        if first.dataType != f.dataType:
+        # As texts, which do not say whether a nested value may be null.
+        if first.dataType.simpleString() != f.dataType.simpleString():
             raise ValueError(
                 f"column {f.name!r} was {first.dataType.simpleString()} in the log "
                 f"and is {f.dataType.simpleString()} now"

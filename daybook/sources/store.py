@@ -3,6 +3,7 @@
     <root>/log/day=YYYY-MM-DD/         that day's I, U and D rows
     <root>/snapshots/day=YYYY-MM-DD/   the cleaned dump of that day
     <root>/commits/day=YYYY-MM-DD/     one row, written last
+    <root>/digests/day=YYYY-MM-DD/     each row's key and digest, if the store keeps them
     <root>/staged/day=YYYY-MM-DD/      a CSV dump as parsed, while its day is integrated
 
 Readers only see days that have a commit. Whatever a run left behind before it
@@ -64,6 +65,10 @@ class DumpStore:
     The digests take a pass over each new snapshot, so they are for tables of which most
     buckets stay as they are from day to day.
 
+    ``row_digests`` keeps a digest of each row beside the snapshots of a store without
+    buckets: the daily comparison then moves keys and digests, and whole rows only of keys
+    that changed. It is for tables of which few rows change from day to day.
+
     ``anchors`` keeps the first snapshot of each ``"month"`` or ``"year"`` for good, so
     that rebuilding an old day replays no more of the log than that; by default only
     the newest snapshots are kept, and an older day replays the log from its start.
@@ -74,10 +79,13 @@ class DumpStore:
     buckets: int | None = None
     anchors: str | None = None
     bucket_digests: bool = False
+    row_digests: bool = False
 
     def __post_init__(self) -> None:
         if self.bucket_digests and self.buckets is None:
             raise ValueError("only a bucketed store has bucket digests")
+        if self.row_digests and self.buckets is not None:
+            raise ValueError("a bucketed store moves no rows to compare them and needs no row digests")
         if self.anchors not in (None, "month", "year"):
             raise ValueError(f"anchors are kept by 'month' or 'year', not {self.anchors!r}")
 
@@ -93,6 +101,9 @@ class DumpStore:
     def snapshot_path(self, day: date) -> str:
         return self._path("snapshots", day)
 
+    def digests_path(self, day: date) -> str:
+        return self._path("digests", day)
+
     def staged_path(self, day: date) -> str:
         return self._path("staged", day)
 
@@ -220,6 +231,18 @@ class DumpStore:
             self.snapshot_by_key(spark, day, schema, self.buckets),
         )
 
+    def write_row_digests(self, day: date, digests: DataFrame | None, spark: SparkSession) -> DataFrame | None:
+        """Store a day's row digests, or make sure that a run before has left none."""
+        if digests is None:
+            self._delete(spark, self.digests_path(day))
+            return None
+        write_snapshot(digests, self.digests_path(day))
+        return read_snapshot(spark, self.digests_path(day), digests.schema)
+
+    def read_row_digests(self, spark: SparkSession, day: date, schema: T.StructType) -> DataFrame | None:
+        """A committed day's row digests, if it has any."""
+        return read_parquet_if_any(spark, self.digests_path(day), schema)
+
     def _some_buckets(self, spark: SparkSession, day: date, schema: T.StructType, buckets: set[int]) -> DataFrame:
         fs, root = self._file_system(spark, self.snapshot_path(day))
         paths = [s.getPath().toString() for s in fs.listStatus(root)]
@@ -281,6 +304,7 @@ class DumpStore:
             self._delete(spark, self.log_path(day))
         for day in old + dead:
             self._delete(spark, self.snapshot_path(day))
+            self._delete(spark, self.digests_path(day))
         return sorted(old + dead)
 
     def drop_staged(self, spark: SparkSession) -> None:
