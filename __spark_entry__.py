@@ -401,7 +401,8 @@ def integrate_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_set_by_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only keys and digests of all orders are moved, and the rows of those that changed."""
     old, new = _order_dumps(spark, sf_dir)
-    return ops.change_set_by_digests(old, new, ORDER, ops.row_digests(old, ORDER), ops.row_digests(new, ORDER))
+    touched = ops.touched_keys(ops.row_digests(old, ORDER), ops.row_digests(new, ORDER), ORDER)
+    return ops.change_set_by_digests(old, new, ORDER, touched)
 
 
 def integrate_row_digests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from daybook.operators.diff import (
     deleted,
     inserted,
     row_digests,
+    touched_keys,
     updated,
 )
 from daybook.operators.quality import (
@@ -40,5 +41,6 @@ __all__ = [
     "row_digests",
     "snapshot_as_of",
     "stamp_day",
+    "touched_keys",
     "updated",
 ]

@@ -295,33 +295,37 @@ def row_digests(rows: DataFrame, spec: TableSpec) -> DataFrame | None:
     return rows.select(*cols(keys), *halves)
 
 
-def change_set_by_digests(
-    old: DataFrame, new: DataFrame, spec: TableSpec, old_digests: DataFrame, new_digests: DataFrame
-) -> DataFrame:
-    """:func:`change_set` of snapshots with unique keys, none null, that moves only keys and digests.
-
-    The digests are :func:`row_digests` of the snapshots, usually kept since they were
-    written. Keys and digests are joined; whole rows are fetched for the keys that are
-    new, gone or of another digest, and those of another digest are compared by value.
-    Made for days on which few rows change: then the keys to fetch are few, and Spark
-    sends them to the rows instead of moving the rows.
-    """
-    pair = _Pair(old, new, spec)
-    keys, here = pair.keys, spare_name("_here", old_digests, new_digests)
+def touched_keys(old_digests: DataFrame, new_digests: DataFrame, spec: TableSpec) -> DataFrame:
+    """Keys that are new, gone or of another digest, with ``I``, ``D`` or ``U``; from :func:`row_digests`."""
+    keys = list(spec.keys)
+    here = spare_name("_here", old_digests, new_digests)
     p = old_digests.toDF(*keys, *DIGEST).withColumn(here, F.lit(True)).alias("p")
     c = new_digests.toDF(*keys, *DIGEST).withColumn(here, F.lit(True)).alias("c")
     joined = p.join(c, [col(k, "p") == col(k, "c") for k in keys], "full_outer")
     differs = rows_differ(cols(DIGEST, "p"), cols(DIGEST, "c"))
     op = F.when(col(here, "p").isNull(), INSERT).when(col(here, "c").isNull(), DELETE).when(differs, UPDATE)
     either = [F.coalesce(col(k, "p"), col(k, "c")).alias(k) for k in keys]
-    touched = joined.select(*either, op.alias(spec.op)).where(col(spec.op).isNotNull())
+    return joined.select(*either, op.alias(spec.op)).where(col(spec.op).isNotNull())
+
+
+def change_set_by_digests(
+    old: DataFrame, new: DataFrame, spec: TableSpec, touched: DataFrame, *, few: bool = False
+) -> DataFrame:
+    """:func:`change_set` of snapshots with unique keys, none null, given their :func:`touched_keys`.
+
+    Whole rows are fetched for those keys alone, and those of another digest are compared
+    by value. ``few=True`` says that the keys have been counted and are few enough to be
+    sent to every task: then no row moves that did not change. Else Spark decides.
+    """
+    pair = _Pair(old, new, spec)
+    touched = touched.toDF(*pair.keys, spec.op)
 
     def fetched(rows: DataFrame, *ops: str) -> DataFrame:
-        wanted = touched.where(col(spec.op).isin(*ops))
-        return rows.join(wanted.select(*cols(keys)), keys, "left_semi").select(*cols(rows.columns))
+        wanted = touched.where(col(spec.op).isin(*ops)).select(*cols(pair.keys))
+        wanted = F.broadcast(wanted) if few else wanted
+        return rows.join(wanted, pair.keys, "left_semi").select(*cols(rows.columns))
 
-    rows = pair.part(fetched(pair.old, UPDATE, DELETE), fetched(pair.new, UPDATE, INSERT))
-    return _by_full_join(rows, spec)
+    return _by_full_join(pair.part(fetched(pair.old, UPDATE, DELETE), fetched(pair.new, UPDATE, INSERT)), spec)
 
 
 def change_counts(changes: DataFrame, spec: TableSpec, *, per_day: bool = False) -> DataFrame:

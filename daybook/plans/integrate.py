@@ -13,13 +13,16 @@ from daybook.errors import DayOrderError, MalformedRowsError
 from daybook.functions.days import parse_day
 from daybook.functions.names import col, cols, find_column, fold, require_columns, spare_name
 from daybook.functions.predicates import any_null
-from daybook.operators.diff import change_counts, change_set, change_set_by_digests, row_digests
+from daybook.operators.diff import change_counts, change_set, change_set_by_digests, row_digests, touched_keys
 from daybook.operators.quality import clean_dump, duplicate_keys, key_quality
 from daybook.sources.csv_dump import read_csv_dump
 from daybook.sources.store import COUNTS, DumpStore, log_columns_of, schema_of
 from daybook.sources.tables import empty_frame, read_snapshot, write_snapshot
 from daybook.spec import DELETE, INSERT, UPDATE
 
+#: Changed keys of a day that are sent to every task, in bytes; of more, whole days are compared.
+FEW_KEYS_BYTES = 64 << 20
+
 
 @dataclass(frozen=True)
 class Integration:
@@ -168,7 +171,10 @@ def _changes(
     if own is not None and last is not None and schema_of(last) == newer.schema:
         before = store.read_row_digests(spark, last["day"], own.schema)
         if before is not None:
-            return change_set_by_digests(older, newer, store.spec, before, own)
+            touched = store.write_touched(day, touched_keys(before, own, store.spec), spark)
+            # Counted, so that what is sent to every task has a bound.
+            if touched.count() * touched._jdf.schema().defaultSize() <= FEW_KEYS_BYTES:
+                return change_set_by_digests(older, newer, store.spec, touched, few=True)
     return change_set(older, newer, store.spec, keys_unique=True, null_keys=False)
 
 

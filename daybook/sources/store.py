@@ -4,6 +4,7 @@
     <root>/snapshots/day=YYYY-MM-DD/   the cleaned dump of that day
     <root>/commits/day=YYYY-MM-DD/     one row, written last
     <root>/digests/day=YYYY-MM-DD/     each row's key and digest, if the store keeps them
+    <root>/touched/day=YYYY-MM-DD/     keys that changed, while their day is integrated
     <root>/staged/day=YYYY-MM-DD/      a CSV dump as parsed, while its day is integrated
 
 Readers only see days that have a commit. Whatever a run left behind before it
@@ -239,6 +240,12 @@ class DumpStore:
         write_snapshot(digests, self.digests_path(day))
         return read_snapshot(spark, self.digests_path(day), digests.schema)
 
+    def write_touched(self, day: date, keys: DataFrame, spark: SparkSession) -> DataFrame:
+        """Set down a day's changed keys until the day is done."""
+        path = self._path("touched", day)
+        write_snapshot(keys, path)
+        return read_snapshot(spark, path, keys.schema)
+
     def read_row_digests(self, spark: SparkSession, day: date, schema: T.StructType) -> DataFrame | None:
         """A committed day's row digests, if it has any."""
         return read_parquet_if_any(spark, self.digests_path(day), schema)
@@ -308,8 +315,9 @@ class DumpStore:
         return sorted(old + dead)
 
     def drop_staged(self, spark: SparkSession) -> None:
-        """Remove parsed dumps that were set down on the way, a dead run's as well."""
+        """Remove dumps and keys that were set down on the way, a dead run's as well."""
         self._delete(spark, self._path("staged"))
+        self._delete(spark, self._path("touched"))
 
     def _delete(self, spark: SparkSession, path: str) -> None:
         fs, target = self._file_system(spark, path)
