@@ -139,6 +139,11 @@ def score_quality(
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame, keep_rows: bool = False) -> DataFrame:
-    """Fit on the labelled sample, then score every document."""
+    """Fit on the labelled sample, then score every document.
+
+    Rows as in :func:`score_quality`: null and empty texts are scored, repeated rows each,
+    an empty table gives none. Labels that are null, or of ids that no document has, teach
+    nothing; without any label all documents get the same score.
+    """
     sample = labelled_sample(docs, labels, "quality", MAX_DOCS, MAX_DOC_BYTES, SEED)
     return score_quality(docs, fit_quality(sample), keep_rows=keep_rows)

@@ -124,7 +124,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_sequences: int = OPEN
     Pieces are dealt over tasks by their document's id and piece, about
     ``PIECES_PER_TASK`` each, and every task packs its own; only the last few
     sequences of a task stay part empty. A sequence belongs to one task. Reruns of
-    a task give the same places.
+    a task give the same places. Null ids and repeated rows are pieces like others; an
+    empty table gives no rows.
     """
     n_tasks = max(1, round(pieces.count() / PIECES_PER_TASK))
     order = [F.desc("length"), "doc_id", "piece", *[c for c in ("ids_crc32", "start") if c in pieces.columns]]

@@ -220,7 +220,10 @@ def reshard(
 
 
 def affected_shards(placed: DataFrame) -> list[int]:
-    """The shards that lose or get a row, in order; as many values as there are shards."""
+    """The shards that lose or get a row, in order; as many values as there are shards.
+
+    -1, the old shard of rows that had none, is among them if any; none for an empty table.
+    """
     moved = placed.where(F.col("shard") != F.col("old_shard"))
     ends = moved.select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct()
     return sorted(r["shard"] for r in ends.collect())
@@ -230,7 +233,8 @@ def rewrite_shards(placed: DataFrame, path: str, shards: list[int] | None = None
     """Write the given shards (all by default), each in its folder ``shard=``, and leave the rest.
 
     A shard's rows come from as many tasks as it has blocks, so its files have a
-    bounded size each. Files of a shard written before are replaced.
+    bounded size each. Files of a shard written before are replaced. Shards without rows,
+    and an empty table, write nothing and leave what was there.
     """
     rows = placed if shards is None else placed.where(F.col("shard").isin(shards))
     rows.write.partitionBy("shard").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
