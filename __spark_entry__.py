@@ -164,6 +164,7 @@ log AS (SELECT CASE WHEN o_orderpriority <> '1-URGENT' THEN o_custkey END AS o_c
                o_orderkey, o_totalprice, {_LOG_OP}, CAST(o_orderdate AS DATE) AS day FROM orders)"""
 AS_OF = "1998-06-30"
 BASE_DAY = "1997-06-30"
+QUARTERS = [f"{y}-{d}" for y in (1996, 1997) for d in ("03-31", "06-30", "09-30", "12-31")]
 SNAPSHOT_AS_OF = f"""SELECT o_custkey, o_orderkey, o_totalprice
 FROM (SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY day DESC) AS rk
       FROM log WHERE day <= DATE '{AS_OF}') AS ranked
@@ -257,6 +258,15 @@ def snapshot_as_of_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.snapshot_as_of(_order_log_with_null_keys(spark, sf_dir), AS_OF, CUSTOMER_LOG)
 
 
+def snapshots_as_of_many_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last day of every quarter of two years, in one plan."""
+    return ops.snapshots_as_of(_order_log_with_null_keys(spark, sf_dir), QUARTERS, CUSTOMER_LOG)
+
+
+def log_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.history(_order_log_with_null_keys(spark, sf_dir), CUSTOMER_LOG)
+
+
 def snapshot_as_of_from_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _order_log_with_null_keys(spark, sf_dir)
     base = ops.snapshot_as_of(log, BASE_DAY, CUSTOMER_LOG)
@@ -509,6 +519,8 @@ _QUERIES: tuple[Query, ...] = (
     snapshot_as_of_by_window,
     snapshot_as_of_null_keys,
     snapshot_as_of_from_base,
+    snapshots_as_of_many_days,
+    log_history,
     apply_changes,
     log_days,
     log_day_slice,
@@ -605,6 +617,19 @@ SELECT * FROM ({ORDER_CHANGES}) AS changes ORDER BY o_orderkey LIMIT 50""",
         "snapshot_as_of_by_window": f"WITH {ORDER_LOG} {SNAPSHOT_AS_OF}",
         "snapshot_as_of_null_keys": null_key_as_of,
         "snapshot_as_of_from_base": null_key_as_of,
+        "snapshots_as_of_many_days": f"""WITH {NULL_KEY_LOG},
+asked AS (SELECT CAST(unnest({QUARTERS}) AS DATE) AS as_of),
+newest AS (SELECT as_of, o_custkey, max(day) AS day FROM log JOIN asked ON day <= as_of
+           WHERE o_custkey IS NOT NULL GROUP BY as_of, o_custkey)
+SELECT log.o_custkey, o_orderkey, o_totalprice, as_of FROM log
+JOIN newest ON log.o_custkey = newest.o_custkey AND log.day = newest.day WHERE op IN ('I', 'U')
+UNION ALL SELECT o_custkey, o_orderkey, o_totalprice, as_of FROM log JOIN asked ON day <= as_of
+WHERE o_custkey IS NULL AND op IN ('I', 'U')""",
+        "log_history": f"""WITH {NULL_KEY_LOG},
+days AS (SELECT o_custkey, day, lead(day) OVER (PARTITION BY o_custkey ORDER BY day) AS until
+         FROM (SELECT DISTINCT o_custkey, day FROM log WHERE o_custkey IS NOT NULL) AS d)
+SELECT log.o_custkey, o_orderkey, o_totalprice, log.day AS since, until
+FROM log LEFT JOIN days ON log.o_custkey = days.o_custkey AND log.day = days.day WHERE op IN ('I', 'U')""",
         "apply_changes": """
 SELECT o_orderkey AS k, o_totalprice AS v FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag IN ('R', 'A'))

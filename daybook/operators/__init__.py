@@ -18,7 +18,15 @@ from daybook.operators.quality import (
     duplicate_keys,
     key_quality,
 )
-from daybook.operators.replay import apply_changes, log_day, log_days, snapshot_as_of, stamp_day
+from daybook.operators.replay import (
+    apply_changes,
+    history,
+    log_day,
+    log_days,
+    snapshot_as_of,
+    snapshots_as_of,
+    stamp_day,
+)
 from daybook.operators.report import group_count, preview
 
 __all__ = [
@@ -33,6 +41,7 @@ __all__ = [
     "drop_null_keys",
     "duplicate_keys",
     "group_count",
+    "history",
     "inserted",
     "key_quality",
     "log_day",
@@ -40,6 +49,7 @@ __all__ = [
     "preview",
     "row_digests",
     "snapshot_as_of",
+    "snapshots_as_of",
     "stamp_day",
     "touched_keys",
     "updated",

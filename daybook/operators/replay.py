@@ -115,6 +115,62 @@ def _newest_by_join(valid: DataFrame, spec: TableSpec) -> DataFrame:
     return join_per_key(images, newest, [*spec.keys, spec.day], "inner").select(*cols(valid.columns))
 
 
+def history(log: DataFrame, spec: TableSpec) -> DataFrame:
+    """Every row that the table ever held, from day ``since`` to before day ``until`` (null: to this day).
+
+    The rows of one day of a key last until the key's next day with a valid operation;
+    rows with a null key last for good. One pass over the log, for any number of days
+    asked about later.
+    """
+    spec = spec_for(log, spec, "the change log", log=True)
+    taken = {c.lower() for c in log.columns if c not in (spec.op, spec.day)}
+    if taken & {"since", "until"}:
+        raise ValueError("the table's columns may not be named since or until")
+    valid = log.where(col(spec.op).isin(*OPS))
+    keyed = valid.where(none_null(cols(spec.keys)))
+    # One row per key and day: a busy key has as many as there are days.
+    days = keyed.select(*cols([*spec.keys, spec.day])).distinct()
+    following = Window.partitionBy(*cols(spec.keys)).orderBy(col(spec.day))
+    days = days.withColumn("until", F.lead(col(spec.day)).over(following))
+    lasting = join_per_key(keyed.where(col(spec.op).isin(*UPSERTS)), days, [*spec.keys, spec.day], "inner")
+    piled = valid.where(any_null(cols(spec.keys)) & col(spec.op).isin(*UPSERTS))
+    rows = lasting.unionByName(piled.withColumn("until", F.lit(None).cast("date")))
+    own = [c for c in log.columns if c not in (spec.op, spec.day)]
+    return rows.select(*cols(own), col(spec.day).cast("date").alias("since"), "until")
+
+
+def snapshots_as_of(log: DataFrame, days: list[str | date], spec: TableSpec) -> DataFrame:
+    """The table as it stood at the end of each of ``days``, in one plan; ``as_of`` says which.
+
+    The same rows as :func:`snapshot_as_of` gives day by day. The days that the log holds
+    are placed among the days asked for, so that a row of the :func:`history` knows the
+    first and the last of them that it lasts over without being held against each.
+    """
+    asked = sorted({parse_day(d) for d in days})
+    if not asked:
+        raise ValueError("no days are asked for")
+    spec = spec_for(log, spec, "the change log", log=True)
+    if find_column(log, "as_of") is not None:
+        raise ValueError("the table's columns may not be named as_of")
+    log = log.where(col(spec.day) <= F.lit(asked[-1]))
+    spark = log.sparkSession
+    held = log.select(col(spec.day).cast("date").alias("at")).distinct().withColumn("n", F.lit(0))
+    marks = held.unionByName(spark.createDataFrame([(d, 1) for d in asked], "at date, n int"))
+    # A row per calendar day; so is the one window over all of them, and what is broadcast.
+    before = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    places = marks.groupBy("at").agg(F.sum("n").alias("n"))
+    places = places.select("at", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("int").alias("place"))
+    rows = history(log, spec)
+    from_at, from_place, to_at, to_place = (spare_name(n, rows) for n in ("_from", "_first", "_to", "_last"))
+    placed = rows.join(F.broadcast(places.toDF(from_at, from_place)), col("since") == col(from_at))
+    placed = placed.join(F.broadcast(places.toDF(to_at, to_place)), col("until") == col(to_at), "left")
+    end = F.coalesce(col(to_place), F.lit(len(asked)))
+    lasting = placed.where(col(from_place) < end)
+    of_days = F.slice(F.array(*[F.lit(d) for d in asked]), col(from_place) + 1, end - col(from_place))
+    own = cols([c for c in rows.columns if c not in ("since", "until")])
+    return lasting.select(*own, F.explode(of_days).alias("as_of"))
+
+
 def log_days(log: DataFrame, spec: TableSpec, until: str | date | None = None) -> DataFrame:
     """The days the log holds, ascending."""
     (day,) = require_columns(log, [spec.day], "the change log")
