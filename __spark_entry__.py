@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -405,7 +406,7 @@ def integrate_bucketed_change_log(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def integrate_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     commits = _integrated(spark, sf_dir).commits(spark)
-    return commits.drop("snapshot_schema", "log_columns", "buckets", "bucket_digests")
+    return commits.drop("snapshot_schema", "log_columns", "buckets", "bucket_digests", "groups", "groups_whole")
 
 
 def change_set_by_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -495,6 +496,21 @@ def report_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.report_latest(spark, _integrated(spark, sf_dir), "l_returnflag")
 
 
+REPORT_DAYS = (*DAYS, date(2025, 2, 1))
+
+
+def report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report after each of four days, from kept counts; the fourth day starts a month."""
+    store = sources.DumpStore(f"{scratch_folder(spark)}/store", LINE, report_by=("l_returnflag", "l_quantity"))
+    old, new = _line_dumps(spark, sf_dir)
+    for day, dump in zip(REPORT_DAYS, (old, new, old, new)):
+        plans.integrate_day(spark, store, day, dump)
+    reports = [
+        plans.report_incremental(spark, store, day=day).withColumn("day", F.lit(day)) for day in REPORT_DAYS
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: what changed between two dumps of the orders table."""
     return change_set(spark, "/root/testdata/sf0.001")
@@ -554,6 +570,7 @@ _QUERIES: tuple[Query, ...] = (
     stamp_day,
     change_set_helper_names,
     report_latest,
+    report_incremental,
 )
 
 
@@ -721,6 +738,11 @@ SELECT o_orderkey, o_custkey AS _here, o_totalprice AS _n_old, o_orderstatus AS
        o_orderpriority AS _times, op
 FROM ({ORDER_CHANGES}) AS changes""",
         "recompute_snapshot": f"{clean_days} SELECT * FROM second",
+        "report_incremental": f"""{clean_days}
+SELECT l_returnflag, l_quantity, count(*) AS count, day
+FROM (SELECT *, unnest([DATE '2025-01-01', DATE '2025-01-03']) AS day FROM first
+      UNION ALL SELECT *, unnest([DATE '2025-01-02', DATE '2025-02-01']) AS day FROM second) AS dumps
+GROUP BY l_returnflag, l_quantity, day""",
         "report_latest": f"""{clean_days}
 SELECT l_returnflag, count(*) AS count FROM first GROUP BY l_returnflag""",
     }

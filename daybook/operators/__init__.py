@@ -27,7 +27,7 @@ from daybook.operators.replay import (
     snapshots_as_of,
     stamp_day,
 )
-from daybook.operators.report import group_count, preview
+from daybook.operators.report import group_changes, group_count, preview
 
 __all__ = [
     "align_union",
@@ -40,6 +40,7 @@ __all__ = [
     "deleted",
     "drop_null_keys",
     "duplicate_keys",
+    "group_changes",
     "group_count",
     "history",
     "inserted",

@@ -2,7 +2,7 @@
 
 from daybook.plans.compare import diff_snapshots
 from daybook.plans.integrate import Integration, integrate_csv, integrate_day
-from daybook.plans.latest import report_latest
+from daybook.plans.latest import report_incremental, report_latest
 from daybook.plans.recompute import recompute_snapshot, stored_snapshot_as_of
 
 __all__ = [
@@ -11,6 +11,7 @@ __all__ = [
     "integrate_csv",
     "integrate_day",
     "recompute_snapshot",
+    "report_incremental",
     "report_latest",
     "stored_snapshot_as_of",
 ]

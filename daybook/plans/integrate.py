@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from datetime import date
 
@@ -9,12 +10,13 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.errors import DayOrderError, MalformedRowsError
+from daybook.errors import DayOrderError, MalformedRowsError, MissingColumnError
 from daybook.functions.days import parse_day
 from daybook.functions.names import col, cols, find_column, fold, require_columns, spare_name
 from daybook.functions.predicates import any_null
 from daybook.operators.diff import change_counts, change_set, change_set_by_digests, row_digests, touched_keys
 from daybook.operators.quality import clean_dump, duplicate_keys, key_quality
+from daybook.operators.report import group_changes
 from daybook.sources.csv_dump import read_csv_dump
 from daybook.sources.store import COUNTS, DumpStore, log_columns_of, schema_of
 from daybook.sources.tables import empty_frame, read_snapshot, write_snapshot
@@ -130,7 +132,10 @@ def _integrate(
 
     # A type that does not fit is refused before anything is written.
     before = None if last is None else log_columns_of(last)
-    _log_columns(spark, before, dump.schema)
+    ever = {fold(spark, n) for n in _log_columns(spark, before, dump.schema).names}
+    unknown = [c for c in store.report_by if fold(spark, c) not in ever]
+    if unknown:
+        raise MissingColumnError(f"the table never had {unknown}, which its rows are to be counted by")
     seen = None
     if odd is not None and check_quality:
         dump, seen = _staged(spark, store, day, parsed, odd)
@@ -156,7 +161,8 @@ def _integrate(
 
     counts = _count(spark, store, day, dump, current, changes.schema, last)
     counts |= _quality(store, dump, counts["snapshot_rows"], seen) if check_quality else {}
-    store.write_commit(spark, day, current.schema, log_columns, counts, digests)
+    groups, whole = _count_groups(spark, store, last, day, current, changes.schema, log_columns)
+    store.write_commit(spark, day, current.schema, log_columns, counts, digests, groups, whole)
     store.expire_snapshots(spark, keep_snapshots)
     store.drop_staged(spark)
     return Integration(day, False, counts)
@@ -214,6 +220,42 @@ def _log_columns(spark: SparkSession, before: T.StructType | None, now: T.Struct
     return T.StructType(list(fields.values()))
 
 
+def _count_groups(
+    spark: SparkSession,
+    store: DumpStore,
+    last: Row | None,
+    day: date,
+    current: DataFrame,
+    change_schema: T.StructType,
+    log_columns: T.StructType,
+) -> tuple[T.StructType | None, bool | None]:
+    """Store the day's groups: how they changed since the last day if that follows from the log, else whole counts."""
+    by = list(store.report_by)
+    if not by:
+        return None, None
+    types = {fold(spark, f.name): f.dataType for f in log_columns.fields}
+    groups = T.StructType([T.StructField(c, types[fold(spark, c)]) for c in by])
+    older = None if last is None else store.snapshot_by_key(spark, last["day"], schema_of(last), last["buckets"])
+    compared = store.spec.compared
+    seen = None if compared is None else {fold(spark, c) for c in (*store.spec.keys, *compared)}
+    if (
+        older is not None
+        and last["groups"] is not None
+        and T.StructType.fromJson(json.loads(last["groups"])) == groups
+        and (last["day"].year, last["day"].month) == (day.year, day.month)
+        and all(find_column(df, c) for df in (older, current) for c in by)
+        and (seen is None or all(fold(spark, c) in seen for c in by))
+    ):
+        written = read_snapshot(spark, store.log_path(day), change_schema)
+        store.write_groups(day, group_changes(written, older, by, store.spec))
+        return groups, False
+    found = [find_column(current, c) for c in by]
+    parts = [F.lit(None).cast(f.dataType) if n is None else col(n) for n, f in zip(found, groups.fields)]
+    of = F.struct(*[p.alias(f.name) for p, f in zip(parts, groups.fields)]).alias("of")
+    store.write_groups(day, current.groupBy(of).agg(F.count(F.lit(1)).alias("change")))
+    return groups, True
+
+
 def _count(spark, store, day, dump, current, change_schema, last) -> dict[str, int | None]:
     # Read back from what was written: one narrow column, and exact even if tasks were
     # run twice, which counters kept during the write are not.

@@ -4,6 +4,7 @@
     <root>/snapshots/day=YYYY-MM-DD/   the cleaned dump of that day
     <root>/commits/day=YYYY-MM-DD/     one row, written last
     <root>/digests/day=YYYY-MM-DD/     each row's key and digest, if the store keeps them
+    <root>/groups/day=YYYY-MM-DD/      rows per group, or by how many they changed, if the store keeps them
     <root>/touched/day=YYYY-MM-DD/     keys that changed, while their day is integrated
     <root>/staged/day=YYYY-MM-DD/      a CSV dump as parsed, while its day is integrated
 
@@ -47,6 +48,7 @@ COUNTS = (
 _COMMIT_FIELDS = T.StructType(
     [T.StructField("snapshot_schema", T.StringType()), T.StructField("log_columns", T.StringType())]
     + [T.StructField("buckets", T.IntegerType()), T.StructField("bucket_digests", T.StringType())]
+    + [T.StructField("groups", T.StringType()), T.StructField("groups_whole", T.BooleanType())]
     + [T.StructField(c, T.LongType()) for c in COUNTS]
 )
 COMMIT_SCHEMA = T.StructType([*_COMMIT_FIELDS.fields, T.StructField("day", T.DateType())])
@@ -70,6 +72,10 @@ class DumpStore:
     buckets: the daily comparison then moves keys and digests, and whole rows only of keys
     that changed. It is for tables of which few rows change from day to day.
 
+    ``report_by`` names columns by which rows are counted each day, so that a report reads
+    counts and no snapshot. A day keeps by how much groups changed, the first day of a
+    month whole counts.
+
     ``anchors`` keeps the first snapshot of each ``"month"`` or ``"year"`` for good, so
     that rebuilding an old day replays no more of the log than that; by default only
     the newest snapshots are kept, and an older day replays the log from its start.
@@ -81,8 +87,11 @@ class DumpStore:
     anchors: str | None = None
     bucket_digests: bool = False
     row_digests: bool = False
+    report_by: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
+        names = (self.report_by,) if isinstance(self.report_by, str) else tuple(self.report_by)
+        object.__setattr__(self, "report_by", names)
         if self.bucket_digests and self.buckets is None:
             raise ValueError("only a bucketed store has bucket digests")
         if self.row_digests and self.buckets is not None:
@@ -168,12 +177,16 @@ class DumpStore:
         log_columns: T.StructType,
         counts: dict[str, int | None],
         digests: dict[int, str] | None = None,
+        groups: T.StructType | None = None,
+        groups_whole: bool | None = None,
     ) -> None:
         values = {
             "snapshot_schema": snapshot_schema.json(),
             "log_columns": log_columns.json(),
             "buckets": self.buckets,
             "bucket_digests": None if digests is None else json.dumps(digests),
+            "groups": None if groups is None else groups.json(),
+            "groups_whole": groups_whole,
             **counts,
         }
         one = spark.range(0, 1, 1, 1).select(
@@ -250,6 +263,24 @@ class DumpStore:
         """A committed day's row digests, if it has any."""
         return read_parquet_if_any(spark, self.digests_path(day), schema)
 
+    def write_groups(self, day: date, counts: DataFrame) -> None:
+        """Store a day's groups (``of``) and their count or by how much it changed (``change``)."""
+        write_snapshot(counts, self._path("groups", day))
+
+    def group_counts(self, spark: SparkSession, commit: Row) -> DataFrame:
+        """Groups (``of``) and by how much they changed up to a committed day (``change``), to be added up."""
+        if commit["groups"] is None:
+            raise ValueError(f"no groups were counted on {commit['day']}; name them in report_by")
+        groups = T.StructType.fromJson(json.loads(commit["groups"]))
+        # Each month starts from whole counts, so no more than its days are looked through.
+        day = F.col("day")
+        month = self.commits(spark).where(day.between(F.lit(commit["day"].replace(day=1)), F.lit(commit["day"])))
+        days = {r["day"]: r["groups_whole"] for r in month.select("day", "groups_whole").collect()}
+        since = max(d for d, whole in days.items() if whole)
+        paths = [self._path("groups", d) for d in sorted(days) if d >= since]
+        schema = T.StructType([T.StructField("of", groups), T.StructField("change", T.LongType())])
+        return spark.read.schema(schema).parquet(*paths)
+
     def _some_buckets(self, spark: SparkSession, day: date, schema: T.StructType, buckets: set[int]) -> DataFrame:
         fs, root = self._file_system(spark, self.snapshot_path(day))
         paths = [s.getPath().toString() for s in fs.listStatus(root)]
@@ -309,6 +340,7 @@ class DumpStore:
         old = [d for d in days[:-keep] if d not in anchors.values()]
         for day in dead:
             self._delete(spark, self.log_path(day))
+            self._delete(spark, self._path("groups", day))
         for day in old + dead:
             self._delete(spark, self.snapshot_path(day))
             self._delete(spark, self.digests_path(day))
