@@ -1,6 +1,7 @@
 """Daily dumps of a keyed table: change sets, a change log, and the table as of any day."""
 
 from daybook.errors import (
+    ClaimError,
     DayOrderError,
     KeyQualityError,
     MalformedRowsError,
@@ -11,6 +12,7 @@ from daybook.errors import (
 from daybook.spec import TableSpec
 
 __all__ = [
+    "ClaimError",
     "DayOrderError",
     "KeyQualityError",
     "MalformedRowsError",

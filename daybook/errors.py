@@ -21,5 +21,9 @@ class DayOrderError(ValueError):
     """A day earlier than the newest integrated day."""
 
 
+class ClaimError(RuntimeError):
+    """Another run is at work on the store, or took this one for dead."""
+
+
 class NoSnapshotError(LookupError):
     """The store holds no integrated day yet."""

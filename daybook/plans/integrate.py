@@ -17,6 +17,7 @@ from daybook.functions.predicates import any_null
 from daybook.operators.diff import change_counts, change_set, change_set_by_digests, row_digests, touched_keys
 from daybook.operators.quality import clean_dump, duplicate_keys, key_quality
 from daybook.operators.report import group_changes
+from daybook.sources.claims import Claim
 from daybook.sources.csv_dump import read_csv_dump
 from daybook.sources.store import COUNTS, DumpStore, log_columns_of, schema_of
 from daybook.sources.tables import empty_frame, read_snapshot, write_snapshot
@@ -85,7 +86,8 @@ def integrate_day(
     stored, so log and snapshot cannot disagree and the dump is parsed and cleaned
     once. The commit record comes last: a run that dies before it leaves nothing a
     reader can see, and running the day again gives the same result as one clean
-    run. One run per store at a time; there is no lock.
+    run. One run per store at a time: a second one raises ``ClaimError`` while the
+    first is at work.
 
     ``check_quality=False`` saves the extra pass over the dump's key columns that
     counts null and duplicate keys; the figures are then None.
@@ -122,7 +124,27 @@ def _integrate(
     taken = [c for c in (find_column(dump, spec.op), find_column(dump, spec.day)) if c]
     if taken:
         raise ValueError(f"the dump may not hold the log's own columns {taken}")
+    files = {"num_files": num_files, "max_rows_per_file": max_rows_per_file}
+    with store.claimed(spark) as claim:
+        return _integrate_claimed(
+            spark, store, claim, day, dump, parsed, odd, strict, check_quality, files, keep_snapshots
+        )
+
 
+def _integrate_claimed(
+    spark: SparkSession,
+    store: DumpStore,
+    claim: Claim,
+    day: date,
+    dump: DataFrame,
+    parsed: DataFrame,
+    odd: str | None,
+    strict: bool,
+    check_quality: bool,
+    files: dict[str, int | None],
+    keep_snapshots: int,
+) -> Integration:
+    spec = store.spec
     last = store.newest_commit(spark)
     if last is not None and last["day"] >= day:
         done = last if last["day"] == day else store.commit_of(spark, day)
@@ -142,7 +164,6 @@ def _integrate(
         if strict and seen["malformed_rows"]:
             store.drop_staged(spark)
             raise MalformedRowsError(f"{seen['malformed_rows']} lines of the dump of {day} do not fit its columns")
-    files = {"num_files": num_files, "max_rows_per_file": max_rows_per_file}
     store.write_snapshot(clean_dump(dump, spec), day, **files)
     current = store.snapshot_by_key(spark, day, _nullable(dump.schema), store.buckets)
 
@@ -156,12 +177,13 @@ def _integrate(
     # Written as the day's directory, so that a day without changes replaces, too,
     # whatever a failed run may have left there. The comparison runs on partitions
     # sized for two dumps; the few changes among them are gathered into full files.
-    gathered = changes if last is None or num_files is not None else changes.hint("rebalance")
+    gathered = changes if last is None or files["num_files"] is not None else changes.hint("rebalance")
     write_snapshot(gathered, store.log_path(day), **files)
 
     counts = _count(spark, store, day, dump, current, changes.schema, last)
     counts |= _quality(store, dump, counts["snapshot_rows"], seen) if check_quality else {}
     groups, whole = _count_groups(spark, store, last, day, current, changes.schema, log_columns)
+    claim.check()
     store.write_commit(spark, day, current.schema, log_columns, counts, digests, groups, whole)
     store.expire_snapshots(spark, keep_snapshots)
     store.drop_staged(spark)

@@ -7,6 +7,7 @@
     <root>/groups/day=YYYY-MM-DD/      rows per group, or by how many they changed, if the store keeps them
     <root>/touched/day=YYYY-MM-DD/     keys that changed, while their day is integrated
     <root>/staged/day=YYYY-MM-DD/      a CSV dump as parsed, while its day is integrated
+    <root>/claims/                     a file of the run at work
 
 Readers only see days that have a commit. Whatever a run left behind before it
 failed is invisible and replaced when the day is run again.
@@ -15,6 +16,7 @@ failed is invisible and replaced when the day is run again.
 from __future__ import annotations
 
 import json
+from contextlib import AbstractContextManager
 from dataclasses import dataclass
 from datetime import date
 
@@ -26,6 +28,7 @@ from daybook.errors import NoSnapshotError
 from daybook.functions.days import parse_day
 from daybook.functions.names import col, fold, require_columns
 from daybook.sources.buckets import bucket_of, digests_by_bucket, read_bucketed, write_bucketed
+from daybook.sources.claims import Claim, claimed
 from daybook.sources.tables import (
     empty_frame,
     log_schema,
@@ -76,6 +79,9 @@ class DumpStore:
     counts and no snapshot. A day keeps by how much groups changed, the first day of a
     month whole counts.
 
+    Runs claim the store, one at a time; a claim that was not renewed for
+    ``stale_claim_seconds`` is a dead run's.
+
     ``anchors`` keeps the first snapshot of each ``"month"`` or ``"year"`` for good, so
     that rebuilding an old day replays no more of the log than that; by default only
     the newest snapshots are kept, and an older day replays the log from its start.
@@ -88,6 +94,7 @@ class DumpStore:
     bucket_digests: bool = False
     row_digests: bool = False
     report_by: tuple[str, ...] = ()
+    stale_claim_seconds: float = 600
 
     def __post_init__(self) -> None:
         names = (self.report_by,) if isinstance(self.report_by, str) else tuple(self.report_by)
@@ -117,6 +124,10 @@ class DumpStore:
     def staged_path(self, day: date) -> str:
         return self._path("staged", day)
 
+    def claimed(self, spark: SparkSession) -> AbstractContextManager[Claim]:
+        """The claim that a run holds while it integrates a day."""
+        return claimed(spark, self._path("claims"), self.stale_claim_seconds)
+
     # -- commits ---------------------------------------------------------
 
     def commits(self, spark: SparkSession) -> DataFrame:

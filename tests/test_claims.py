@@ -1,0 +1,113 @@
+"""Two runs of one store: one works, the other is told so."""
+
+import os
+import time
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, timedelta
+from threading import Barrier, Event
+
+import pytest
+from helpers import bag
+
+from daybook import ClaimError, TableSpec, plans, sources
+from daybook.plans import integrate as integrate_module
+
+ID = TableSpec("id")
+FIRST = date(2025, 1, 1)
+SCHEMA = "id int, v string"
+
+
+def claims(store):
+    folder = f"{store.root}/claims"
+    return [f for f in os.listdir(folder) if not f.endswith(".crc")] if os.path.exists(folder) else []
+
+
+def test_of_two_runs_at_once_one_wins(spark, tmp_path):
+    store = sources.DumpStore(str(tmp_path), ID)
+    both, tries = Barrier(2), {}
+    dumps = {name: spark.createDataFrame([(1, name)], SCHEMA) for name in "ab"}
+
+    def run(name):
+        both.wait()
+        try:
+            return plans.integrate_day(spark, store, FIRST, dumps[name]).skipped
+        except ClaimError:
+            return None
+
+    with ThreadPoolExecutor(2) as pool:
+        tries = dict(zip("ab", pool.map(run, "ab")))
+    # The other is refused, or finds the day done if it gets its turn after the first.
+    (winner,) = [n for n, skipped in tries.items() if skipped is False]
+    assert bag(store.change_log(spark)) == Counter([(1, winner, "I", FIRST)])
+    assert bag(store.latest_snapshot(spark)) == Counter([(1, winner)])
+    assert claims(store) == []
+
+
+def test_refused_while_another_is_at_work(spark, tmp_path, monkeypatch):
+    store = sources.DumpStore(str(tmp_path), ID)
+    dump = spark.createDataFrame([(1, "a")], SCHEMA)
+    inside, go_on = Event(), Event()
+    clean = integrate_module.clean_dump
+
+    def slow(*args):
+        inside.set()
+        assert go_on.wait(60)
+        return clean(*args)
+
+    monkeypatch.setattr(integrate_module, "clean_dump", slow)
+    with ThreadPoolExecutor(1) as pool:
+        first = pool.submit(plans.integrate_day, spark, store, FIRST, dump)
+        assert inside.wait(60)
+        with pytest.raises(ClaimError):
+            plans.integrate_day(spark, store, FIRST + timedelta(1), dump)
+        go_on.set()
+        assert not first.result().skipped
+    assert plans.integrate_day(spark, store, FIRST, dump).skipped
+    assert claims(store) == []
+
+
+def test_a_dead_runs_claim_goes_stale(spark, tmp_path):
+    store = sources.DumpStore(str(tmp_path), ID, stale_claim_seconds=60)
+    os.mkdir(tmp_path / "claims")
+    left = tmp_path / "claims" / "dead"
+    left.write_text("")
+    dump = spark.createDataFrame([(1, "a")], SCHEMA)
+    with pytest.raises(ClaimError):
+        plans.integrate_day(spark, store, FIRST, dump)
+    os.utime(left, (time.time() - 90,) * 2)
+    assert not plans.integrate_day(spark, store, FIRST, dump).skipped
+    assert claims(store) == []
+
+
+def test_a_live_claim_is_renewed(spark, tmp_path):
+    store = sources.DumpStore(str(tmp_path), ID, stale_claim_seconds=1.5)
+    with store.claimed(spark):
+        time.sleep(3)
+        with pytest.raises(ClaimError), store.claimed(spark):
+            pass
+
+
+def test_a_run_taken_for_dead_does_not_commit(spark, tmp_path, monkeypatch):
+    store = sources.DumpStore(str(tmp_path), ID)
+    dump = spark.createDataFrame([(1, "a")], SCHEMA)
+    clean = integrate_module.clean_dump
+
+    def robbed(*args):
+        for name in claims(store):
+            os.remove(tmp_path / "claims" / name)
+        return clean(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(integrate_module, "clean_dump", robbed)
+        with pytest.raises(ClaimError):
+            plans.integrate_day(spark, store, FIRST, dump)
+    assert store.newest_commit(spark) is None
+    assert not plans.integrate_day(spark, store, FIRST, dump).skipped
+
+
+def test_a_failed_run_gives_its_claim_back(spark, tmp_path):
+    store = sources.DumpStore(str(tmp_path), ID)
+    with pytest.raises(ValueError):
+        plans.integrate_day(spark, store, FIRST, spark.createDataFrame([(1,)], "other int"))
+    assert claims(store) == []
