@@ -496,6 +496,18 @@ def report_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.report_latest(spark, _integrated(spark, sf_dir), "l_returnflag")
 
 
+def recompute_some_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hundred largest lines as they were on day two, found by their keys in a clustered store."""
+    store = sources.DumpStore(f"{scratch_folder(spark)}/store", LINE, clustered=True)
+    old, new = _line_dumps(spark, sf_dir)
+    for day, dump in zip(DAYS, (old, new, old)):
+        plans.integrate_day(spark, store, day, dump)
+    lines = _table(spark, sf_dir, "lineitem")
+    keys = lines.orderBy(F.desc("l_quantity"), "l_orderkey", "l_linenumber").select(*LINE.keys).limit(100)
+    wanted = [tuple(r) for r in keys.collect()]
+    return plans.stored_snapshot_as_of(spark, store, DAYS[1], keys=wanted)
+
+
 REPORT_DAYS = (*DAYS, date(2025, 2, 1))
 
 
@@ -571,6 +583,7 @@ _QUERIES: tuple[Query, ...] = (
     change_set_helper_names,
     report_latest,
     report_incremental,
+    recompute_some_keys,
 )
 
 
@@ -738,6 +751,9 @@ SELECT o_orderkey, o_custkey AS _here, o_totalprice AS _n_old, o_orderstatus AS
        o_orderpriority AS _times, op
 FROM ({ORDER_CHANGES}) AS changes""",
         "recompute_snapshot": f"{clean_days} SELECT * FROM second",
+        "recompute_some_keys": f"""{clean_days}
+SELECT * FROM second WHERE (l_orderkey, l_linenumber) IN (
+    SELECT (l_orderkey, l_linenumber) FROM lineitem ORDER BY l_quantity DESC, l_orderkey, l_linenumber LIMIT 100)""",
         "report_incremental": f"""{clean_days}
 SELECT l_returnflag, l_quantity, count(*) AS count, day
 FROM (SELECT *, unnest([DATE '2025-01-01', DATE '2025-01-03']) AS day FROM first

@@ -19,6 +19,7 @@ from daybook.operators.quality import (
     key_quality,
 )
 from daybook.operators.replay import (
+    among_keys,
     apply_changes,
     history,
     log_day,

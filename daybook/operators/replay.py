@@ -9,8 +9,10 @@ U rows pile up and their deletes do nothing. Unknown operations are ignored.
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.days import parse_day
@@ -100,6 +102,28 @@ def snapshot_as_of(
     return _replace(base, _touched_keys(valid, spec), rows, spec, unique=unique_per_day)
 
 
+def among_keys(df: DataFrame, keys: list, spec: TableSpec) -> Column:
+    """Whether a row's key is among some keys: values, or tuples if the key has several columns.
+
+    A replay of the rows that fit gives the table's rows that fit, as keys do not mix. Each
+    column has a condition of its own, too, which scans can use. A null key fits nothing.
+    """
+    names = require_columns(df, spec.keys, "the rows")
+    given = [tuple(k) if isinstance(k, (tuple, list)) else (k,) for k in keys]
+    if any(len(k) != len(names) for k in given):
+        raise ValueError(f"a key has the columns {names}")
+    given = [k for k in given if None not in k]
+    if not given:
+        return F.lit(False)
+    types = [df.schema[n].dataType for n in names]
+    each = reduce(and_, [col(n).isin([k[i] for k in given]) for i, n in enumerate(names)])
+    if len(names) == 1:
+        return each
+    of = F.struct(*[col(n).alias(f"_{i}") for i, n in enumerate(names)])
+    wanted = [F.struct(*[F.lit(v).cast(t).alias(f"_{i}") for i, (v, t) in enumerate(zip(k, types))]) for k in given]
+    return each & of.isin(wanted)
+
+
 def _newest_by_window(valid: DataFrame, spec: TableSpec) -> DataFrame:
     # rank, not row_number: rows of one key and day belong together.
     newest_first = Window.partitionBy(*cols(spec.keys)).orderBy(col(spec.day).desc())

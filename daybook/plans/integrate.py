@@ -174,11 +174,10 @@ def _integrate_claimed(
         older, newer = store.pair_of_snapshots(spark, last, day, current.schema, digests)
     changes = _changes(spark, store, last, day, older, newer)
     log_columns = _log_columns(spark, before, changes.drop(spec.op).schema)
-    # Written as the day's directory, so that a day without changes replaces, too,
-    # whatever a failed run may have left there. The comparison runs on partitions
-    # sized for two dumps; the few changes among them are gathered into full files.
-    gathered = changes if last is None or files["num_files"] is not None else changes.hint("rebalance")
-    write_snapshot(gathered, store.log_path(day), **files)
+    # The comparison runs on partitions sized for two dumps; the few changes among them
+    # are gathered into full files.
+    as_is = last is None or store.clustered or files["num_files"] is not None
+    store.write_log(changes if as_is else changes.hint("rebalance"), day, **files)
 
     counts = _count(spark, store, day, dump, current, changes.schema, last)
     counts |= _quality(store, dump, counts["snapshot_rows"], seen) if check_quality else {}

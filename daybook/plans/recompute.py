@@ -10,13 +10,18 @@ from pyspark.sql import functions as F
 from daybook.errors import NoSnapshotError
 from daybook.functions.days import parse_day
 from daybook.functions.names import col, cols, find_column
-from daybook.operators.replay import snapshot_as_of
+from daybook.operators.replay import among_keys, snapshot_as_of
 from daybook.sources.store import DumpStore, schema_of
 from daybook.sources.tables import write_snapshot
 
 
 def stored_snapshot_as_of(
-    spark: SparkSession, store: DumpStore, day: str | date, *, from_log_only: bool = False
+    spark: SparkSession,
+    store: DumpStore,
+    day: str | date,
+    *,
+    from_log_only: bool = False,
+    keys: list | None = None,
 ) -> DataFrame:
     """The table at the end of ``day``, with the columns it had then.
 
@@ -25,6 +30,10 @@ def stored_snapshot_as_of(
 
     A column that some day's dump lacked starts from null after that day: what the
     log says of it before then holds no longer.
+
+    ``keys`` asks for the rows of some keys: values of the key column, or tuples of several
+    columns' values. They go into the filters of the scans; in a ``clustered`` store files
+    and row groups without them are not read.
     """
     target = parse_day(day)
     commit = store.newest_commit(spark, target)
@@ -32,12 +41,16 @@ def stored_snapshot_as_of(
         raise NoSnapshotError(f"no day has been integrated under {store.root} up to {target}")
     gone = store.columns_last_absent(spark, commit)
     log = store.change_log(spark, target)
+    if keys is not None:
+        log = log.where(among_keys(log, keys, store.spec))
     log = _blanked(log, {c: col(store.spec.day) > F.lit(day) for c, day in gone.items()})
     base_commit = None if from_log_only else _newest_kept(spark, store, commit["day"])
     base, base_day = None, None
     if base_commit is not None:
         base_day = base_commit["day"]
         base = store.snapshot_by_key(spark, base_day, schema_of(base_commit), base_commit["buckets"])
+        if keys is not None:
+            base = base.where(among_keys(base, keys, store.spec))
         base = _blanked(base, {c: F.lit(False) for c, day in gone.items() if day > base_day})
     # The daily job logs one row per key and day at most, and no null keys.
     rows = snapshot_as_of(

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from daybook.errors import NoSnapshotError
 from daybook.functions.days import parse_day
-from daybook.functions.names import col, fold, require_columns
+from daybook.functions.names import col, cols, fold, require_columns
 from daybook.sources.buckets import bucket_of, digests_by_bucket, read_bucketed, write_bucketed
 from daybook.sources.claims import Claim, claimed
 from daybook.sources.tables import (
@@ -79,6 +79,10 @@ class DumpStore:
     counts and no snapshot. A day keeps by how much groups changed, the first day of a
     month whole counts.
 
+    ``clustered`` lays snapshots and each day of the log out in ranges of the key, sorted, so
+    that a look at some keys (``stored_snapshot_as_of(keys=...)``) reads the files and row
+    groups that may hold them. It costs one more shuffle of each snapshot.
+
     Runs claim the store, one at a time; a claim that was not renewed for
     ``stale_claim_seconds`` is a dead run's.
 
@@ -94,6 +98,7 @@ class DumpStore:
     bucket_digests: bool = False
     row_digests: bool = False
     report_by: tuple[str, ...] = ()
+    clustered: bool = False
     stale_claim_seconds: float = 600
 
     def __post_init__(self) -> None:
@@ -103,6 +108,8 @@ class DumpStore:
             raise ValueError("only a bucketed store has bucket digests")
         if self.row_digests and self.buckets is not None:
             raise ValueError("a bucketed store moves no rows to compare them and needs no row digests")
+        if self.clustered and self.buckets is not None:
+            raise ValueError("a store is laid out in buckets or in ranges of the key, not both")
         if self.anchors not in (None, "month", "year"):
             raise ValueError(f"anchors are kept by 'month' or 'year', not {self.anchors!r}")
 
@@ -213,6 +220,7 @@ class DumpStore:
         """Store a day's cleaned dump. Only ever called for a day without a commit."""
         path = self.snapshot_path(day)
         if self.buckets is None:
+            df, num_files = self._laid_out(df, num_files)
             write_snapshot(df, path, num_files=num_files, max_rows_per_file=max_rows_per_file)
             return
         if num_files is not None:
@@ -221,6 +229,25 @@ class DumpStore:
         self._delete(df.sparkSession, path)
         write_bucketed(df, path, keys, self.buckets, max_rows_per_file=max_rows_per_file)
 
+    def write_log(
+        self, changes: DataFrame, day: date, *, num_files: int | None, max_rows_per_file: int | None
+    ) -> None:
+        """Store a day's changes. Only ever called for a day without a commit.
+
+        Written as the day's directory, so that a day without changes replaces, too,
+        whatever a failed run may have left there.
+        """
+        changes, num_files = self._laid_out(changes, num_files)
+        write_snapshot(changes, self.log_path(day), num_files=num_files, max_rows_per_file=max_rows_per_file)
+
+    def _laid_out(self, df: DataFrame, num_files: int | None) -> tuple[DataFrame, int | None]:
+        """In ranges of the key if the store is clustered, and the number of files still to be seen to."""
+        if not self.clustered:
+            return df, num_files
+        keys = cols(require_columns(df, self.spec.keys, "the rows"))
+        ranges = df.repartitionByRange(*keys) if num_files is None else df.repartitionByRange(num_files, *keys)
+        return ranges.sortWithinPartitions(*keys), None
+
     def snapshot_by_key(
         self, spark: SparkSession, day: date, schema: T.StructType, buckets: int | None
     ) -> DataFrame:
