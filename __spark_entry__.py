@@ -508,6 +508,16 @@ def recompute_some_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.stored_snapshot_as_of(spark, store, DAYS[1], keys=wanted)
 
 
+def recompute_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second month's day, rebuilt from the first month's folded log and its own day."""
+    store = sources.DumpStore(f"{scratch_folder(spark)}/store", LINE)
+    old, new = _line_dumps(spark, sf_dir)
+    for day, dump in zip((DAYS[0], DAYS[1], date(2025, 2, 1)), (old, new, old)):
+        plans.integrate_day(spark, store, day, dump)
+    plans.fold_log(spark, store)
+    return plans.stored_snapshot_as_of(spark, store, date(2025, 2, 1), from_log_only=True)
+
+
 REPORT_DAYS = (*DAYS, date(2025, 2, 1))
 
 
@@ -584,6 +594,7 @@ _QUERIES: tuple[Query, ...] = (
     report_latest,
     report_incremental,
     recompute_some_keys,
+    recompute_folded,
 )
 
 
@@ -751,6 +762,7 @@ SELECT o_orderkey, o_custkey AS _here, o_totalprice AS _n_old, o_orderstatus AS
        o_orderpriority AS _times, op
 FROM ({ORDER_CHANGES}) AS changes""",
         "recompute_snapshot": f"{clean_days} SELECT * FROM second",
+        "recompute_folded": f"{clean_days} SELECT * FROM first",
         "recompute_some_keys": f"""{clean_days}
 SELECT * FROM second WHERE (l_orderkey, l_linenumber) IN (
     SELECT (l_orderkey, l_linenumber) FROM lineitem ORDER BY l_quantity DESC, l_orderkey, l_linenumber LIMIT 100)""",

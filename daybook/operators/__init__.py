@@ -24,6 +24,7 @@ from daybook.operators.replay import (
     history,
     log_day,
     log_days,
+    net_changes,
     snapshot_as_of,
     snapshots_as_of,
     stamp_day,
@@ -32,6 +33,7 @@ from daybook.operators.report import group_changes, group_count, preview
 
 __all__ = [
     "align_union",
+    "among_keys",
     "apply_changes",
     "change_counts",
     "change_set",
@@ -48,6 +50,7 @@ __all__ = [
     "key_quality",
     "log_day",
     "log_days",
+    "net_changes",
     "preview",
     "row_digests",
     "snapshot_as_of",

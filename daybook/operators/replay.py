@@ -124,12 +124,27 @@ def among_keys(df: DataFrame, keys: list, spec: TableSpec) -> Column:
     return each & of.isin(wanted)
 
 
-def _newest_by_window(valid: DataFrame, spec: TableSpec) -> DataFrame:
+def net_changes(log: DataFrame, spec: TableSpec) -> DataFrame:
+    """Log rows of each key's newest day: all that a replay to the end of the log needs of it.
+
+    For logs with at most one row per key and day, or few: a key's rows meet in one task,
+    cut to those of its newest day before the shuffle. Rows with a null key all stay.
+    """
+    spec = spec_for(log, spec, "the change log", log=True)
+    valid = log.where(col(spec.op).isin(*OPS))
+    newest = _newest_rows(valid.where(none_null(cols(spec.keys))), spec)
+    return newest.unionByName(valid.where(any_null(cols(spec.keys)) & col(spec.op).isin(*UPSERTS)))
+
+
+def _newest_rows(valid: DataFrame, spec: TableSpec) -> DataFrame:
     # rank, not row_number: rows of one key and day belong together.
     newest_first = Window.partitionBy(*cols(spec.keys)).orderBy(col(spec.day).desc())
     rank = spare_name("_rank", valid)
-    ranked = valid.withColumn(rank, F.rank().over(newest_first)).where(col(rank) == 1)
-    return ranked.where(col(spec.op).isin(*UPSERTS)).drop(rank)
+    return valid.withColumn(rank, F.rank().over(newest_first)).where(col(rank) == 1).drop(rank)
+
+
+def _newest_by_window(valid: DataFrame, spec: TableSpec) -> DataFrame:
+    return _newest_rows(valid, spec).where(col(spec.op).isin(*UPSERTS))
 
 
 def _newest_by_join(valid: DataFrame, spec: TableSpec) -> DataFrame:

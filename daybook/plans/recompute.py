@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from daybook.errors import NoSnapshotError
 from daybook.functions.days import parse_day
 from daybook.functions.names import col, cols, find_column
-from daybook.operators.replay import among_keys, snapshot_as_of
-from daybook.sources.store import DumpStore, schema_of
+from daybook.operators.replay import among_keys, net_changes, snapshot_as_of
+from daybook.sources.store import DumpStore, month_end, schema_of
 from daybook.sources.tables import write_snapshot
 
 
@@ -26,7 +26,8 @@ def stored_snapshot_as_of(
     """The table at the end of ``day``, with the columns it had then.
 
     Starts from the newest kept snapshot up to that day and replays the rest of
-    the log; without one, or with ``from_log_only=True``, replays the whole log.
+    the log; without one, or with ``from_log_only=True``, replays the whole log. Whole
+    months that :func:`fold_log` has folded are read in that form.
 
     A column that some day's dump lacked starts from null after that day: what the
     log says of it before then holds no longer.
@@ -40,11 +41,11 @@ def stored_snapshot_as_of(
     if commit is None:
         raise NoSnapshotError(f"no day has been integrated under {store.root} up to {target}")
     gone = store.columns_last_absent(spark, commit)
-    log = store.change_log(spark, target)
+    base_commit = None if from_log_only else _newest_kept(spark, store, commit["day"])
+    log = store.log_to_replay(spark, target, None if base_commit is None else base_commit["day"])
     if keys is not None:
         log = log.where(among_keys(log, keys, store.spec))
     log = _blanked(log, {c: col(store.spec.day) > F.lit(day) for c, day in gone.items()})
-    base_commit = None if from_log_only else _newest_kept(spark, store, commit["day"])
     base, base_day = None, None
     if base_commit is not None:
         base_day = base_commit["day"]
@@ -72,6 +73,25 @@ def _newest_kept(spark: SparkSession, store: DumpStore, until: date) -> Row | No
     return store.newest_commit(spark, until, among=kept)
 
 
+def fold_log(spark: SparkSession, store: DumpStore) -> list[date]:
+    """Keep, of each closed month, every key's newest log row beside the daily log; returns the months folded now.
+
+    A month is closed once a later one has an integrated day. The daily log stays: a day
+    within a month is rebuilt from it. A run that dies is repeated by the next.
+    """
+    with store.claimed(spark) as claim:
+        # One row per month with a day, of one row per calendar day.
+        found = store.commits(spark).select(F.trunc("day", "month").alias("month")).distinct().collect()
+        months = sorted(r["month"] for r in found)[:-1]
+        done = set(store.folds(spark))
+        folded = [m for m in months if m not in done]
+        for month in folded:
+            log = store.change_log(spark, month_end(month)).where(col(store.spec.day) >= F.lit(month))
+            claim.check()
+            store.write_fold(spark, month, net_changes(log, store.spec))
+    return folded
+
+
 def recompute_snapshot(
     spark: SparkSession,
     store: DumpStore,

@@ -7,6 +7,8 @@
     <root>/groups/day=YYYY-MM-DD/      rows per group, or by how many they changed, if the store keeps them
     <root>/touched/day=YYYY-MM-DD/     keys that changed, while their day is integrated
     <root>/staged/day=YYYY-MM-DD/      a CSV dump as parsed, while its day is integrated
+    <root>/months/month=YYYY-MM-01/    a closed month's newest log row of each key, if folded
+    <root>/folds/month=YYYY-MM-01/     one row, written when that is complete
     <root>/claims/                     a file of the run at work
 
 Readers only see days that have a commit. Whatever a run left behind before it
@@ -18,7 +20,7 @@ from __future__ import annotations
 import json
 from contextlib import AbstractContextManager
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +56,7 @@ _COMMIT_FIELDS = T.StructType(
     + [T.StructField("groups", T.StringType()), T.StructField("groups_whole", T.BooleanType())]
     + [T.StructField(c, T.LongType()) for c in COUNTS]
 )
+_FOLD_SCHEMA = T.StructType([T.StructField("rows", T.LongType()), T.StructField("month", T.DateType())])
 COMMIT_SCHEMA = T.StructType([*_COMMIT_FIELDS.fields, T.StructField("day", T.DateType())])
 
 
@@ -349,6 +352,36 @@ class DumpStore:
         days = self.commits(spark).select(F.col("day").alias(day))
         return log.join(F.broadcast(days), day, "left_semi").select(*[col(c) for c in full.names])
 
+    def folds(self, spark: SparkSession) -> list[date]:
+        """First days of the months whose log is folded, ascending."""
+        found = read_parquet_if_any(spark, self._path("folds"), _FOLD_SCHEMA)
+        return [] if found is None else sorted(r["month"] for r in found.select("month").collect())
+
+    def write_fold(self, spark: SparkSession, month: date, rows: DataFrame) -> None:
+        path = f"{self._path('months')}/month={month.isoformat()}"
+        laid_out, _ = self._laid_out(rows, None)
+        write_snapshot(laid_out, path)
+        n = read_snapshot(spark, path, rows.schema).count()
+        one = spark.range(0, 1, 1, 1).select(F.lit(n).cast("long").alias("rows"))
+        one.write.mode("overwrite").parquet(f"{self._path('folds')}/month={month.isoformat()}")
+
+    def log_to_replay(self, spark: SparkSession, until: date, since: date | None = None) -> DataFrame:
+        """The log after ``since`` up to ``until``, whole months in their folded form where there is one.
+
+        Good for a replay to ``until`` only: what happened within such a month is gone.
+        """
+        log = self.change_log(spark, until)
+        day = col(self.spec.day)
+        if since is not None:
+            log = log.where(day > F.lit(since))
+        months = [m for m in self.folds(spark) if month_end(m) <= until and (since is None or m > since)]
+        if not months:
+            return log
+        for m in months:
+            log = log.where(~day.between(F.lit(m), F.lit(month_end(m))))
+        paths = [f"{self._path('months')}/month={m.isoformat()}" for m in months]
+        return log.unionByName(spark.read.schema(log.schema).parquet(*paths))
+
     # -- housekeeping ----------------------------------------------------
 
     def kept_snapshots(self, spark: SparkSession) -> list[date]:
@@ -400,6 +433,10 @@ class DumpStore:
         return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
 
 
+def month_end(day: date) -> date:
+    return (day.replace(day=1) + timedelta(31)).replace(day=1) - timedelta(1)
+
+
 def schema_of(commit: Row) -> T.StructType:
     return T.StructType.fromJson(json.loads(commit["snapshot_schema"]))
 

@@ -26,6 +26,25 @@ def final_plan_of(df):
     return execution.executedPlan().toString().split("== Initial Plan ==")[0]
 
 
+def scan_metric(df, name):
+    """Runs the frame and adds up a metric of its Parquet scans."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    nodes, total = [execution.executedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            nodes.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            nodes.append(node.plan())
+        else:
+            if node.nodeName().startswith("Scan parquet"):
+                total += node.metrics().apply(name).value()
+            children = node.children()
+            nodes += [children.apply(i) for i in range(children.size())]
+    return total
+
+
 def brute_change_set(old, new, n_keys):
     """All pairs, row by row. Rows are tuples that start with their key."""
     def key(r):

@@ -5,7 +5,7 @@ from collections import Counter
 from datetime import date, timedelta
 
 import pytest
-from helpers import bag
+from helpers import bag, scan_metric
 from pyspark.sql import functions as F
 
 from daybook import TableSpec, plans, sources
@@ -35,27 +35,6 @@ def test_some_keys_equal_the_whole_filtered(spark, tmp_path, settings):
         plans.stored_snapshot_as_of(spark, store, FIRST, keys=[1])
 
 
-def rows_read(df):
-    """Rows that the scans of the frame gave out."""
-    execution = df._jdf.queryExecution()
-    execution.toRdd().count()
-    plan, total = [execution.executedPlan()], 0
-    while plan:
-        node = plan.pop()
-        kind = node.nodeName()
-        if kind.startswith("AdaptiveSparkPlan"):
-            plan.append(node.executedPlan())
-            continue
-        if "QueryStage" in kind:
-            plan.append(node.plan())
-            continue
-        if kind.startswith("Scan parquet"):
-            total += node.metrics().apply("numOutputRows").value()
-        children = node.children()
-        plan += [children.apply(i) for i in range(children.size())]
-    return total
-
-
 def test_files_without_the_key_are_not_read(spark, tmp_path, conf):
     conf({"spark.sql.adaptive.coalescePartitions.enabled": "false"})
     n = 20_000
@@ -68,7 +47,7 @@ def test_files_without_the_key_are_not_read(spark, tmp_path, conf):
         for day, rows in ((FIRST, dump), (FIRST + timedelta(1), edited)):
             plans.integrate_day(spark, store, day, rows, num_files=8)
         found = plans.stored_snapshot_as_of(spark, store, FIRST + timedelta(1), from_log_only=True, keys=[4321])
-        read[clustered] = rows_read(found)
+        read[clustered] = scan_metric(found, "numOutputRows")
         assert bag(found) == Counter([(4321, "b")])
     # Two days of 8 files each: one file of each may hold the key.
     assert read[True] <= 2 * n / 8 * 1.5
