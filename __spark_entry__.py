@@ -463,6 +463,15 @@ def integrate_other_day_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.change_log(spark)
 
 
+def integrate_late_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of days one and three, and then day two, which was missed."""
+    store = sources.DumpStore(f"{scratch_folder(spark)}/store", LINE)
+    old, new = _line_dumps(spark, sf_dir)
+    for day, dump in ((DAYS[0], old), (DAYS[2], old), (DAYS[1], new)):
+        plans.integrate_day(spark, store, day, dump, late=True)
+    return store.change_log(spark)
+
+
 def integrate_columns_come_and_go(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quantity is missing on day two and back, in part null, on day three; the log alone rebuilds it."""
     store = sources.DumpStore(f"{scratch_folder(spark)}/store", LINE)
@@ -587,6 +596,7 @@ _QUERIES: tuple[Query, ...] = (
     report_latest_all_groups,
     integrate_same_day_again,
     integrate_other_day_name,
+    integrate_late_day,
     integrate_columns_come_and_go,
     integrate_from_anchor,
     stamp_day,
@@ -754,6 +764,7 @@ SELECT l_partkey, count(*) AS count FROM first GROUP BY l_partkey""",
         "integrate_other_day_name": f"""{clean_days}
 SELECT *, DATE '2025-01-01' AS dt FROM (SELECT *, 'I' AS op FROM first) AS a
 UNION ALL SELECT *, DATE '2025-01-02' FROM ({_line_changes("first", "second")}) AS b""",
+        "integrate_late_day": f"{clean_days} {three_days}",
         "integrate_columns_come_and_go": f"{clean_days} SELECT * FROM second",
         "integrate_from_anchor": f"{clean_days} SELECT * FROM second",
         "stamp_day": f"WITH {ORDER_DUMPS} SELECT *, DATE '{AS_OF}' AS day FROM ({ORDER_CHANGES}) AS changes",

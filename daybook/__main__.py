@@ -29,6 +29,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     integrate.add_argument("--buckets", type=int)
     integrate.add_argument("--anchors", choices=["month", "year"], help="keep each one's first snapshot")
     integrate.add_argument("--strict", action="store_true", help="refuse lines that do not fit the columns")
+    integrate.add_argument("--late", action="store_true", help="put in a day that was missed")
     report = job("report")
     report.add_argument("--by", action="append", required=True)
     report.add_argument("--limit", type=int, help="the largest groups only; all by default")
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None) -> None:
         return
     store = sources.DumpStore(args.root, spec, getattr(args, "buckets", None), getattr(args, "anchors", None))
     if args.job == "daily-integration":
-        done = plans.integrate_csv(spark, store, args.day, args.csv, args.schema, strict=args.strict)
+        done = plans.integrate_csv(spark, store, args.day, args.csv, args.schema, strict=args.strict, late=args.late)
         print("skipped, integrated before" if done.skipped else "integrated", done.day, done.counts)
     elif args.job == "report":
         report = plans.report_latest(spark, store, args.by, args.limit)

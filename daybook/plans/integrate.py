@@ -17,6 +17,7 @@ from daybook.functions.predicates import any_null
 from daybook.operators.diff import change_counts, change_set, change_set_by_digests, row_digests, touched_keys
 from daybook.operators.quality import clean_dump, duplicate_keys, key_quality
 from daybook.operators.report import group_changes
+from daybook.plans.recompute import stored_snapshot_as_of
 from daybook.sources.claims import Claim
 from daybook.sources.csv_dump import read_csv_dump
 from daybook.sources.store import COUNTS, DumpStore, log_columns_of, schema_of
@@ -79,6 +80,7 @@ def integrate_day(
     num_files: int | None = None,
     max_rows_per_file: int | None = None,
     keep_snapshots: int = 2,
+    late: bool = False,
 ) -> Integration:
     """Clean a full dump, log what changed since the last one, make it the latest.
 
@@ -91,6 +93,14 @@ def integrate_day(
 
     ``check_quality=False`` saves the extra pass over the dump's key columns that
     counts null and duplicate keys; the figures are then None.
+
+    ``late=True`` also takes a day that was missed, before days already integrated: its
+    changes are logged since the day before it, and the day after it gets a new log of
+    its changes since the late day. Both become visible with the late day's record, the
+    last thing written; until then readers see the log as it was. The neighbours' dumps
+    are read if they are kept, else rebuilt from the log. The log then says what it would
+    say had all days come in order. A late dump may lack columns but not bring one that
+    the day after it does not know (``ValueError``).
     """
     return _integrate(
         spark,
@@ -101,6 +111,7 @@ def integrate_day(
         num_files=num_files,
         max_rows_per_file=max_rows_per_file,
         keep_snapshots=keep_snapshots,
+        late=late,
     )
 
 
@@ -116,6 +127,7 @@ def _integrate(
     num_files: int | None = None,
     max_rows_per_file: int | None = None,
     keep_snapshots: int = 2,
+    late: bool = False,
 ) -> Integration:
     """``odd`` names the column of ``parsed`` that holds what did not fit; it is not the table's."""
     spec = store.spec
@@ -127,7 +139,7 @@ def _integrate(
     files = {"num_files": num_files, "max_rows_per_file": max_rows_per_file}
     with store.claimed(spark) as claim:
         return _integrate_claimed(
-            spark, store, claim, day, dump, parsed, odd, strict, check_quality, files, keep_snapshots
+            spark, store, claim, day, dump, parsed, odd, strict, check_quality, files, keep_snapshots, late
         )
 
 
@@ -143,18 +155,27 @@ def _integrate_claimed(
     check_quality: bool,
     files: dict[str, int | None],
     keep_snapshots: int,
+    late: bool,
 ) -> Integration:
     spec = store.spec
     last = store.newest_commit(spark)
+    following = None
     if last is not None and last["day"] >= day:
-        done = last if last["day"] == day else store.commit_of(spark, day)
-        if done is None:
+        done = store.newest_commit(spark, among=[day])
+        if done is not None:
+            return Integration(day, True, _counts_of(done))
+        if not late:
             raise DayOrderError(f"{day} comes before {last['day']}, which is already integrated")
-        return Integration(day, True, _counts_of(done))
+        last, following = store.newest_commit(spark, day), store.next_commit(spark, day)
 
     # A type that does not fit is refused before anything is written.
     before = None if last is None else log_columns_of(last)
     ever = {fold(spark, n) for n in _log_columns(spark, before, dump.schema).names}
+    if following is not None:
+        known = {fold(spark, n) for n in _log_columns(spark, log_columns_of(following), dump.schema).names}
+        new = sorted(known - {fold(spark, n) for n in log_columns_of(following).names})
+        if new:
+            raise ValueError(f"{following['day']} does not know the columns {new} of {day}, which comes late")
     unknown = [c for c in store.report_by if fold(spark, c) not in ever]
     if unknown:
         raise MissingColumnError(f"the table never had {unknown}, which its rows are to be counted by")
@@ -167,12 +188,19 @@ def _integrate_claimed(
     store.write_snapshot(clean_dump(dump, spec), day, **files)
     current = store.snapshot_by_key(spark, day, _nullable(dump.schema), store.buckets)
 
-    digests = store.digests_of(spark, day, current.schema)
+    # A late day is never compared with a day to come.
+    digests = store.digests_of(spark, day, current.schema) if following is None else None
     if last is None:
         older, newer = empty_frame(spark, current.schema), current
+    elif following is not None:
+        older, newer = _table_of(spark, store, last), current
     else:
         older, newer = store.pair_of_snapshots(spark, last, day, current.schema, digests)
-    changes = _changes(spark, store, last, day, older, newer)
+    if following is None:
+        changes = _changes(spark, store, last, day, older, newer)
+    else:
+        store.write_row_digests(day, None, spark)
+        changes = change_set(older, newer, spec, keys_unique=True, null_keys=False)
     log_columns = _log_columns(spark, before, changes.drop(spec.op).schema)
     # The comparison runs on partitions sized for two dumps; the few changes among them
     # are gathered into full files.
@@ -181,14 +209,57 @@ def _integrate_claimed(
 
     counts = _count(spark, store, day, dump, current, changes.schema, last)
     counts |= _quality(store, dump, counts["snapshot_rows"], seen) if check_quality else {}
-    groups, whole = _count_groups(spark, store, last, day, current, changes.schema, log_columns)
+    chain = last if following is None else None
+    groups, whole = _count_groups(spark, store, chain, day, current, changes.schema, log_columns)
+    spliced = None
+    if following is not None:
+        own = {fold(spark, n) for n in log_columns.names}
+        log_columns = T.StructType([f for f in log_columns_of(following).fields if fold(spark, f.name) in own])
+        spliced = _splice(spark, store, day, current, following, files)
     claim.check()
-    store.write_commit(spark, day, current.schema, log_columns, counts, digests, groups, whole)
+    if following is not None:
+        store.drop_folds(spark, [day, following["day"]])
+    store.write_commit(spark, day, current.schema, log_columns, counts, digests, groups, whole, spliced)
     store.expire_snapshots(spark, keep_snapshots)
     store.drop_staged(spark)
     return Integration(day, False, counts)
 
 
+def _splice(
+    spark: SparkSession,
+    store: DumpStore,
+    late: date,
+    current: DataFrame,
+    following: Row,
+    files: dict[str, int | None],
+) -> dict[str, object]:
+    """Log the changes from a late day to the one after it; what the late day's record says of that."""
+    day = following["day"]
+    after = _table_of(spark, store, following)
+    changes = change_set(current, after, store.spec, keys_unique=True, null_keys=False)
+    as_is = store.clustered or files["num_files"] is not None
+    store.write_log(changes if as_is else changes.hint("rebalance"), day, late=late, **files)
+    written = read_snapshot(spark, store.log_path(day, late), changes.schema)
+    ops = {r[store.spec.op]: r["count"] for r in change_counts(written, store.spec).collect()}
+    if following["groups"] is not None:
+        groups = T.StructType.fromJson(json.loads(following["groups"]))
+        store.write_groups(day, _whole_groups(after, groups), late)
+    return {
+        "next_day": day,
+        "next_inserted": ops.get(INSERT, 0),
+        "next_updated": ops.get(UPDATE, 0),
+        "next_deleted": ops.get(DELETE, 0),
+        "next_groups": following["groups"] is not None,
+    }
+
+
+def _table_of(spark: SparkSession, store: DumpStore, commit: Row) -> DataFrame:
+    """An integrated day's table: its snapshot, or what the log makes of it."""
+    if commit["day"] in store.kept_snapshots(spark):
+        return store.snapshot_by_key(spark, commit["day"], schema_of(commit), commit["buckets"])
+    return stored_snapshot_as_of(spark, store, commit["day"])
+
+
 def _changes(
     spark: SparkSession, store: DumpStore, last: Row | None, day: date, older: DataFrame, newer: DataFrame
 ) -> DataFrame:
@@ -270,11 +341,16 @@ def _count_groups(
         written = read_snapshot(spark, store.log_path(day), change_schema)
         store.write_groups(day, group_changes(written, older, by, store.spec))
         return groups, False
-    found = [find_column(current, c) for c in by]
+    store.write_groups(day, _whole_groups(current, groups))
+    return groups, True
+
+
+def _whole_groups(rows: DataFrame, groups: T.StructType) -> DataFrame:
+    """Rows per group; a column that the day's dump lacks is null."""
+    found = [find_column(rows, f.name) for f in groups.fields]
     parts = [F.lit(None).cast(f.dataType) if n is None else col(n) for n, f in zip(found, groups.fields)]
     of = F.struct(*[p.alias(f.name) for p, f in zip(parts, groups.fields)]).alias("of")
-    store.write_groups(day, current.groupBy(of).agg(F.count(F.lit(1)).alias("change")))
-    return groups, True
+    return rows.groupBy(of).agg(F.count(F.lit(1)).alias("change"))
 
 
 def _count(spark, store, day, dump, current, change_schema, last) -> dict[str, int | None]:

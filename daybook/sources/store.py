@@ -9,6 +9,8 @@
     <root>/staged/day=YYYY-MM-DD/      a CSV dump as parsed, while its day is integrated
     <root>/months/month=YYYY-MM-01/    a closed month's newest log row of each key, if folded
     <root>/folds/month=YYYY-MM-01/     one row, written when that is complete
+    <root>/relog/day=YYYY-MM-DD/<late>/     that day's log since the day ``<late>``, which was put in late
+    <root>/regroups/day=YYYY-MM-DD/<late>/  and its groups, whole
     <root>/claims/                     a file of the run at work
 
 Readers only see days that have a commit. Whatever a run left behind before it
@@ -56,8 +58,16 @@ _COMMIT_FIELDS = T.StructType(
     + [T.StructField("groups", T.StringType()), T.StructField("groups_whole", T.BooleanType())]
     + [T.StructField(c, T.LongType()) for c in COUNTS]
 )
+#: What the record of a day that was put in late says of the day after it.
+_NEXT_FIELDS = [
+    T.StructField("next_day", T.DateType()),
+    *[T.StructField(f"next_{c}", T.LongType()) for c in ("inserted", "updated", "deleted")],
+    T.StructField("next_groups", T.BooleanType()),
+]
 _FOLD_SCHEMA = T.StructType([T.StructField("rows", T.LongType()), T.StructField("month", T.DateType())])
 COMMIT_SCHEMA = T.StructType([*_COMMIT_FIELDS.fields, T.StructField("day", T.DateType())])
+_RECORD_FIELDS = T.StructType([*_COMMIT_FIELDS.fields, *_NEXT_FIELDS])
+_RECORD_SCHEMA = T.StructType([*_RECORD_FIELDS.fields, T.StructField("day", T.DateType())])
 
 
 @dataclass(frozen=True)
@@ -122,8 +132,16 @@ class DumpStore:
         name = self.spec.day if kind == "log" else "day"
         return base if day is None else f"{base}/{name}={day.isoformat()}"
 
-    def log_path(self, day: date) -> str:
-        return self._path("log", day)
+    def log_path(self, day: date, late: date | None = None) -> str:
+        """A day's log, or the one it has since the day before it, ``late``, was put in."""
+        return self._path("log", day) if late is None else self._relog_path(day, late)
+
+    def _relog_path(self, day: date, late: date) -> str:
+        # The late day is no partition: its name could be one of the table's columns.
+        return f"{self._path('relog')}/{self.spec.day}={day.isoformat()}/{late.isoformat()}"
+
+    def _regroups_path(self, day: date, late: date) -> str:
+        return f"{self._path('regroups')}/day={day.isoformat()}/{late.isoformat()}"
 
     def snapshot_path(self, day: date) -> str:
         return self._path("snapshots", day)
@@ -140,16 +158,44 @@ class DumpStore:
 
     # -- commits ---------------------------------------------------------
 
+    def _records(self, spark: SparkSession) -> DataFrame:
+        found = read_parquet_if_any(spark, self._path("commits"), _RECORD_SCHEMA)
+        return empty_frame(spark, _RECORD_SCHEMA) if found is None else found
+
     def commits(self, spark: SparkSession) -> DataFrame:
         """One row per integrated day with its figures."""
-        found = read_parquet_if_any(spark, self._path("commits"), COMMIT_SCHEMA)
-        return empty_frame(spark, COMMIT_SCHEMA) if found is None else found
+        records = self._records(spark)
+        if not self._any_late(spark):
+            return records.select(*COMMIT_SCHEMA.names)
+        # A late day's record is the only one written for it, so it speaks for the next day, too.
+        again = F.max_by(F.struct(*[f.name for f in _NEXT_FIELDS]), "day").alias("again")
+        late = records.where("next_day IS NOT NULL").groupBy(F.col("next_day").alias("day")).agg(again)
+        own = {c: F.col(c) for c in COMMIT_SCHEMA.names}
+        for c in ("inserted", "updated", "deleted"):
+            own[c] = F.when(F.col("again").isNotNull(), F.col(f"again.next_{c}")).otherwise(F.col(c))
+        own["groups_whole"] = F.when(F.col("again.next_groups"), True).otherwise(F.col("groups_whole"))
+        return records.join(late, "day", "left").select(*[own[c].alias(c) for c in own])
+
+    def _any_late(self, spark: SparkSession) -> bool:
+        fs, root = self._file_system(spark, self._path("relog"))
+        return fs.exists(root)
+
+    def late_before(self, spark: SparkSession) -> dict[date, Row]:
+        """Of days whose log was written again: the record of the day last put in before each."""
+        if not self._any_late(spark):
+            return {}
+        rows = self._records(spark).where("next_day IS NOT NULL").select("day", "next_day", "next_groups").collect()
+        return {r["next_day"]: r for r in sorted(rows, key=lambda r: r["day"])}
+
+    def next_commit(self, spark: SparkSession, day: date) -> Row | None:
+        """The record of the first integrated day after ``day``."""
+        return self.commits(spark).where(F.col("day") > F.lit(day)).orderBy("day").limit(1).first()
 
     def newest_commit(
         self, spark: SparkSession, until: date | None = None, among: list[date] | None = None
     ) -> Row | None:
         """The newest integrated day's record, if asked up to a day or among given days only."""
-        if until is None and among is None:
+        if until is None and among is None and not self._any_late(spark):
             return self._last_commit(spark)
         commits = self.commits(spark)
         if until is not None:
@@ -172,7 +218,7 @@ class DumpStore:
         return None
 
     def commit_of(self, spark: SparkSession, day: date) -> Row | None:
-        found = read_parquet_if_any(spark, self._path("commits", day), _COMMIT_FIELDS)
+        found = read_parquet_if_any(spark, self._path("commits", day), _RECORD_FIELDS)
         return None if found is None else found.withColumn("day", F.lit(day)).limit(1).first()
 
     def columns_last_absent(self, spark: SparkSession, commit: Row) -> dict[str, date]:
@@ -200,8 +246,10 @@ class DumpStore:
         digests: dict[int, str] | None = None,
         groups: T.StructType | None = None,
         groups_whole: bool | None = None,
+        following: dict[str, object] | None = None,
     ) -> None:
-        values = {
+        """The record that makes a day visible. ``following`` is what changes of the day after a late one."""
+        values = dict.fromkeys(f.name for f in _NEXT_FIELDS) | {
             "snapshot_schema": snapshot_schema.json(),
             "log_columns": log_columns.json(),
             "buckets": self.buckets,
@@ -209,9 +257,10 @@ class DumpStore:
             "groups": None if groups is None else groups.json(),
             "groups_whole": groups_whole,
             **counts,
+            **(following or {}),
         }
         one = spark.range(0, 1, 1, 1).select(
-            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in _COMMIT_FIELDS.fields]
+            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in _RECORD_FIELDS.fields]
         )
         one.write.mode("overwrite").parquet(self._path("commits", day))
 
@@ -233,15 +282,21 @@ class DumpStore:
         write_bucketed(df, path, keys, self.buckets, max_rows_per_file=max_rows_per_file)
 
     def write_log(
-        self, changes: DataFrame, day: date, *, num_files: int | None, max_rows_per_file: int | None
+        self,
+        changes: DataFrame,
+        day: date,
+        *,
+        num_files: int | None,
+        max_rows_per_file: int | None,
+        late: date | None = None,
     ) -> None:
-        """Store a day's changes. Only ever called for a day without a commit.
+        """Store a day's changes. Only ever called for a day without a commit, or since a ``late`` one without.
 
         Written as the day's directory, so that a day without changes replaces, too,
         whatever a failed run may have left there.
         """
         changes, num_files = self._laid_out(changes, num_files)
-        write_snapshot(changes, self.log_path(day), num_files=num_files, max_rows_per_file=max_rows_per_file)
+        write_snapshot(changes, self.log_path(day, late), num_files=num_files, max_rows_per_file=max_rows_per_file)
 
     def _laid_out(self, df: DataFrame, num_files: int | None) -> tuple[DataFrame, int | None]:
         """In ranges of the key if the store is clustered, and the number of files still to be seen to."""
@@ -304,9 +359,9 @@ class DumpStore:
         """A committed day's row digests, if it has any."""
         return read_parquet_if_any(spark, self.digests_path(day), schema)
 
-    def write_groups(self, day: date, counts: DataFrame) -> None:
+    def write_groups(self, day: date, counts: DataFrame, late: date | None = None) -> None:
         """Store a day's groups (``of``) and their count or by how much it changed (``change``)."""
-        write_snapshot(counts, self._path("groups", day))
+        write_snapshot(counts, self._path("groups", day) if late is None else self._regroups_path(day, late))
 
     def group_counts(self, spark: SparkSession, commit: Row) -> DataFrame:
         """Groups (``of``) and by how much they changed up to a committed day (``change``), to be added up."""
@@ -318,7 +373,12 @@ class DumpStore:
         month = self.commits(spark).where(day.between(F.lit(commit["day"].replace(day=1)), F.lit(commit["day"])))
         days = {r["day"]: r["groups_whole"] for r in month.select("day", "groups_whole").collect()}
         since = max(d for d, whole in days.items() if whole)
-        paths = [self._path("groups", d) for d in sorted(days) if d >= since]
+        again = {d: r["day"] for d, r in self.late_before(spark).items() if r["next_groups"]}
+        paths = [
+            self._regroups_path(d, again[d]) if d in again else self._path("groups", d)
+            for d in sorted(days)
+            if d >= since
+        ]
         schema = T.StructType([T.StructField("of", groups), T.StructField("change", T.LongType())])
         return spark.read.schema(schema).parquet(*paths)
 
@@ -347,9 +407,15 @@ class DumpStore:
         full = log_schema(log_columns_of(commit), self.spec)
         log = spark.read.schema(full).parquet(self._path("log"))
         day = self.spec.day
+        again = {d: r["day"] for d, r in self.late_before(spark).items() if d <= commit["day"]}
+        if again:
+            # One day per day that was ever put in late.
+            paths = [self._relog_path(d, late) for d, late in sorted(again.items())]
+            since_late = spark.read.schema(full).option("basePath", self._path("relog")).parquet(*paths)
+            log = log.where(~col(day).isin(list(again))).unionByName(since_late)
         log = log.where(col(day) <= F.lit(commit["day"]))
         # One DATE per calendar day ever integrated: some hundred rows a year.
-        days = self.commits(spark).select(F.col("day").alias(day))
+        days = self._records(spark).select(F.col("day").alias(day))
         return log.join(F.broadcast(days), day, "left_semi").select(*[col(c) for c in full.names])
 
     def folds(self, spark: SparkSession) -> list[date]:
@@ -357,6 +423,11 @@ class DumpStore:
         found = read_parquet_if_any(spark, self._path("folds"), _FOLD_SCHEMA)
         return [] if found is None else sorted(r["month"] for r in found.select("month").collect())
 
+    def drop_folds(self, spark: SparkSession, days: list[date]) -> None:
+        """Folded months of these days are no more; the daily log is read until they are folded again."""
+        for month in sorted({d.replace(day=1) for d in days}):
+            self._delete(spark, f"{self._path('folds')}/month={month.isoformat()}")
+
     def write_fold(self, spark: SparkSession, month: date, rows: DataFrame) -> None:
         path = f"{self._path('months')}/month={month.isoformat()}"
         laid_out, _ = self._laid_out(rows, None)
@@ -412,6 +483,8 @@ class DumpStore:
         for day in dead:
             self._delete(spark, self.log_path(day))
             self._delete(spark, self._path("groups", day))
+            for kind in ("relog", "regroups"):
+                self._delete_each(spark, f"{self._path(kind)}/*/{day.isoformat()}")
         for day in old + dead:
             self._delete(spark, self.snapshot_path(day))
             self._delete(spark, self.digests_path(day))
@@ -426,6 +499,11 @@ class DumpStore:
         fs, target = self._file_system(spark, path)
         fs.delete(target, True)
 
+    def _delete_each(self, spark: SparkSession, pattern: str) -> None:
+        fs, target = self._file_system(spark, pattern)
+        for found in fs.globStatus(target) or []:
+            fs.delete(found.getPath(), True)
+
     @staticmethod
     def _file_system(spark: SparkSession, path: str):
         # The same resolver Spark's readers use, so any scheme works alike.
