@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.names import col, cols, is_comparable, require_columns, require_comparable, spare_name
@@ -36,12 +36,31 @@ def dedupe_by_key(df: DataFrame, spec: TableSpec) -> DataFrame:
     very many copies costs no more than any other. Rows whose key is null count as
     rows of one key; ``clean_dump`` drops them before.
     """
+    numbered, nth = _numbered(df, spec)
+    return numbered.where(col(nth) == 1).drop(nth)
+
+
+def first_two_by_key(df: DataFrame, spec: TableSpec, seen: Observation) -> DataFrame:
+    """What ``clean_dump`` has to look at: of each key, none null, the two smallest rows.
+
+    Cleaned, they need no other shuffle and give the same dump. ``seen`` takes down, when
+    that is written, the different keys (``keys``) and those that occurred more than once
+    (``duplicate_keys``). It holds where one job takes the rows straight to its output; a
+    shuffle after the cleaning may count a task twice.
+    """
+    numbered, nth = _numbered(drop_null_keys(df, spec), spec)
+    # A key that occurs more than once has one second row.
+    figures = [F.count_if(col(nth) == i).alias(n) for i, n in ((1, "keys"), (2, "duplicate_keys"))]
+    return numbered.where(col(nth) <= 2).observe(seen, *figures).drop(nth)
+
+
+def _numbered(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, str]:
+    """The rows of each key numbered from the smallest on, and the number's column."""
     keys = _keys(df, spec)
     rest = [_sortable(df, c).asc_nulls_first() for c in df.columns if c not in keys]
     smallest_first = Window.partitionBy(*cols(keys)).orderBy(*(rest or cols(keys)))
     nth = spare_name("_nth", df)
-    numbered = df.withColumn(nth, F.row_number().over(smallest_first))
-    return numbered.where(col(nth) == 1).drop(nth)
+    return df.withColumn(nth, F.row_number().over(smallest_first)), nth
 
 
 def _sortable(df: DataFrame, name: str) -> Column:

@@ -6,7 +6,7 @@ import json
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from daybook.functions.days import parse_day
 from daybook.functions.names import col, cols, find_column, fold, require_columns, spare_name
 from daybook.functions.predicates import any_null
 from daybook.operators.diff import change_counts, change_set, change_set_by_digests, row_digests, touched_keys
-from daybook.operators.quality import clean_dump, duplicate_keys, key_quality
+from daybook.operators.quality import clean_dump, duplicate_keys, first_two_by_key
 from daybook.operators.report import group_changes
 from daybook.plans.recompute import stored_snapshot_as_of
 from daybook.sources.claims import Claim
@@ -185,7 +185,10 @@ def _integrate_claimed(
         if strict and seen["malformed_rows"]:
             store.drop_staged(spark)
             raise MalformedRowsError(f"{seen['malformed_rows']} lines of the dump of {day} do not fit its columns")
-    store.write_snapshot(clean_dump(dump, spec), day, **files)
+    # Repeated keys are counted where their rows meet to be cleaned.
+    cleaning = Observation() if check_quality and store.writes_as_is(spark, files["num_files"]) else None
+    rows = dump if cleaning is None else first_two_by_key(dump, spec, cleaning)
+    store.write_snapshot(clean_dump(rows, spec), day, **files)
     current = store.snapshot_by_key(spark, day, _nullable(dump.schema), store.buckets)
 
     # A late day is never compared with a day to come.
@@ -202,13 +205,12 @@ def _integrate_claimed(
         store.write_row_digests(day, None, spark)
         changes = change_set(older, newer, spec, keys_unique=True, null_keys=False)
     log_columns = _log_columns(spark, before, changes.drop(spec.op).schema)
-    # The comparison runs on partitions sized for two dumps; the few changes among them
-    # are gathered into full files.
-    as_is = last is None or store.clustered or files["num_files"] is not None
-    store.write_log(changes if as_is else changes.hint("rebalance"), day, **files)
+    # The comparison runs on partitions sized for two dumps. Many changes are written from
+    # there without moving again; few ones are gathered into full files.
+    store.write_log(changes, day, gathered=last is not None, **files)
 
     counts = _count(spark, store, day, dump, current, changes.schema, last)
-    counts |= _quality(store, dump, counts["snapshot_rows"], seen) if check_quality else {}
+    counts |= _quality(store, dump, counts["snapshot_rows"], seen, cleaning) if check_quality else {}
     chain = last if following is None else None
     groups, whole = _count_groups(spark, store, chain, day, current, changes.schema, log_columns)
     spliced = None
@@ -237,8 +239,7 @@ def _splice(
     day = following["day"]
     after = _table_of(spark, store, following)
     changes = change_set(current, after, store.spec, keys_unique=True, null_keys=False)
-    as_is = store.clustered or files["num_files"] is not None
-    store.write_log(changes if as_is else changes.hint("rebalance"), day, late=late, **files)
+    store.write_log(changes, day, late=late, gathered=True, **files)
     written = read_snapshot(spark, store.log_path(day, late), changes.schema)
     ops = {r[store.spec.op]: r["count"] for r in change_counts(written, store.spec).collect()}
     if following["groups"] is not None:
@@ -285,13 +286,14 @@ def _staged(
     rows = parsed.select(*cols(own), col(odd).isNull().alias(fits))
     write_snapshot(rows, store.staged_path(day))
     stored = read_snapshot(spark, store.staged_path(day), rows.schema)
-    keys = require_columns(stored, store.spec.keys, "the dump")
-    seen = stored.agg(
-        F.count(F.lit(1)).alias("dump_rows"),
-        F.count_if(~col(fits)).alias("malformed_rows"),
-        F.count_if(any_null(cols(keys))).alias("null_keys"),
-    )
-    return stored.select(*cols(own)), seen.first().asDict()
+    return stored.select(*cols(own)), _seen(store, stored, F.count_if(~col(fits)).alias("malformed_rows"))
+
+
+def _seen(store: DumpStore, rows: DataFrame, *more: Column) -> dict[str, int]:
+    """Rows of a dump as given, and those without a key: a pass over its key columns that moves none."""
+    keys = require_columns(rows, store.spec.keys, "the dump")
+    figures = [F.count(F.lit(1)).alias("dump_rows"), F.count_if(any_null(cols(keys))).alias("null_keys")]
+    return rows.agg(*figures, *more).first().asDict()
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -373,13 +375,18 @@ def _count(spark, store, day, dump, current, change_schema, last) -> dict[str, i
     }
 
 
-def _quality(store: DumpStore, dump: DataFrame, kept: int, seen: dict[str, int] | None) -> dict[str, int]:
-    """Figures of the dump as given. A staged one's keys are counted only if some were dropped as repeated."""
+def _quality(
+    store: DumpStore, dump: DataFrame, kept: int, seen: dict[str, int] | None, cleaning: Observation | None
+) -> dict[str, int]:
+    """Figures of the dump as given. Its keys are counted only if some were dropped as repeated, unseen by the cleaning."""
     if seen is None:
-        found = key_quality(dump, store.spec).first().asDict()
-        return {"dump_rows": found["total_rows"]} | {k: found[k] for k in ("null_keys", "duplicate_keys")}
-    repeated = seen["dump_rows"] - seen["null_keys"] > kept
-    return seen | {"duplicate_keys": duplicate_keys(dump, store.spec).count() if repeated else 0}
+        seen = _seen(store, dump)
+    if seen["dump_rows"] - seen["null_keys"] <= kept:
+        return seen | {"duplicate_keys": 0}
+    found = {} if cleaning is None else cleaning.get
+    if found.get("keys") == kept:
+        return seen | {"duplicate_keys": found["duplicate_keys"]}
+    return seen | {"duplicate_keys": duplicate_keys(dump, store.spec).count()}
 
 
 def _counts_of(commit) -> dict[str, int | None]:

@@ -36,6 +36,11 @@ def _shuffle_width(spark: SparkSession) -> int:
     return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def keeps_buckets(spark: SparkSession, buckets: int) -> bool:
+    """Whether each task of a shuffle by key holds whole buckets."""
+    return _shuffle_width(spark) % buckets == 0
+
+
 def write_bucketed(
     df: DataFrame,
     path: str,
@@ -51,7 +56,7 @@ def write_bucketed(
     already holds whole buckets and nothing moves again.
     """
     spark = df.sparkSession
-    if _shuffle_width(spark) % buckets:
+    if not keeps_buckets(spark, buckets):
         df = df.repartition(buckets, *cols(keys))
     writer = df.write.bucketBy(buckets, *keys).option("path", path).mode("overwrite")
     if max_rows_per_file:

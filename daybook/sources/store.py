@@ -6,6 +6,7 @@
     <root>/digests/day=YYYY-MM-DD/     each row's key and digest, if the store keeps them
     <root>/groups/day=YYYY-MM-DD/      rows per group, or by how many they changed, if the store keeps them
     <root>/touched/day=YYYY-MM-DD/     keys that changed, while their day is integrated
+    <root>/gathered/                   a log's small files, while they are put together
     <root>/staged/day=YYYY-MM-DD/      a CSV dump as parsed, while its day is integrated
     <root>/months/month=YYYY-MM-01/    a closed month's newest log row of each key, if folded
     <root>/folds/month=YYYY-MM-01/     one row, written when that is complete
@@ -20,6 +21,7 @@ failed is invisible and replaced when the day is run again.
 from __future__ import annotations
 
 import json
+import uuid
 from contextlib import AbstractContextManager
 from dataclasses import dataclass
 from datetime import date, timedelta
@@ -31,7 +33,7 @@ from pyspark.sql import types as T
 from daybook.errors import NoSnapshotError
 from daybook.functions.days import parse_day
 from daybook.functions.names import col, cols, fold, require_columns
-from daybook.sources.buckets import bucket_of, digests_by_bucket, read_bucketed, write_bucketed
+from daybook.sources.buckets import bucket_of, digests_by_bucket, keeps_buckets, read_bucketed, write_bucketed
 from daybook.sources.claims import Claim, claimed
 from daybook.sources.tables import (
     empty_frame,
@@ -52,6 +54,9 @@ COUNTS = (
     "updated",
     "deleted",
 )
+#: A day's log in files smaller than this, on average, is put together into files of about the second size.
+SMALL_FILE_BYTES = 2 << 20
+FULL_FILE_BYTES = 32 << 20
 _COMMIT_FIELDS = T.StructType(
     [T.StructField("snapshot_schema", T.StringType()), T.StructField("log_columns", T.StringType())]
     + [T.StructField("buckets", T.IntegerType()), T.StructField("bucket_digests", T.StringType())]
@@ -281,6 +286,12 @@ class DumpStore:
         self._delete(df.sparkSession, path)
         write_bucketed(df, path, keys, self.buckets, max_rows_per_file=max_rows_per_file)
 
+    def writes_as_is(self, spark: SparkSession, num_files: int | None) -> bool:
+        """Whether a cleaned dump's tasks write its snapshot themselves, nothing moving in between."""
+        if self.buckets is not None:
+            return keeps_buckets(spark, self.buckets)
+        return num_files is None and not self.clustered
+
     def write_log(
         self,
         changes: DataFrame,
@@ -289,14 +300,33 @@ class DumpStore:
         num_files: int | None,
         max_rows_per_file: int | None,
         late: date | None = None,
+        gathered: bool = False,
     ) -> None:
         """Store a day's changes. Only ever called for a day without a commit, or since a ``late`` one without.
 
         Written as the day's directory, so that a day without changes replaces, too,
-        whatever a failed run may have left there.
+        whatever a failed run may have left there. ``gathered=True`` is for changes that
+        may be few in many partitions: small files are then put together.
         """
-        changes, num_files = self._laid_out(changes, num_files)
-        write_snapshot(changes, self.log_path(day, late), num_files=num_files, max_rows_per_file=max_rows_per_file)
+        path = self.log_path(day, late)
+        laid_out, num_files = self._laid_out(changes, num_files)
+        write_snapshot(laid_out, path, num_files=num_files, max_rows_per_file=max_rows_per_file)
+        if gathered and num_files is None and not self.clustered:
+            self._gather(changes.sparkSession, path, changes.schema, max_rows_per_file)
+
+    def _gather(
+        self, spark: SparkSession, path: str, schema: T.StructType, max_rows_per_file: int | None
+    ) -> None:
+        """Write a directory of small files again as few full ones, by way of a copy, without a shuffle."""
+        fs, root = self._file_system(spark, path)
+        sizes = [s.getLen() for s in fs.listStatus(root) if s.getPath().getName().endswith(".parquet")]
+        if len(sizes) < 2 or sum(sizes) >= SMALL_FILE_BYTES * len(sizes):
+            return
+        few = -(-sum(sizes) // FULL_FILE_BYTES)
+        copy = f"{self._path('gathered')}/{uuid.uuid4().hex}"
+        write_snapshot(read_snapshot(spark, path, schema).coalesce(few), copy)
+        again = read_snapshot(spark, copy, schema)
+        write_snapshot(again, path, max_rows_per_file=max_rows_per_file)
 
     def _laid_out(self, df: DataFrame, num_files: int | None) -> tuple[DataFrame, int | None]:
         """In ranges of the key if the store is clustered, and the number of files still to be seen to."""
@@ -491,9 +521,9 @@ class DumpStore:
         return sorted(old + dead)
 
     def drop_staged(self, spark: SparkSession) -> None:
-        """Remove dumps and keys that were set down on the way, a dead run's as well."""
-        self._delete(spark, self._path("staged"))
-        self._delete(spark, self._path("touched"))
+        """Remove dumps, keys and copies that were set down on the way, a dead run's as well."""
+        for kind in ("staged", "touched", "gathered"):
+            self._delete(spark, self._path(kind))
 
     def _delete(self, spark: SparkSession, path: str) -> None:
         fs, target = self._file_system(spark, path)
