@@ -49,7 +49,8 @@ CROWD = 2048
 COLLECTION = 1024
 PIECES_PER_TASK = 1 << 14
 
-_SLICE = 1 << 19
+#: Places whose hashes are looked at together: what a core's own cache holds.
+_SLICE = 1 << 17
 _POS = np.uint64((1 << 20) - 1)
 _BYTE = np.random.default_rng(1901).integers(1, 1 << 64, 256, dtype=np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -130,61 +131,84 @@ def anchor_runs(data: np.ndarray, sizes: np.ndarray, k: int, length: int = LENGT
 # -- the column-wise order ----------------------------------------------------------------
 
 
+def _put_in(old: np.ndarray, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """``old`` with ``values`` at the places ``at`` of the longer result."""
+    grown = np.empty(len(old) + len(at), dtype=old.dtype)
+    stay = np.ones(len(grown), dtype=bool)
+    stay[at] = False
+    grown[stay] = old
+    grown[at] = values
+    return grown
+
+
 def column_wise_order(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All suffixes of the pieces in order: piece, suffix length, common prefix with the one before."""
+    """All suffixes of the pieces in order: piece, suffix length, common prefix with the one before.
+
+    The transform is kept as its rows ordered by symbol and place, one number each, so
+    that a round finds ranks and neighbours by search and sorts its new rows alone.
+    """
     m = len(pieces)
     sizes = np.array([len(p) for p in pieces], dtype=np.int64)
-    # before[i, j]: the symbol before the last j bytes of piece i; 0 before its first.
-    before = np.zeros((m, int(sizes.max(initial=0)) + 1), dtype=np.uint16)
+    rounds = int(sizes.max(initial=0))
+    # before[j, i]: the symbol before the last j bytes of piece i; 0 before its first.
+    before = np.zeros((rounds + 1, m), dtype=np.int64)
     for i, piece in enumerate(pieces):
-        before[i, : len(piece)] = np.frombuffer(piece, dtype=np.uint8)[::-1].astype(np.uint16) + 1
+        before[: len(piece), i] = np.frombuffer(piece, dtype=np.uint8)[::-1]
+        before[: len(piece), i] += 1
+    bits = (m + int(sizes.sum())).bit_length()
+    kind, places = np.int32 if bits + 9 < 32 else np.int64, (1 << bits) - 1
 
-    bwt, common, suffix = before[:, 0].copy(), np.zeros(m, dtype=np.int16), np.arange(m) << _SHIFT
+    common = np.zeros(m, dtype=np.uint8 if rounds < 256 else np.int16)
     place = np.arange(m)  # of each piece's longest suffix so far
-    for j in range(1, before.shape[1]):
+    rows = np.sort((before[0] << bits) + place).astype(kind)
+    for j in range(1, rounds + 1):
         growing = np.nonzero(sizes >= j)[0]
         growing = growing[np.argsort(place[growing])]
         at = place[growing]
-        symbol = bwt[at]
-        n = len(bwt)
+        symbol = before[j - 1, growing]
+        n = len(rows)
         # Putting a symbol before every suffix keeps the order among equal symbols.
-        order = np.argsort(bwt, kind="stable")
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.arange(n)
-        mine = rank[at]
+        mine = np.searchsorted(rows, ((symbol << bits) + at).astype(kind))
         ended = m - len(growing)
         new = m + mine - ended
 
         # Common prefixes with the neighbours: one more than the least between their rests.
-        padded = np.append(common, np.int16(0))
-        prev = order[np.maximum(mine - 1, 0)]
-        has_prev = (mine > 0) & (bwt[prev] == symbol)
-        with_prev = np.zeros(len(at), dtype=np.int16)
-        lo, hi = prev[has_prev] + 1, at[has_prev] + 1
+        padded = np.append(common, common[:1])
+        prev = rows[np.maximum(mine - 1, 0)].astype(np.int64)
+        has_prev = (mine > 0) & (prev >> bits == symbol)
+        with_prev = np.zeros(len(at), dtype=common.dtype)
+        lo, hi = (prev[has_prev] & places) + 1, at[has_prev] + 1
         if len(lo):
             with_prev[has_prev] = 1 + np.minimum.reduceat(padded, np.stack([lo, hi], axis=1).ravel())[::2]
-        nxt = order[np.minimum(mine + 1, n - 1)]
-        has_next = (mine + 1 < n) & (bwt[nxt] == symbol)
-        with_next = np.zeros(len(at), dtype=np.int16)
-        lo, hi = at[has_next] + 1, nxt[has_next] + 1
+        nxt = rows[np.minimum(mine + 1, n - 1)].astype(np.int64)
+        has_next = (mine + 1 < n) & (nxt >> bits == symbol)
+        with_next = np.zeros(len(at), dtype=common.dtype)
+        lo, hi = at[has_next] + 1, (nxt[has_next] & places) + 1
         if len(lo):
             with_next[has_next] = 1 + np.minimum.reduceat(padded, np.stack([lo, hi], axis=1).ravel())[::2]
 
-        # One pass over the transform, the prefixes and the suffixes puts the new ones in.
-        size = n + len(at)
-        stay = np.ones(size, dtype=bool)
-        stay[new] = False
-        grown = np.empty(size, dtype=bwt.dtype), np.empty(size, dtype=common.dtype), np.empty(size, dtype=suffix.dtype)
-        for to, old in zip(grown, (bwt, common, suffix)):
-            to[stay] = old
-        bwt, common, suffix = grown
-        bwt[new] = before[growing, j]
-        suffix[new] = (growing << _SHIFT) + j
-        follows = new + 1 < size
+        # One pass over the prefixes and the rows puts the new ones in; rows behind them move on.
+        common = _put_in(common, new, with_prev)
+        follows = new + 1 < len(common)
         common[new[follows] + 1] = with_next[follows]
-        common[new] = with_prev
+        up_to = np.sort(new) - np.arange(len(new))
+        moved = np.repeat(np.arange(len(new) + 1, dtype=kind), np.diff(up_to, prepend=0, append=n))
+        rows += moved[rows & kind(places)]
+        fresh = np.sort((before[j, growing] << bits) + new).astype(kind)
+        rows = _put_in(rows, np.searchsorted(rows, fresh) + np.arange(len(fresh)), fresh)
         place[growing] = new
-    return suffix >> _SHIFT, suffix & ((1 << _SHIFT) - 1), common
+
+    # A suffix's rank among equal symbols is the place of the suffix one longer.
+    n = len(rows)
+    rank = np.empty(n, dtype=np.int64)
+    rank[rows & kind(places)] = np.arange(n)
+    piece, size = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)
+    which, at = np.arange(m), np.arange(m)
+    for j in range(rounds + 1):
+        piece[at], size[at] = which, j
+        longer = sizes[which] > j
+        which, at = which[longer], rank[at[longer]]
+    return piece, size, common.astype(np.int16)
 
 
 _OWNER = ["no_id", "doc_id", "block", "idx", "start"]
