@@ -42,6 +42,8 @@ ITEMS_PER_TASK = 1 << 14
 
 _ID_BYTES = 4
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+#: White space to ``str.split`` that does not part words.
+_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 _PART = T.StructType([T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32")])
 _ITEM = T.StructType(
@@ -60,6 +62,11 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(others)}
 
 
+def words_of(text: str) -> list[str]:
+    """What ``_WORDS`` finds; by ``str.split``, which is quicker, where that parts words alike."""
+    return _WORDS.findall(text) if _OTHER_SPACE.search(text) else text.split()
+
+
 class WordIds(dict):
     """Ids of texts as little-endian unsigned 32-bit numbers; the dict keeps words met before.
 
@@ -89,6 +96,8 @@ class WordIds(dict):
         self.quick = tiktoken.Encoding("words", pat_str=r"[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
 
     def _ids(self, word: str) -> list[int]:
+        if word.isascii() and word.isalpha():  # one run of letters to the pattern
+            return self.quick.encode_ordinary(word.lower() + " ")
         if self.PLAIN.fullmatch(word) and "<|" not in word:
             return self.quick.encode_ordinary(" ".join(self.PATTERN.findall(word.lower())) + " ")
         return self.tokenizer.encode(word, add_special_tokens=False).ids
@@ -102,7 +111,7 @@ class WordIds(dict):
         return found
 
     def __call__(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, _WORDS.findall(text)))
+        return b"".join(map(self.__getitem__, words_of(text)))
 
 
 @lru_cache(maxsize=2)
