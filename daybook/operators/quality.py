@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,22 @@ from daybook.functions.predicates import any_null, none_null
 from daybook.spec import TableSpec
 
 
+@dataclass(frozen=True)
+class WatchedSpec(TableSpec):
+    """The spec of a table whose keys are counted while a dump of it is cleaned.
+
+    ``seen`` takes down, when the cleaned dump is written, the different keys (``keys``) and
+    those that occurred more than once (``duplicate_keys``). It holds where one job takes the
+    rows straight to its output; a shuffle after the cleaning may count a task twice.
+    """
+
+    seen: Observation | None = None
+
+
+def watched(spec: TableSpec, seen: Observation) -> WatchedSpec:
+    return WatchedSpec(spec.keys, spec.compared, spec.op, spec.day, seen)
+
+
 def _keys(df: DataFrame, spec: TableSpec) -> list[str]:
     keys = require_columns(df, spec.keys, "the dump")
     require_comparable(df, keys, "key")
@@ -37,23 +55,13 @@ def dedupe_by_key(df: DataFrame, spec: TableSpec) -> DataFrame:
     rows of one key; ``clean_dump`` drops them before.
     """
     numbered, nth = _numbered(df, spec)
+    if isinstance(spec, WatchedSpec):
+        # A key that occurs more than once has one second row; no third one is needed.
+        figures = [F.count_if(col(nth) == i).alias(n) for i, n in ((1, "keys"), (2, "duplicate_keys"))]
+        numbered = numbered.where(col(nth) <= 2).observe(spec.seen, *figures)
     return numbered.where(col(nth) == 1).drop(nth)
 
 
-def first_two_by_key(df: DataFrame, spec: TableSpec, seen: Observation) -> DataFrame:
-    """What ``clean_dump`` has to look at: of each key, none null, the two smallest rows.
-
-    Cleaned, they need no other shuffle and give the same dump. ``seen`` takes down, when
-    that is written, the different keys (``keys``) and those that occurred more than once
-    (``duplicate_keys``). It holds where one job takes the rows straight to its output; a
-    shuffle after the cleaning may count a task twice.
-    """
-    numbered, nth = _numbered(drop_null_keys(df, spec), spec)
-    # A key that occurs more than once has one second row.
-    figures = [F.count_if(col(nth) == i).alias(n) for i, n in ((1, "keys"), (2, "duplicate_keys"))]
-    return numbered.where(col(nth) <= 2).observe(seen, *figures).drop(nth)
-
-
 def _numbered(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, str]:
     """The rows of each key numbered from the smallest on, and the number's column."""
     keys = _keys(df, spec)

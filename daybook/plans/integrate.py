@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 
 from daybook.errors import DayOrderError, MalformedRowsError, MissingColumnError
 from daybook.functions.days import parse_day
-from daybook.functions.names import col, cols, find_column, fold, require_columns, spare_name
+from daybook.functions.names import col, cols, find_column, fold, require_columns
 from daybook.functions.predicates import any_null
 from daybook.operators.diff import change_counts, change_set, change_set_by_digests, row_digests, touched_keys
-from daybook.operators.quality import clean_dump, duplicate_keys, first_two_by_key
+from daybook.operators.quality import clean_dump, duplicate_keys, watched
 from daybook.operators.report import group_changes
 from daybook.plans.recompute import stored_snapshot_as_of
 from daybook.sources.claims import Claim
@@ -187,8 +187,8 @@ def _integrate_claimed(
             raise MalformedRowsError(f"{seen['malformed_rows']} lines of the dump of {day} do not fit its columns")
     # Repeated keys are counted where their rows meet to be cleaned.
     cleaning = Observation() if check_quality and store.writes_as_is(spark, files["num_files"]) else None
-    rows = dump if cleaning is None else first_two_by_key(dump, spec, cleaning)
-    store.write_snapshot(clean_dump(rows, spec), day, **files)
+    cleaned = clean_dump(dump, spec if cleaning is None else watched(spec, cleaning))
+    store.write_snapshot(cleaned, day, **files)
     current = store.snapshot_by_key(spark, day, _nullable(dump.schema), store.buckets)
 
     # A late day is never compared with a day to come.
@@ -280,20 +280,22 @@ def _changes(
 def _staged(
     spark: SparkSession, store: DumpStore, day: date, parsed: DataFrame, odd: str
 ) -> tuple[DataFrame, dict[str, int]]:
-    """The dump as parsed, in Parquet, and its rows, those that did not fit, those without a key."""
-    own = [c for c in parsed.columns if c != odd]
-    fits = spare_name("_fits", parsed)
-    rows = parsed.select(*cols(own), col(odd).isNull().alias(fits))
+    """The dump as parsed, in Parquet, and its rows, those that did not fit, those without a key.
+
+    Counted while the copy is written. Parsing moves no rows, so the tasks that write the copy
+    do all of it, and Spark counts each of them once.
+    """
+    seen = Observation()
+    figures = [*_figures(store, parsed), F.count_if(col(odd).isNotNull()).alias("malformed_rows")]
+    rows = parsed.observe(seen, *figures).select(*cols([c for c in parsed.columns if c != odd]))
     write_snapshot(rows, store.staged_path(day))
-    stored = read_snapshot(spark, store.staged_path(day), rows.schema)
-    return stored.select(*cols(own)), _seen(store, stored, F.count_if(~col(fits)).alias("malformed_rows"))
+    return read_snapshot(spark, store.staged_path(day), rows.schema), seen.get
 
 
-def _seen(store: DumpStore, rows: DataFrame, *more: Column) -> dict[str, int]:
-    """Rows of a dump as given, and those without a key: a pass over its key columns that moves none."""
+def _figures(store: DumpStore, rows: DataFrame) -> list[Column]:
+    """What is counted of a dump as given: its rows, and those without a key."""
     keys = require_columns(rows, store.spec.keys, "the dump")
-    figures = [F.count(F.lit(1)).alias("dump_rows"), F.count_if(any_null(cols(keys))).alias("null_keys")]
-    return rows.agg(*figures, *more).first().asDict()
+    return [F.count(F.lit(1)).alias("dump_rows"), F.count_if(any_null(cols(keys))).alias("null_keys")]
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -380,7 +382,8 @@ def _quality(
 ) -> dict[str, int]:
     """Figures of the dump as given. Its keys are counted only if some were dropped as repeated, unseen by the cleaning."""
     if seen is None:
-        seen = _seen(store, dump)
+        # A pass over the key columns that moves no rows.
+        seen = dump.agg(*_figures(store, dump)).first().asDict()
     if seen["dump_rows"] - seen["null_keys"] <= kept:
         return seen | {"duplicate_keys": 0}
     found = {} if cleaning is None else cleaning.get

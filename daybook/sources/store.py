@@ -310,23 +310,30 @@ class DumpStore:
         """
         path = self.log_path(day, late)
         laid_out, num_files = self._laid_out(changes, num_files)
-        write_snapshot(laid_out, path, num_files=num_files, max_rows_per_file=max_rows_per_file)
         if gathered and num_files is None and not self.clustered:
-            self._gather(changes.sparkSession, path, changes.schema, max_rows_per_file)
+            self._write_gathered(laid_out, path, max_rows_per_file)
+            return
+        write_snapshot(laid_out, path, num_files=num_files, max_rows_per_file=max_rows_per_file)
 
-    def _gather(
-        self, spark: SparkSession, path: str, schema: T.StructType, max_rows_per_file: int | None
-    ) -> None:
-        """Write a directory of small files again as few full ones, by way of a copy, without a shuffle."""
-        fs, root = self._file_system(spark, path)
-        sizes = [s.getLen() for s in fs.listStatus(root) if s.getPath().getName().endswith(".parquet")]
-        if len(sizes) < 2 or sum(sizes) >= SMALL_FILE_BYTES * len(sizes):
+    def _write_gathered(self, rows: DataFrame, path: str, max_rows_per_file: int | None) -> None:
+        """Write rows beside their place; bring them there as few full files if they are in small ones, else as they are.
+
+        Nothing is shuffled, and only small files are written twice.
+        """
+        spark, aside = rows.sparkSession, f"{self._path('gathered')}/{uuid.uuid4().hex}"
+        write_snapshot(rows, aside, max_rows_per_file=max_rows_per_file)
+        fs, written = self._file_system(spark, aside)
+        sizes = [s.getLen() for s in fs.listStatus(written) if s.getPath().getName().endswith(".parquet")]
+        if len(sizes) >= 2 and sum(sizes) < SMALL_FILE_BYTES * len(sizes):
+            few = -(-sum(sizes) // FULL_FILE_BYTES)
+            again = read_snapshot(spark, aside, rows.schema).coalesce(few)
+            write_snapshot(again, path, max_rows_per_file=max_rows_per_file)
             return
-        few = -(-sum(sizes) // FULL_FILE_BYTES)
-        copy = f"{self._path('gathered')}/{uuid.uuid4().hex}"
-        write_snapshot(read_snapshot(spark, path, schema).coalesce(few), copy)
-        again = read_snapshot(spark, copy, schema)
-        write_snapshot(again, path, max_rows_per_file=max_rows_per_file)
+        self._delete(spark, path)
+        _, place = self._file_system(spark, path)
+        fs.mkdirs(place.getParent())
+        if not fs.rename(written, place):
+            raise OSError(f"{aside} could not be renamed to {path}")
 
     def _laid_out(self, df: DataFrame, num_files: int | None) -> tuple[DataFrame, int | None]:
         """In ranges of the key if the store is clustered, and the number of files still to be seen to."""
